@@ -13,9 +13,11 @@ from revlens.functions.numeric import (
     as_double,
     davg,
     dsum,
-    exact,
+    from_micros,
     iavg,
+    micros,
     money_round,
+    money_total,
     ratio,
     round_half_up,
 )
@@ -29,9 +31,11 @@ __all__ = [
     "day_of",
     "dsum",
     "elapsed_days",
-    "exact",
+    "from_micros",
     "iavg",
+    "micros",
     "money_round",
+    "money_total",
     "month_of",
     "norm_email",
     "ratio",

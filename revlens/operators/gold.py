@@ -25,16 +25,17 @@ from revlens.functions import (
     davg,
     day_of,
     dsum,
-    exact,
+    from_micros,
     iavg,
+    micros,
     money_round,
+    money_total,
     month_of,
     ratio,
     round_half_up,
     year_month,
     year_of,
 )
-from revlens.functions.numeric import EXACT
 
 
 def _valid(rules: Rules) -> Column:
@@ -53,8 +54,8 @@ def customer_metrics(items: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     return items.groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_pedidos"),
         F.count("order_item_id").alias("total_itens"),
-        money_round(
-            F.sum(F.when(valid, exact("sale_price")).otherwise(F.lit(0).cast(EXACT)))
+        money_total(
+            F.sum(F.when(valid, micros("sale_price")).otherwise(F.lit(0).cast("bigint")))
         ).alias("ltv"),
         money_round(davg(F.when(valid, F.col("sale_price")))).alias("ticket_medio"),
         F.min("created_at").alias("primeira_compra"),
@@ -248,16 +249,19 @@ def order_metrics(items: DataFrame, orders: DataFrame) -> DataFrame:
         "status",
         "dias_para_envio",
         "total_itens",
-        money_round("_sale").alias("receita_pedido"),
-        money_round("_cost").alias("custo_pedido"),
-        money_round("_margem").alias("margem_pedido"),
+        money_total("_sale").alias("receita_pedido"),
+        money_total("_cost").alias("custo_pedido"),
+        money_total("_margem").alias("margem_pedido"),
         money_round("_mpct").alias("margem_pct_media"),
-        money_round(ratio(F.col("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
+        money_round(ratio(from_micros("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
     )
 
 
 def _growth(current: Column, previous: Column) -> Column:
-    return round_half_up(ratio(current - previous, previous) * F.lit(100.0), 2)
+    """(cur - prev) / NULLIF(prev, 0) * 100 on micro-unit sums, rounded to 2."""
+    return round_half_up(
+        ratio(from_micros(current - previous), from_micros(previous)) * F.lit(100.0), 2
+    )
 
 
 def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -283,7 +287,7 @@ def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
         "ano_mes",
         "total_pedidos",
         "clientes_unicos",
-        money_round(rev).alias("receita_mensal"),
+        money_total(rev).alias("receita_mensal"),
         money_round("_ticket").alias("ticket_medio_mensal"),
         round_half_up("_lead", 1).alias("media_dias_envio"),
         _growth(rev, F.lag(rev, 1).over(w)).alias("crescimento_mom_pct"),

@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 
 from revlens import config as C
 from revlens.config import DEFAULT_RULES, Rules
-from revlens.functions import davg, dsum, exact, iavg, money_round, ratio, round_half_up
+from revlens.functions import (
+    davg,
+    dsum,
+    from_micros,
+    iavg,
+    micros,
+    money_round,
+    money_total,
+    ratio,
+    round_half_up,
+)
 
 
 def _is_status(label: str) -> Column:
@@ -68,7 +78,7 @@ def growth_reactivation(dim: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
         "canal",
         "total_frequente_inativo",
         money_round("_avg").alias("ltv_medio_atual"),
-        money_round("_sum").alias("ltv_total_historico"),
+        money_total("_sum").alias("ltv_total_historico"),
         round_half_up("_days", 0).alias("dias_medio_inativo"),
         money_round(n * F.lit(rules.conv_reactivate) * F.col("_avg")).alias(
             "receita_potencial_reativacao_20pct"
@@ -148,10 +158,10 @@ def growth_summary(dim: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     aggs = []
     for key, cond in classes.items():
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"n_{key}"))
-        aggs.append(F.sum(F.when(cond, exact("ltv"))).alias(f"s_{key}"))
+        aggs.append(F.sum(F.when(cond, micros("ltv"))).alias(f"s_{key}"))
         aggs.append(F.count(F.when(cond, F.col("ltv"))).alias(f"c_{key}"))
     one = dim.agg(*aggs)
-    avg = {key: ratio(F.col(f"s_{key}"), F.col(f"c_{key}")) for key in classes}
+    avg = {key: ratio(from_micros(f"s_{key}"), F.col(f"c_{key}")) for key in classes}
     cnt = {key: F.col(f"n_{key}") for key in classes}
 
     def row(label: str, key: str, mean: Column, potential: Column) -> Column:

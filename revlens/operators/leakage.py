@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 
 from revlens import config as C
 from revlens.config import DEFAULT_RULES, Rules
-from revlens.functions import as_double, dsum, money_round, ratio, round_half_up, year_of
+from revlens.functions import (
+    as_double,
+    dsum,
+    from_micros,
+    money_total,
+    ratio,
+    round_half_up,
+    year_of,
+)
 
 
 def _lost(view: DataFrame, rules: Rules) -> DataFrame:
@@ -57,7 +65,7 @@ def leakage_overview(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
             F.struct(
                 F.lit(label).alias("tipo"),
                 F.col(f"n{i}").alias("total_pedidos"),
-                money_round(F.col(f"r{i}")).alias("receita_total"),
+                money_total(F.col(f"r{i}")).alias("receita_total"),
             )
             for i, (label, _) in enumerate(buckets)
         ]
@@ -74,7 +82,7 @@ def leakage_by_status(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     return g.select(
         "status_pedido",
         "total_pedidos",
-        money_round("_r").alias("receita_perdida"),
+        money_total("_r").alias("receita_perdida"),
         _share(F.col("total_pedidos"), F.sum("total_pedidos").over(whole)).alias("pct_pedidos"),
     ).orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("status_pedido").asc_nulls_first())
 
@@ -91,8 +99,8 @@ def leakage_by_country(view: DataFrame, rules: Rules = DEFAULT_RULES, n: int | N
         g.select(
             "country",
             "total_pedidos_perdidos",
-            money_round("_r").alias("receita_perdida"),
-            _share(F.col("_r"), F.sum("_r").over(whole)).alias("pct_receita_perdida"),
+            money_total("_r").alias("receita_perdida"),
+            _share(from_micros("_r"), from_micros(F.sum("_r").over(whole))).alias("pct_receita_perdida"),
         )
         .orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("country").asc_nulls_first())
         .limit(n)
@@ -110,7 +118,7 @@ def leakage_by_channel(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     return g.select(
         "canal",
         "total_pedidos_perdidos",
-        money_round("_r").alias("receita_perdida"),
+        money_total("_r").alias("receita_perdida"),
         _share(n, F.sum(n).over(whole)).alias("pct_pedidos_perdidos"),
     ).orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("canal").asc_nulls_first())
 
@@ -132,8 +140,8 @@ def leakage_trend(view: DataFrame, rules: Rules = DEFAULT_RULES, n: int | None =
             "ano_mes",
             "data_pedido",
             "pedidos_perdidos",
-            money_round("_r").alias("receita_perdida"),
-            _share(F.col("_r"), F.sum("_r").over(year)).alias("pct_perda_no_ano"),
+            money_total("_r").alias("receita_perdida"),
+            _share(from_micros("_r"), from_micros(F.sum("_r").over(year))).alias("pct_perda_no_ano"),
         )
         .orderBy(F.col("ano_mes").desc_nulls_last(), F.col("data_pedido").desc_nulls_last())
         .limit(n)
@@ -154,8 +162,8 @@ def leakage_trend_monthly(
         g.select(
             "ano_mes",
             "pedidos_perdidos",
-            money_round("_r").alias("receita_perdida"),
-            _share(F.col("_r"), F.sum("_r").over(year)).alias("pct_perda_no_ano"),
+            money_total("_r").alias("receita_perdida"),
+            _share(from_micros("_r"), from_micros(F.sum("_r").over(year))).alias("pct_perda_no_ano"),
         )
         .orderBy(F.col("ano_mes").desc_nulls_last())
         .limit(n)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions import dsum, money_round
+from revlens.functions import dsum, money_total
 
 # Documented grain of each published table.
 GRAIN_KEYS: dict[str, tuple[str, ...]] = {
@@ -88,5 +88,5 @@ def orphan_report(view: DataFrame, mapping: DataFrame) -> DataFrame:
     return orphans.agg(
         F.count_distinct("user_id").alias("ids_orfaos"),
         F.count("order_id").alias("pedidos_orfaos"),
-        money_round(dsum("receita_pedido")).alias("receita_orfaos"),
+        money_total(dsum("receita_pedido")).alias("receita_orfaos"),
     )

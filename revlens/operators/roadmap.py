@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions import davg, dsum, money_round, ratio, round_half_up
+from revlens.functions import davg, dsum, from_micros, money_round, money_total, ratio, round_half_up
 
 
 def category_margin(items: DataFrame) -> DataFrame:
@@ -27,9 +27,9 @@ def category_margin(items: DataFrame) -> DataFrame:
     return g.select(
         "category",
         "total_itens",
-        money_round("_sale").alias("receita"),
-        money_round("_margem").alias("margem"),
-        round_half_up(ratio(F.col("_margem"), F.col("_sale")) * F.lit(100.0), 2).alias(
+        money_total("_sale").alias("receita"),
+        money_total("_margem").alias("margem"),
+        round_half_up(ratio(from_micros("_margem"), from_micros("_sale")) * F.lit(100.0), 2).alias(
             "margem_pct_total"
         ),
         money_round("_mpct").alias("margem_pct_media"),

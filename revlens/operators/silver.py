@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from revlens.functions import (
     calendar_days,
     elapsed_days,
-    exact,
-    money_round,
+    micros,
+    money_total,
     norm_email,
     round_half_up,
     title_case,
@@ -130,7 +130,7 @@ def stg_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
         "cost",
         "category",
         "brand",
-        money_round(exact(sale) - exact(cost)).alias("margem"),
+        money_total(micros(sale) - micros(cost)).alias("margem"),
         round_half_up((sale - cost) / F.nullif(sale, F.lit(0.0)) * F.lit(100.0), 2).alias(
             "margem_pct"
         ),

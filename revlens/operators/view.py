@@ -30,7 +30,17 @@ from pyspark.sql import functions as F
 
 from revlens import config as C
 from revlens.config import DEFAULT_RULES, Rules
-from revlens.functions import as_of_date, calendar_days, davg, day_of, dsum, money_round, ratio
+from revlens.functions import (
+    as_of_date,
+    calendar_days,
+    davg,
+    day_of,
+    dsum,
+    from_micros,
+    money_round,
+    money_total,
+    ratio,
+)
 from revlens.operators.gold import calendar_columns, customer_metrics, lifecycle_status
 
 VIEW_COLUMNS = (
@@ -75,11 +85,11 @@ def order_financials(items: DataFrame) -> DataFrame:
     ).select(
         F.col("order_id").alias("_fid"),
         "total_itens",
-        money_round("_sale").alias("receita_pedido"),
-        money_round("_cost").alias("custo_pedido"),
-        money_round("_margem").alias("margem_pedido"),
+        money_total("_sale").alias("receita_pedido"),
+        money_total("_cost").alias("custo_pedido"),
+        money_total("_margem").alias("margem_pedido"),
         money_round("_mpct").alias("margem_pct_media"),
-        money_round(ratio(F.col("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
+        money_round(ratio(from_micros("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
     )
 
 

@@ -21,8 +21,24 @@ from revlens.sources.testdata import raw_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_BUILT: dict[tuple[int, str], tuple[SparkSession, Warehouse]] = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str, target: str | None = None) -> Warehouse:
-    return Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
+    """The layers over one test-data folder.
+
+    Lazy layers are plans, not data, so one session reuses the same
+    ``Warehouse`` for every query on a folder (planning once, executing per
+    query). A ``target`` writes tables, so it always gets a fresh one.
+    """
+    if target is not None:
+        return Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _BUILT.get(key)
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = (spark, Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF))
+        _BUILT[key] = hit
+    return hit[1]
 
 
 def _layer(name: str) -> Query:

@@ -50,7 +50,7 @@ class Warehouse:
 
     def __init__(
         self,
-        raw: RawTables,
+        raw: RawTables,  # or any object with the same four attributes
         as_of: _dt.date | str | None = None,
         rules: Rules = DEFAULT_RULES,
         target: str | None = None,

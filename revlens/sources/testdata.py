@@ -15,11 +15,11 @@ orders. The mapping is a fixture contract; keep it in step with the oracle.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.sources.raw import RawTables
-
 TPCH_TABLES = ("region", "nation", "customer", "orders", "lineitem", "part")
 
 # --- fixed values of the fixture mapping ------------------------------------
@@ -35,10 +35,6 @@ NO_BRAND_MOD, NO_BRAND_REM = 100, 3
 # -----------------------------------------------------------------------------
 
 
-def read_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TPCH_TABLES}
-
-
 def fixture_money(col: Column) -> Column:
     """Fixture money: a double rounded to cents through a decimal."""
     return F.round(col.cast("decimal(38,6)"), 2).cast("decimal(18,2)").cast("double")
@@ -154,12 +150,61 @@ def products_from(part: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    """The four raw tables derived (lazily) from one test-data folder."""
-    t = read_tpch(spark, sf_dir)
-    return RawTables(
-        users=users_from(t["customer"], t["nation"], t["region"]),
-        orders=orders_from(t["orders"], t["lineitem"]),
-        order_items=order_items_from(t["orders"], t["lineitem"]),
-        products=products_from(t["part"]),
-    )
+class TestDataSource:
+    """The four raw tables derived (lazily) from one test-data folder.
+
+    Attributes are built on first use, so a query that needs only users
+    never plans the order tables.
+
+    ``lineitem`` and ``orders`` are hash-partitioned by order key as they are
+    read. The join of items to their order header needs exactly that
+    exchange at any scale, so the repartition replaces the join's own
+    shuffle rather than adding one, and the item and order tables come out
+    co-partitioned by order id for the order-grain aggregates after them.
+    It also matters for the test folders: each file is one Parquet row
+    group, which Spark cannot split, so without it every scan and the work
+    fused after it would run in a single task.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def _partitions(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        li = self._read("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
+        )
+        return li.repartition(self._partitions(), "l_orderkey")
+
+    @cached_property
+    def tpch_orders(self) -> DataFrame:
+        o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        return o.repartition(self._partitions(), "o_orderkey")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return users_from(self._read("customer"), self._read("nation"), self._read("region"))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders_from(self.tpch_orders, self.lineitem)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return order_items_from(self.tpch_orders, self.lineitem)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products_from(self._read("part"))
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> TestDataSource:
+    """The four raw tables (``users``, ``orders``, ``order_items``, ``products``)."""
+    return TestDataSource(spark, sf_dir)
