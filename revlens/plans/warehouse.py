@@ -14,12 +14,16 @@ one query share their shuffles). With ``target`` every table is written
 there and read back -- the CREATE OR REPLACE TABLE barrier of the
 warehouse -- so later layers and reports start from stored tables, not
 from lineage, and an executor loss costs at most the layer being written.
-The view is never written, as in the warehouse.
+
+The warehouse keeps the order view as a view (re-evaluated by every
+report). ``materialize_view=True`` stores it like a table instead: the same
+rows, computed once for all the reports that read it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -55,17 +59,32 @@ class Warehouse:
         rules: Rules = DEFAULT_RULES,
         target: str | None = None,
         calendar_lead_time: bool = False,
+        materialize_view: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
         self.rules = rules
         self.target = target.rstrip("/") if target else None
         self.calendar_lead_time = calendar_lead_time
+        self.materialize_view = materialize_view
+        self._lock = threading.RLock()
+
+    def path(self, name: str) -> str | None:
+        """Where a written layer lives (None when layers stay lazy)."""
+        return None if self.target is None else f"{self.target}/{name}"
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.target is None:
             return df
-        return materialize(df, f"{self.target}/{name}", PARTITION_BY.get(name, ()))
+        with self._lock:  # one writer per layer even if reports run in threads
+            return materialize(df, self.path(name), PARTITION_BY.get(name, ()))
+
+    def __getattribute__(self, name: str):
+        # cached_property is not thread-safe; serialise first builds of a layer
+        if name in _LAYERS:
+            with object.__getattribute__(self, "_lock"):
+                return object.__getattribute__(self, name)
+        return object.__getattribute__(self, name)
 
     # -- silver ------------------------------------------------------------
     @cached_property
@@ -138,7 +157,7 @@ class Warehouse:
     # -- serving view ------------------------------------------------------
     @cached_property
     def vw_sales_analysis(self) -> DataFrame:
-        return view.vw_sales_analysis(
+        df = view.vw_sales_analysis(
             self.stg_orders,
             self.stg_order_items,
             self.raw.users,
@@ -148,9 +167,22 @@ class Warehouse:
             self.rules,
             metrics=self.customer_metrics,
         )
+        return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
     def build_all(self) -> dict[str, DataFrame]:
         """Every published table (written when ``target`` is set) plus the view."""
         out = {name: getattr(self, name) for name in TABLES}
         out["vw_sales_analysis"] = self.vw_sales_analysis
         return out
+
+
+_LAYERS = frozenset(
+    {
+        *TABLES,
+        "customer_metrics",
+        "customer_status",
+        "order_metrics",
+        "monthly_series",
+        "vw_sales_analysis",
+    }
+)
