@@ -1,14 +1,29 @@
 """Items the warehouse's roadmap names or whose figures it publishes without a script.
 
 ``category_margin``  margin by product category (figures published, no query given)
+``status_snapshot``  lifecycle status counts at every month-end (roadmap: churn over time)
+``event_funnel``     ordered funnel over the event log (roadmap: cart abandonment)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.functions import davg, dsum, from_micros, money_round, money_total, ratio, round_half_up
+from revlens import config as C
+from revlens.config import DEFAULT_RULES, Rules
+from revlens.functions import (
+    as_of_date,
+    davg,
+    dsum,
+    from_micros,
+    money_round,
+    money_total,
+    ratio,
+    round_half_up,
+)
 
 
 def category_margin(items: DataFrame) -> DataFrame:
@@ -34,3 +49,188 @@ def category_margin(items: DataFrame) -> DataFrame:
         ),
         money_round("_mpct").alias("margem_pct_media"),
     ).orderBy(F.col("margem_pct_total").desc_nulls_last(), F.col("category").asc_nulls_first())
+
+
+def _month_end_on_or_before(day: Column) -> Column:
+    """The last month-end on or before ``day``."""
+    return F.date_sub(F.trunc(F.date_add(day, 1), "MM"), 1)
+
+
+def status_snapshot(
+    users: DataFrame,
+    items: DataFrame,
+    as_of: _dt.date | str | None = None,
+    rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """Customers per lifecycle status at every month-end up to ``as_of``.
+
+    The label a customer would have carried in the dimension had it been
+    built on that month-end: 'Sem Compra' from sign-up to the first purchase
+    day, then Novo / Ativo / Churn from the recency of the last purchase day
+    and the orders placed so far (same 90/180-day rule). Customers are the
+    cleaned ones (``users`` = P1 output), purchases are by their own id.
+
+    Plan, without a customers x months product:
+
+    1. purchase days per customer (aggregate, map-side combined) with the
+       orders first seen that day;
+    2. a window per customer over its purchase days -- at most one row per
+       calendar day, so even a customer with a third of all items has a
+       bounded partition -- gives orders-so-far and the next purchase day;
+    3. each purchase day opens up to three status intervals (until +90,
+       +180 and the next purchase day); each interval becomes +1 at its
+       first month-end and -1 after its last one;
+    4. the deltas are summed per (status, month) and accumulated over the
+       months: a window over (statuses x months) rows.
+    """
+    as_of_day = as_of_date(as_of)
+    last_me = _month_end_on_or_before(as_of_day)
+    customers = users.select(
+        F.col("customer_id").alias("user_id"), F.to_date("customer_since").alias("signup")
+    )
+    buys = items.select("user_id", "order_id", F.to_date("created_at").alias("day")).where(
+        F.col("user_id").isNotNull() & F.col("day").isNotNull()
+    )
+    buys = buys.join(customers.select("user_id"), "user_id", "left_semi")
+    days = buys.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("_items"))
+    starts = (
+        buys.where(F.col("order_id").isNotNull())
+        .groupBy("user_id", "order_id")
+        .agg(F.min("day").alias("day"))
+        .groupBy("user_id", "day")
+        .agg(F.count(F.lit(1)).alias("_new"))
+    )
+    w = Window.partitionBy("user_id").orderBy("day")
+    timeline = days.join(starts, ["user_id", "day"], "left").select(
+        "user_id",
+        "day",
+        F.sum(F.coalesce("_new", F.lit(0).cast("bigint")))
+        .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("_orders"),
+        F.lead("day").over(w).alias("_next"),
+    )
+
+    def interval(lo: Column, hi: Column, status: Column) -> Column:
+        return F.struct(lo.alias("lo"), hi.alias("hi"), status.alias("status"))
+
+    d, until = F.col("day"), F.date_sub("_next", 1)  # until is NULL for the last purchase
+    first = F.when(F.col("_orders") == 1, F.lit(C.NOVO)).otherwise(F.lit(C.ATIVO))
+    bought = timeline.select(
+        F.explode(
+            F.array(
+                interval(d, F.least(F.date_add(d, rules.recent_days), until), first),
+                interval(
+                    F.date_add(d, rules.recent_days + 1),
+                    F.least(F.date_add(d, rules.active_days), until),
+                    F.lit(C.ATIVO),
+                ),
+                interval(F.date_add(d, rules.active_days + 1), until, F.lit(C.CHURN)),
+            )
+        ).alias("iv")
+    ).select("iv.*")
+    first_buy = days.groupBy("user_id").agg(F.min("day").alias("_first"))
+    waiting = (
+        customers.join(first_buy, "user_id", "left")
+        .where(F.col("signup").isNotNull())
+        .select(
+            F.col("signup").alias("lo"),
+            F.date_sub("_first", 1).alias("hi"),
+            F.lit(C.SEM_COMPRA).alias("status"),
+        )
+    )
+    intervals = bought.unionByName(waiting).where(F.col("lo").isNotNull())
+
+    start_me = F.last_day("lo")
+    end_me = F.when(F.col("hi").isNull(), last_me).otherwise(
+        F.least(_month_end_on_or_before(F.col("hi")), last_me)
+    )
+    edges = intervals.select("status", start_me.alias("_s"), end_me.alias("_e")).where(
+        F.col("_s") <= F.col("_e")
+    )
+    deltas = (
+        edges.select(
+            "status",
+            F.explode(
+                F.array(
+                    F.struct(F.col("_s").alias("m"), F.lit(1).alias("d")),
+                    F.struct(F.last_day(F.add_months("_e", 1)).alias("m"), F.lit(-1).alias("d")),
+                )
+            ).alias("e"),
+        )
+        .select("status", "e.*")
+        .where(F.col("m") <= last_me)
+        .groupBy("status", "m")
+        .agg(F.sum("d").alias("d"))
+    )
+    months = deltas.groupBy("status").agg(F.min("m").alias("_m0")).select(
+        "status",
+        F.explode(
+            F.sequence(F.trunc("_m0", "MM"), F.trunc(last_me, "MM"), F.expr("INTERVAL 1 MONTH"))
+        ).alias("_first_of_month"),
+    )
+    grid = months.select("status", F.last_day("_first_of_month").alias("m"))
+    run = Window.partitionBy("status").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    counted = grid.join(deltas, ["status", "m"], "left").select(
+        "status", "m", F.sum(F.coalesce("d", F.lit(0).cast("bigint"))).over(run).alias("clientes")
+    )
+    return counted.where(F.col("clientes") > 0).select(
+        F.date_format("m", "yyyy-MM").alias("ano_mes"),
+        F.col("m").alias("data_snapshot"),
+        F.col("status").alias("status_cliente"),
+        F.col("clientes").cast("bigint").alias("clientes"),
+    )
+
+
+FUNNEL_STEPS = ("view", "click", "purchase")
+
+
+def event_funnel(events: DataFrame, steps: tuple[str, ...] = FUNNEL_STEPS) -> DataFrame:
+    """Ordered funnel over the event log: users reaching each step in order.
+
+    A user reaches step k when an event of that type happens at or after
+    the moment they reached step k-1 (step 1: their first event of that
+    type). The drop between 'click' and 'purchase' is the abandonment the
+    roadmap asks about.
+
+    Plan: step 1 is an aggregate (first time per user); each later step
+    joins that step's events to the per-user time of the previous step and
+    takes the earliest event after it -- one join and one aggregate per
+    step, at user grain. A user with a huge share of the events is a skewed
+    join partition, which AQE splits (``forceOptimizeSkewedJoin``, set by
+    :func:`revlens.session.tune_session`). The counts are one global
+    aggregate unpacked into one row per step.
+    """
+    ev = events.select("user_id", "event_type", "ts").where(
+        F.col("user_id").isNotNull() & F.col("ts").isNotNull() & F.col("event_type").isin(*steps)
+    )
+    of = lambda step: ev.where(F.col("event_type") == step)
+    reached = of(steps[0]).groupBy("user_id").agg(F.min("ts").alias("t0"))
+    for k, step in enumerate(steps[1:], start=1):
+        prev = reached.select("user_id", F.col(f"t{k - 1}").alias("_prev")).where(
+            F.col("_prev").isNotNull()
+        )
+        nxt = (
+            of(step)
+            .join(prev, "user_id")
+            .where(F.col("ts") >= F.col("_prev"))
+            .groupBy("user_id")
+            .agg(F.min("ts").alias(f"t{k}"))
+        )
+        reached = reached.join(nxt, "user_id", "left")
+    counts = reached.agg(*[F.count(f"t{k}").alias(f"n{k}") for k in range(len(steps))])
+    rows = []
+    for k, step in enumerate(steps):
+        n = F.col(f"n{k}")
+        prev = F.col(f"n{k - 1}") if k else n
+        rows.append(
+            F.struct(
+                F.lit(k + 1).cast("bigint").alias("ordem"),
+                F.lit(step).alias("etapa"),
+                n.alias("usuarios"),
+                (round_half_up(ratio(n * F.lit(100.0), prev), 2) if k else F.lit(None).cast("double")).alias(
+                    "pct_etapa_anterior"
+                ),
+                round_half_up(ratio(n * F.lit(100.0), F.col("n0")), 2).alias("pct_topo"),
+            )
+        )
+    return counts.select(F.inline(F.array(*rows)))

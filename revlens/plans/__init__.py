@@ -1,0 +1 @@
+"""Wiring: the layered warehouse and the registered queries."""

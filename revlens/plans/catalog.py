@@ -107,6 +107,15 @@ def category_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roadmap.category_margin(warehouse(spark, sf_dir).fact_order_items)
 
 
+def status_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = warehouse(spark, sf_dir)
+    return roadmap.status_snapshot(w.stg_users, w.stg_order_items, w.as_of, w.rules)
+
+
+def event_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roadmap.event_funnel(warehouse(spark, sf_dir).raw.events)
+
+
 QUERIES: dict[str, Query] = {
     # silver
     "stg_users": _layer("stg_users"),
@@ -144,4 +153,6 @@ QUERIES: dict[str, Query] = {
     "layer_roundtrip": layer_roundtrip,
     # roadmap
     "category_margin": category_margin,
+    "status_snapshot": status_snapshot,
+    "event_funnel": event_funnel,
 }

@@ -213,6 +213,11 @@ class TestDataSource:
     def products(self) -> DataFrame:
         return products_from(self._read("part"))
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """The event log, read as it is (event_id, ts, user_id, event_type, value, props)."""
+        return self._read("events")
+
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> TestDataSource:
     """The four raw tables (``users``, ``orders``, ``order_items``, ``products``)."""

@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The warehouse this library re-expresses has no stream, watermark, window or
+state: its run model is a full-refresh batch (every layer rebuilt in a
+fixed order, reports re-evaluated on demand). :mod:`revlens.plans.warehouse`
+covers that model; nothing here would correspond to a behaviour of the
+reference, so nothing is built.
+"""
