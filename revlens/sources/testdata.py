@@ -169,7 +169,8 @@ class TestDataSource:
     co-partitioned by order id for the order-grain aggregates after them.
     It also matters for the test folders: each file is one Parquet row
     group, which Spark cannot split, so without it every scan and the work
-    fused after it would run in a single task.
+    fused after it would run in a single task. The partition count is the
+    session's ``spark.sql.shuffle.partitions``, which AQE may coalesce.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -179,26 +180,26 @@ class TestDataSource:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _partitions(self) -> int:
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
     @cached_property
     def lineitem(self) -> DataFrame:
         li = self._read("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
         )
-        return li.repartition(self._partitions(), "l_orderkey")
+        return li.repartition("l_orderkey")
 
     @cached_property
     def tpch_orders(self) -> DataFrame:
         o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return o.repartition(self._partitions(), "o_orderkey")
+        return o.repartition("o_orderkey")
 
     @cached_property
     def users(self) -> DataFrame:
         # Spread the customers before the 8-way fan-out that makes users, so
-        # the e-mail aggregation's map side is not one task.
-        customer = self._read("customer").repartition(self._partitions(), "c_custkey")
+        # the e-mail aggregation's map side is not one task. The count is
+        # explicit: the customer table is small before the fan-out, and AQE
+        # would coalesce a plain repartition back into a single partition.
+        n = self.spark.sparkContext.defaultParallelism
+        customer = self._read("customer").repartition(n, "c_custkey")
         return users_from(customer, self._read("nation"), self._read("region"))
 
     @cached_property
