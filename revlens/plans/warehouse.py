@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from revlens.config import DEFAULT_RULES, Rules
 from revlens.operators import gold, silver, view
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import materialize
+from revlens.sources.sinks import materialize, read_table
 
 # Optional partition columns per written table, e.g. {"fact_order_items": ("ano",)}
 # so that time-filtered reports prune files. Empty by default: none of the
@@ -60,6 +60,7 @@ class Warehouse:
         target: str | None = None,
         calendar_lead_time: bool = False,
         materialize_view: bool = False,
+        reuse_stored: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
@@ -67,6 +68,7 @@ class Warehouse:
         self.target = target.rstrip("/") if target else None
         self.calendar_lead_time = calendar_lead_time
         self.materialize_view = materialize_view
+        self.reuse_stored = reuse_stored
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str | None:
@@ -77,6 +79,10 @@ class Warehouse:
         if self.target is None:
             return df
         with self._lock:  # one writer per layer even if reports run in threads
+            if self.reuse_stored:
+                stored = _stored(df.sparkSession, self.path(name))
+                if stored is not None:
+                    return stored.select(*df.columns)
             return materialize(df, self.path(name), PARTITION_BY.get(name, ()))
 
     def __getattribute__(self, name: str):
@@ -186,3 +192,14 @@ _LAYERS = frozenset(
         "vw_sales_analysis",
     }
 )
+
+
+def _stored(spark, path: str) -> DataFrame | None:
+    """The table stored at ``path``, or None when nothing complete is there."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.text(f"{path}/_SUCCESS")  # written only by a finished job
+        return read_table(spark, path)
+    except AnalysisException:
+        return None
