@@ -18,6 +18,11 @@ from lineage, and an executor loss costs at most the layer being written.
 The warehouse keeps the order view as a view (re-evaluated by every
 report). ``materialize_view=True`` stores it like a table instead: the same
 rows, computed once for all the reports that read it.
+
+``fact_order_items`` is a projection of ``stg_order_items`` (renames and
+calendar columns). Writing it would rewrite the largest table a second
+time, so unless ``store_item_fact=True`` it stays a view over the stored
+items: same rows, no second copy of the item data.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ from revlens.sources.sinks import materialize, read_table
 # published reports filters on time.
 PARTITION_BY: dict[str, tuple[str, ...]] = {}
 
+# The published tables, in dependency order.
 TABLES = (
     "stg_users",
     "stg_orders",
@@ -61,6 +67,7 @@ class Warehouse:
         calendar_lead_time: bool = False,
         materialize_view: bool = False,
         reuse_stored: bool = False,
+        store_item_fact: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
@@ -69,6 +76,7 @@ class Warehouse:
         self.calendar_lead_time = calendar_lead_time
         self.materialize_view = materialize_view
         self.reuse_stored = reuse_stored
+        self.store_item_fact = store_item_fact
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str | None:
@@ -158,7 +166,8 @@ class Warehouse:
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return self._keep("fact_order_items", gold.fact_order_items(self.stg_order_items))
+        df = gold.fact_order_items(self.stg_order_items)
+        return self._keep("fact_order_items", df) if self.store_item_fact else df
 
     # -- serving view ------------------------------------------------------
     @cached_property
@@ -175,6 +184,12 @@ class Warehouse:
         )
         return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
+    def stored(self) -> tuple[str, ...]:
+        """The published tables this warehouse writes when it has a ``target``."""
+        if self.target is None:
+            return ()
+        return tuple(t for t in TABLES if t != "fact_order_items" or self.store_item_fact)
+
     def build_all(self) -> dict[str, DataFrame]:
         """Every published table (written when ``target`` is set) plus the view."""
         out = {name: getattr(self, name) for name in TABLES}

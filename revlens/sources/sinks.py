@@ -48,8 +48,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` and return a DataFrame that reads it back (lineage cut)."""
+    """Write ``df`` and return a DataFrame that reads it back (lineage cut).
+
+    The schema is known, so the read-back does not open file footers.
+    """
     write_table(df, path, partition_by)
-    out = read_table(df.sparkSession, path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     # partition columns come back last; restore the contract's column order
     return out.select(*df.columns)
