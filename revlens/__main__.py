@@ -37,7 +37,7 @@ REPORTS = {
     "grain_report": lambda w: quality.grain_report(w.build_all()),
     "category_margin": lambda w: roadmap.category_margin(w.fact_order_items),
     "status_snapshot": lambda w: roadmap.status_snapshot(
-        w.stg_users, w.stg_order_items, w.as_of, w.rules
+        w.stg_users, None, w.as_of, w.rules, lines=w.order_lines
     ),
 }
 

@@ -27,7 +27,6 @@ from revlens.functions import (
     dsum,
     from_micros,
     iavg,
-    micros,
     money_round,
     money_total,
     month_of,
@@ -42,24 +41,57 @@ def _valid(rules: Rules) -> Column:
     return F.col("status").isin(*rules.valid_statuses)
 
 
-def customer_metrics(items: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Purchase history per user from the item table.
+def order_lines(items: DataFrame) -> DataFrame:
+    """Items folded to one row per (order, user, item day, item status).
+
+    Every item-level aggregate of the warehouse (customer metrics, order
+    metrics, per-order totals, last purchase, status history) is a
+    re-aggregation of these partial results: micro-unit sums and counts
+    add up exactly, min/max compose. So the item table -- the largest one --
+    is scanned and shuffled once, with a map-side combine (an order or a user
+    with a huge share of the items is reduced before the shuffle), and the
+    consumers read a table several times smaller.
+    """
+    return items.groupBy(
+        "order_id", "user_id", day_of("created_at").alias("data_pedido"), "status"
+    ).agg(
+        F.count("order_item_id").alias("n_items"),
+        F.count("sale_price").alias("n_priced"),
+        dsum("sale_price").alias("sale_micros"),
+        dsum("cost").alias("cost_micros"),
+        dsum("margem").alias("margem_micros"),
+        dsum("margem_pct").alias("mpct_micros"),
+        F.count("margem_pct").alias("n_mpct"),
+        F.min("created_at").alias("first_at"),
+        F.max("created_at").alias("last_at"),
+    )
+
+
+def customer_metrics(
+    items: DataFrame | None, rules: Rules = DEFAULT_RULES, lines: DataFrame | None = None
+) -> DataFrame:
+    """Purchase history per user (from the items, or their ``order_lines``).
 
     Counts and dates use every status; LTV and ticket use the valid ones.
     ``count_distinct`` is planned as a two-level aggregate (by user and
-    order, then by user), so a user with a huge share of the items is
+    order, then by user), so a user with a huge share of the orders is
     combined map-side at both levels.
     """
+    lines = lines if lines is not None else order_lines(items)
     valid = _valid(rules)
-    return items.groupBy("user_id").agg(
+    zero = F.lit(0).cast("bigint")
+    return lines.groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_pedidos"),
-        F.count("order_item_id").alias("total_itens"),
-        money_total(
-            F.sum(F.when(valid, micros("sale_price")).otherwise(F.lit(0).cast("bigint")))
-        ).alias("ltv"),
-        money_round(davg(F.when(valid, F.col("sale_price")))).alias("ticket_medio"),
-        F.min("created_at").alias("primeira_compra"),
-        F.max("created_at").alias("ultima_compra"),
+        F.sum("n_items").alias("total_itens"),
+        money_total(F.sum(F.when(valid, F.col("sale_micros")).otherwise(zero))).alias("ltv"),
+        money_round(
+            ratio(
+                from_micros(F.sum(F.when(valid, F.col("sale_micros")))),
+                F.sum(F.when(valid, F.col("n_priced"))),
+            )
+        ).alias("ticket_medio"),
+        F.min("first_at").alias("primeira_compra"),
+        F.max("last_at").alias("ultima_compra"),
     )
 
 
@@ -127,10 +159,15 @@ def customer_segments(scores: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
 
 
 def customer_status(
-    items: DataFrame, as_of: _dt.date | str | None = None, rules: Rules = DEFAULT_RULES
+    items: DataFrame | None,
+    as_of: _dt.date | str | None = None,
+    rules: Rules = DEFAULT_RULES,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """P5a -> P5b -> P5c for every user that has at least one item."""
-    return customer_segments(rfm_scores(customer_metrics(items, rules), as_of, rules), rules)
+    return customer_segments(
+        rfm_scores(customer_metrics(items, rules, lines=lines), as_of, rules), rules
+    )
 
 
 DIM_COLUMNS = (
@@ -218,45 +255,53 @@ def calendar_columns(day: Column) -> list[Column]:
     ]
 
 
-def order_metrics(items: DataFrame, orders: DataFrame) -> DataFrame:
+def order_metrics(
+    items: DataFrame | None, orders: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
     """Item totals per (order, user, item day, item status) plus the order's lead time.
 
     An order whose items carry two statuses or two dates yields one row per
     combination -- the grouping keys say so.
 
-    Plan: aggregate the items first (map-side combine, so even a hot order
-    or user is reduced before the shuffle), then left-join the order header
-    for ``dias_para_envio``. ``dias_para_envio`` is a function of
-    ``order_id``, so adding it to the keys after the join changes nothing,
-    and the calendar columns are functions of the item day, so they are
-    derived after the aggregation instead of being carried as keys.
+    Plan: the items are aggregated first (:func:`order_lines`, map-side
+    combined), then the order header is left-joined for ``dias_para_envio``.
+    ``dias_para_envio`` is a function of ``order_id``, so adding it to the
+    keys after the join changes nothing, and the calendar columns are
+    functions of the item day, so they are derived after the aggregation
+    instead of being carried as keys.
     """
-    lines = items.groupBy(
-        "order_id", "user_id", day_of("created_at").alias("_day"), "status"
-    ).agg(
-        F.count("order_item_id").alias("total_itens"),
-        dsum("sale_price").alias("_sale"),
-        dsum("cost").alias("_cost"),
-        dsum("margem").alias("_margem"),
-        davg("margem_pct").alias("_mpct"),
-    )
+    lines = lines if lines is not None else order_lines(items)
     lead = orders.select(F.col("order_id").alias("_oid"), "dias_para_envio")
     j = lines.join(lead, lines.order_id == lead._oid, "left")
     return j.select(
         "order_id",
         "user_id",
-        *calendar_columns(F.col("_day")),
+        *calendar_columns(F.col("data_pedido")),
         "status",
         "dias_para_envio",
-        "total_itens",
-        money_total("_sale").alias("receita_pedido"),
-        money_total("_cost").alias("custo_pedido"),
-        money_total("_margem").alias("margem_pedido"),
-        money_round("_mpct").alias("margem_pct_media"),
-        money_round(ratio(from_micros("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
+        F.col("n_items").alias("total_itens"),
+        *order_money_columns(),
     )
 
 
+def order_money_columns(
+    sale: str = "sale_micros",
+    cost: str = "cost_micros",
+    margem: str = "margem_micros",
+    mpct: str = "mpct_micros",
+    n_mpct: str = "n_mpct",
+    n_items: str = "n_items",
+) -> list[Column]:
+    """receita / custo / margem / margem % / ticket of an order from its partial sums."""
+    return [
+        money_total(sale).alias("receita_pedido"),
+        money_total(cost).alias("custo_pedido"),
+        money_total(margem).alias("margem_pedido"),
+        money_round(ratio(from_micros(mpct), F.col(n_mpct))).alias("margem_pct_media"),
+        money_round(ratio(from_micros(sale), F.col(n_items))).alias("ticket_medio_pedido"),
+    ]
+
+
 def _growth(current: Column, previous: Column) -> Column:
     """(cur - prev) / NULLIF(prev, 0) * 100 on micro-unit sums, rounded to 2."""
     return round_half_up(
@@ -296,10 +341,11 @@ def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 
 
 def fact_sales_performance(
-    items: DataFrame,
+    items: DataFrame | None,
     orders: DataFrame,
     dim: DataFrame,
     rules: Rules = DEFAULT_RULES,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Order metrics + that month's series + the customer's context.
 
@@ -309,7 +355,7 @@ def fact_sales_performance(
     bound set by the calendar and not by the data volume, so it is
     broadcast; the dimension join is a shuffle join on the user id.
     """
-    om = order_metrics(items, orders)
+    om = order_metrics(items, orders, lines=lines)
     series = monthly_series(om, rules).select(
         F.col("ano_mes").alias("_st_mes"),
         "media_dias_envio",

@@ -24,6 +24,7 @@ from revlens.functions import (
     ratio,
     round_half_up,
 )
+from revlens.operators.gold import order_lines
 
 
 def category_margin(items: DataFrame) -> DataFrame:
@@ -58,9 +59,10 @@ def _month_end_on_or_before(day: Column) -> Column:
 
 def status_snapshot(
     users: DataFrame,
-    items: DataFrame,
+    items: DataFrame | None,
     as_of: _dt.date | str | None = None,
     rules: Rules = DEFAULT_RULES,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Customers per lifecycle status at every month-end up to ``as_of``.
 
@@ -72,8 +74,8 @@ def status_snapshot(
 
     Plan, without a customers x months product:
 
-    1. purchase days per customer (aggregate, map-side combined) with the
-       orders first seen that day;
+    1. purchase days per customer, from the order lines (items already
+       folded per order and day), with the orders first seen that day;
     2. a window per customer over its purchase days -- at most one row per
        calendar day, so even a customer with a third of all items has a
        bounded partition -- gives orders-so-far and the next purchase day;
@@ -88,11 +90,12 @@ def status_snapshot(
     customers = users.select(
         F.col("customer_id").alias("user_id"), F.to_date("customer_since").alias("signup")
     )
-    buys = items.select("user_id", "order_id", F.to_date("created_at").alias("day")).where(
+    lines = lines if lines is not None else order_lines(items)
+    buys = lines.select("user_id", "order_id", F.col("data_pedido").alias("day")).where(
         F.col("user_id").isNotNull() & F.col("day").isNotNull()
     )
     buys = buys.join(customers.select("user_id"), "user_id", "left_semi")
-    days = buys.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("_items"))
+    days = buys.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("_lines"))
     starts = (
         buys.where(F.col("order_id").isNotNull())
         .groupBy("user_id", "order_id")

@@ -30,18 +30,14 @@ from pyspark.sql import functions as F
 
 from revlens import config as C
 from revlens.config import DEFAULT_RULES, Rules
-from revlens.functions import (
-    as_of_date,
-    calendar_days,
-    davg,
-    day_of,
-    dsum,
-    from_micros,
-    money_round,
-    money_total,
-    ratio,
+from revlens.functions import as_of_date, calendar_days, day_of
+from revlens.operators.gold import (
+    calendar_columns,
+    customer_metrics,
+    lifecycle_status,
+    order_lines,
+    order_money_columns,
 )
-from revlens.operators.gold import calendar_columns, customer_metrics, lifecycle_status
 
 VIEW_COLUMNS = (
     "order_id",
@@ -74,22 +70,20 @@ VIEW_COLUMNS = (
 )
 
 
-def order_financials(items: DataFrame) -> DataFrame:
-    """Item totals per order_id (all statuses)."""
-    return items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("total_itens"),
-        dsum("sale_price").alias("_sale"),
-        dsum("cost").alias("_cost"),
-        dsum("margem").alias("_margem"),
-        davg("margem_pct").alias("_mpct"),
+def order_financials(items: DataFrame | None, lines: DataFrame | None = None) -> DataFrame:
+    """Item totals per order_id (all statuses), from the items or their ``order_lines``."""
+    lines = lines if lines is not None else order_lines(items)
+    return lines.groupBy("order_id").agg(
+        F.sum("n_items").alias("n_items"),
+        F.sum("sale_micros").alias("sale_micros"),
+        F.sum("cost_micros").alias("cost_micros"),
+        F.sum("margem_micros").alias("margem_micros"),
+        F.sum("mpct_micros").alias("mpct_micros"),
+        F.sum("n_mpct").alias("n_mpct"),
     ).select(
         F.col("order_id").alias("_fid"),
-        "total_itens",
-        money_total("_sale").alias("receita_pedido"),
-        money_total("_cost").alias("custo_pedido"),
-        money_total("_margem").alias("margem_pedido"),
-        money_round("_mpct").alias("margem_pct_media"),
-        money_round(ratio(from_micros("_sale"), F.col("total_itens"))).alias("ticket_medio_pedido"),
+        F.col("n_items").alias("total_itens"),
+        *order_money_columns(),
     )
 
 
@@ -160,11 +154,13 @@ def vw_sales_analysis(
     as_of: _dt.date | str | None = None,
     rules: Rules = DEFAULT_RULES,
     metrics: DataFrame | None = None,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """P8 over P2 orders, P3 items, raw users, P4 mapping and the P5 dimension."""
-    metrics = metrics if metrics is not None else customer_metrics(items, rules)
+    lines = lines if lines is not None else order_lines(items)
+    metrics = metrics if metrics is not None else customer_metrics(None, rules, lines=lines)
     who = user_context(users, mapping, dim, last_purchase(metrics))
-    fin = order_financials(items)
+    fin = order_financials(None, lines=lines)
     day = day_of("created_at")
     o = orders.select(
         "order_id",

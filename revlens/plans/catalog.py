@@ -114,7 +114,7 @@ def category_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
-    return roadmap.status_snapshot(w.stg_users, w.stg_order_items, w.as_of, w.rules)
+    return roadmap.status_snapshot(w.stg_users, None, w.as_of, w.rules, lines=w.order_lines)
 
 
 def event_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@
     orders --------> stg_orders
     order_items  \\
     products ----> stg_order_items -> customer_status -> dim_customers_gold
-    stg_order_items + stg_orders + dim ---------------> fact_sales_performance
+    stg_order_items -> order_lines (items folded per order, day, status)
+    order_lines + stg_orders + dim -------------------> fact_sales_performance
     stg_order_items --------------------------------> fact_order_items
     stg_orders + stg_order_items + users + mapping + dim -> vw_sales_analysis
 
@@ -124,9 +125,14 @@ class Warehouse:
         )
 
     # -- gold --------------------------------------------------------------
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Items folded per (order, user, day, status): the input of every item aggregate."""
+        return self._keep("order_lines", gold.order_lines(self.stg_order_items))
+
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        return gold.customer_metrics(self.stg_order_items, self.rules)
+        return gold.customer_metrics(None, self.rules, lines=self.order_lines)
 
     @cached_property
     def customer_status(self) -> DataFrame:
@@ -149,7 +155,7 @@ class Warehouse:
 
     @cached_property
     def order_metrics(self) -> DataFrame:
-        return gold.order_metrics(self.stg_order_items, self.stg_orders)
+        return gold.order_metrics(None, self.stg_orders, lines=self.order_lines)
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -160,7 +166,7 @@ class Warehouse:
         return self._keep(
             "fact_sales_performance",
             gold.fact_sales_performance(
-                self.stg_order_items, self.stg_orders, self.dim_customers_gold, self.rules
+                None, self.stg_orders, self.dim_customers_gold, self.rules, lines=self.order_lines
             ),
         )
 
@@ -181,6 +187,7 @@ class Warehouse:
             self.as_of,
             self.rules,
             metrics=self.customer_metrics,
+            lines=self.order_lines,
         )
         return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
@@ -200,6 +207,7 @@ class Warehouse:
 _LAYERS = frozenset(
     {
         *TABLES,
+        "order_lines",
         "customer_metrics",
         "customer_status",
         "order_metrics",
