@@ -44,10 +44,23 @@ class RawTables:
     products: DataFrame
 
 
-def read_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> RawTables:
-    """Read ``<root>/<name>`` for the four raw tables (any format Spark reads)."""
-    frames = {
-        name: spark.read.format(fmt).load(f"{root}/{name}").select(*RAW_COLUMNS[name])
-        for name in RAW_NAMES
-    }
+def read_raw(
+    spark: SparkSession,
+    root: str,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    schemas: dict[str, str] | None = None,
+) -> RawTables:
+    """Read ``<root>/<name>`` for the four raw tables (any format Spark reads).
+
+    ``options`` go to every reader (e.g. ``{"header": "true"}`` for CSV);
+    ``schemas`` maps a table name to a DDL schema for formats that carry
+    none, so timestamps and ids arrive typed instead of inferred.
+    """
+    frames = {}
+    for name in RAW_NAMES:
+        reader = spark.read.format(fmt).options(**(options or {}))
+        if schemas and name in schemas:
+            reader = reader.schema(schemas[name])
+        frames[name] = reader.load(f"{root}/{name}").select(*RAW_COLUMNS[name])
     return RawTables(**frames)
