@@ -51,6 +51,7 @@ def _warehouse(spark, args) -> Warehouse:
         target=args.target,
         materialize_view=True,
         reuse_stored=True,
+        store_item_fact=args.store_item_fact,
     )
 
 
@@ -66,6 +67,11 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--target", required=True)
         p.add_argument("--as-of", default=None, help="reference date (default: today)")
         p.add_argument("--format", default="parquet")
+        p.add_argument(
+            "--store-item-fact",
+            action="store_true",
+            help="also write fact_order_items (by default a view over the stored items)",
+        )
     sub.add_parser("list")
     args = ap.parse_args(argv)
     if args.cmd == "list":

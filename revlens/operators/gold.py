@@ -309,13 +309,18 @@ def _growth(current: Column, previous: Column) -> Column:
     )
 
 
-def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def monthly_series(
+    metrics: DataFrame, rules: Rules = DEFAULT_RULES, calendar_aligned: bool = False
+) -> DataFrame:
     """One row per calendar month of valid orders, with MoM and YoY growth.
 
     LAG is positional over the months present, as in the warehouse script:
     with a month missing, "12 back" is not the same month a year earlier.
     The unpartitioned window runs on the monthly aggregate (one row per
-    month), never on the fact.
+    month), never on the fact. ``calendar_aligned=True`` compares with the
+    month exactly 1 and 12 calendar months earlier instead (NULL when that
+    month has no valid order), via a join of the monthly aggregate with
+    itself -- a few hundred rows at most.
     """
     m = metrics.where(_valid(rules)).groupBy("ano", "mes", "ano_mes").agg(
         F.count_distinct("order_id").alias("total_pedidos"),
@@ -326,6 +331,17 @@ def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     )
     w = Window.orderBy(F.col("ano").asc_nulls_first(), F.col("mes").asc_nulls_first())
     rev = F.col("_rev")
+    if calendar_aligned:
+        index = F.col("ano") * 12 + F.col("mes")
+        past = m.select(index.alias("_idx"), F.col("_rev").alias("_past"))
+        for lag in (1, 12):
+            shifted = past.select(
+                (F.col("_idx") + lag).alias(f"_idx{lag}"), F.col("_past").alias(f"_rev{lag}")
+            )
+            m = m.join(shifted, index == F.col(f"_idx{lag}"), "left")
+        prev1, prev12 = F.col("_rev1"), F.col("_rev12")
+    else:
+        prev1, prev12 = F.lag(rev, 1).over(w), F.lag(rev, 12).over(w)
     return m.select(
         "ano",
         "mes",
@@ -335,8 +351,8 @@ def monthly_series(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
         money_total(rev).alias("receita_mensal"),
         money_round("_ticket").alias("ticket_medio_mensal"),
         round_half_up("_lead", 1).alias("media_dias_envio"),
-        _growth(rev, F.lag(rev, 1).over(w)).alias("crescimento_mom_pct"),
-        _growth(rev, F.lag(rev, 12).over(w)).alias("crescimento_yoy_pct"),
+        _growth(rev, prev1).alias("crescimento_mom_pct"),
+        _growth(rev, prev12).alias("crescimento_yoy_pct"),
     )
 
 

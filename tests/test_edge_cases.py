@@ -150,6 +150,28 @@ def test_lag_is_positional_over_present_months(spark):
     got = {r.ano_mes: (r.receita_mensal, r.crescimento_mom_pct) for r in gold.monthly_series(om).collect()}
     # February has only a cancelled order, so it is not a row; March's "previous" is January
     assert got == {"2020-01": (100.0, None), "2020-03": (150.0, 50.0)}
+    aligned = {
+        r.ano_mes: (r.receita_mensal, r.crescimento_mom_pct)
+        for r in gold.monthly_series(om, calendar_aligned=True).collect()
+    }
+    # aligned to the calendar, March has no February to compare with
+    assert aligned == {"2020-01": (100.0, None), "2020-03": (150.0, None)}
+
+
+def test_calendar_aligned_year_over_year(spark):
+    rows = [
+        (i, 1, y, m, f"{y}-{m:02d}", "Complete", rev, rev, 1)
+        for i, (y, m, rev) in enumerate([(2019, 3, 80.0), (2019, 12, 50.0), (2020, 3, 100.0)])
+    ]
+    om = spark.createDataFrame(
+        rows,
+        "order_id long, user_id long, ano long, mes long, ano_mes string, status string, "
+        "receita_pedido double, ticket_medio_pedido double, dias_para_envio long",
+    )
+    yoy = {r.ano_mes: r.crescimento_yoy_pct for r in gold.monthly_series(om, calendar_aligned=True).collect()}
+    assert yoy == {"2019-03": None, "2019-12": None, "2020-03": 25.0}
+    positional = {r.ano_mes: r.crescimento_yoy_pct for r in gold.monthly_series(om).collect()}
+    assert positional["2020-03"] is None  # only 2 months before it: LAG(12) finds nothing
 
 
 def _dim_row(i, status, segment, ltv, days=10, source="Search", country="Brasil"):
