@@ -45,7 +45,11 @@ def warehouse(spark: SparkSession, sf_dir: str, target: str | None = None) -> Wa
     if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
         served = f"{shared_dir(spark)}/revlens-warehouse-{uuid.uuid4().hex}"
         wh = Warehouse(
-            raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=served, materialize_view=True
+            raw_tables(spark, sf_dir),
+            FIXTURE_AS_OF,
+            target=served,
+            materialize_view=True,
+            bucketed=True,
         )
         hit = (spark, wh)
         _BUILT[key] = hit

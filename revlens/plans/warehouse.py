@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -44,6 +45,14 @@ from revlens.sources.sinks import materialize, read_table
 # published reports filters on time.
 PARTITION_BY: dict[str, tuple[str, ...]] = {}
 
+# Bucket columns of written layers (``bucketed=True``). Orders and their item
+# lines share ``order_id`` buckets, so order metrics, per-order totals and
+# the view's order join read both sides already co-located.
+BUCKET_BY: dict[str, tuple[str, ...]] = {
+    "stg_orders": ("order_id",),
+    "order_lines": ("order_id",),
+}
+
 # The published tables, in dependency order.
 TABLES = (
     "stg_users",
@@ -69,6 +78,7 @@ class Warehouse:
         materialize_view: bool = False,
         reuse_stored: bool = False,
         store_item_fact: bool = False,
+        bucketed: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
@@ -78,6 +88,8 @@ class Warehouse:
         self.materialize_view = materialize_view
         self.reuse_stored = reuse_stored
         self.store_item_fact = store_item_fact
+        self.bucketed = bucketed
+        self._token = uuid.uuid4().hex[:12]
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str | None:
@@ -92,7 +104,14 @@ class Warehouse:
                 stored = _stored(df.sparkSession, self.path(name))
                 if stored is not None:
                     return stored.select(*df.columns)
-            return materialize(df, self.path(name), PARTITION_BY.get(name, ()))
+            buckets = BUCKET_BY.get(name, ()) if self.bucketed else ()
+            return materialize(
+                df,
+                self.path(name),
+                PARTITION_BY.get(name, ()),
+                bucket_by=buckets,
+                table=f"revlens_{self._token}_{name}" if buckets else None,
+            )
 
     def __getattribute__(self, name: str):
         # cached_property is not thread-safe; serialise first builds of a layer

@@ -47,12 +47,40 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    bucket_by: tuple[str, ...] = (),
+    table: str | None = None,
+) -> DataFrame:
     """Write ``df`` and return a DataFrame that reads it back (lineage cut).
 
-    The schema is known, so the read-back does not open file footers.
+    With ``bucket_by`` the table is written hash-bucketed on those columns
+    (``spark.sql.shuffle.partitions`` buckets) as an external catalog table
+    ``table`` stored at ``path``. Spark then plans joins and aggregations on
+    the bucket columns between such tables without shuffling them. The rows
+    are first repartitioned on the bucket columns, so each bucket is one
+    file rather than one file per writing task.
+
+    Without buckets the read-back is a plain path read with the known schema
+    (no footer is opened).
     """
+    spark = df.sparkSession
+    if bucket_by:
+        if table is None:
+            raise ValueError("a bucketed layer needs a catalog table name")
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (
+            df.repartition(n, *bucket_by)
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(n, *bucket_by)
+            .option("path", path)
+            .saveAsTable(table)
+        )
+        return spark.table(table).select(*df.columns)
     write_table(df, path, partition_by)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     # partition columns come back last; restore the contract's column order
     return out.select(*df.columns)
