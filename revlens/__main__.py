@@ -52,6 +52,7 @@ def _warehouse(spark, args) -> Warehouse:
         materialize_view=True,
         reuse_stored=True,
         store_item_fact=args.store_item_fact,
+        bucketed=True,
     )
 
 

@@ -69,10 +69,11 @@ def stg_user_id_mapping(users: DataFrame, survivors: DataFrame | None = None) ->
 
     Joins each registration to its e-mail's survivor (from P1, so both
     tables agree on who survived) and keeps the ones that lost. NULL e-mails
-    never match, exactly like the equi-join they replace. The survivor side
-    comes out of P1's aggregation already hash-partitioned by e-mail, so
-    only the registrations are shuffled; a hot e-mail there is split by
-    AQE's skew-join handling (the survivor side has one row per key).
+    never match, exactly like the equi-join they replace. When P1 is planned
+    in the same query, its survivors come out of the aggregation already
+    hash-partitioned by e-mail and only the registrations are shuffled. A
+    hot e-mail on the registration side is split by AQE's skew-join
+    handling: the survivor side has one row per key.
     """
     if survivors is None:
         survivors = stg_users(users)
