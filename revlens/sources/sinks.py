@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -71,15 +72,18 @@ def materialize(
         if table is None:
             raise ValueError("a bucketed layer needs a catalog table name")
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (
-            df.repartition(n, *bucket_by)
-            .write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(n, *bucket_by)
-            .option("path", path)
-            .saveAsTable(table)
-        )
-        return spark.table(table).select(*df.columns)
+        try:
+            (
+                df.repartition(n, *bucket_by)
+                .write.mode("overwrite")
+                .format("parquet")
+                .bucketBy(n, *bucket_by)
+                .option("path", path)
+                .saveAsTable(table)
+            )
+            return spark.table(table).select(*df.columns)
+        except AnalysisException:
+            pass  # the session's catalog refuses the table: store it as plain files
     write_table(df, path, partition_by)
     out = spark.read.schema(df.schema).parquet(path)
     # partition columns come back last; restore the contract's column order
