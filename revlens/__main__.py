@@ -2,6 +2,7 @@
 
     python -m revlens build  --raw DIR --target DIR [--as-of YYYY-MM-DD] [--format parquet]
     python -m revlens report NAME --raw DIR --target DIR [--as-of YYYY-MM-DD] [--rows N]
+    python -m revlens sql "SELECT ... FROM crm_analytics.dim_customers_gold" --raw DIR --target DIR
     python -m revlens list
 
 ``--raw`` holds one folder per raw table (users, orders, order_items,
@@ -9,7 +10,9 @@ products; any format Spark reads). ``build`` writes every layer under
 ``--target`` and prints the row count of each (the validation step of the
 warehouse runbook). ``report`` reuses the layers already stored under
 ``--target`` and builds any that are missing. Only the report's own rows
-(an aggregate) come back to the driver for printing.
+(an aggregate) come back to the driver for printing. ``sql`` registers the
+layers under the warehouse's names (``crm_staging.*``, ``crm_analytics.*``,
+``vw_sales_analysis``) and runs one Spark SQL statement over them.
 """
 
 from __future__ import annotations
@@ -59,10 +62,13 @@ def _warehouse(spark, args) -> Warehouse:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="revlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("build", "report"):
+    for name in ("build", "report", "sql"):
         p = sub.add_parser(name)
         if name == "report":
             p.add_argument("name", choices=sorted(REPORTS))
+        if name == "sql":
+            p.add_argument("query")
+        if name != "build":
             p.add_argument("--rows", type=int, default=50)
         p.add_argument("--raw", required=True)
         p.add_argument("--target", required=True)
@@ -88,6 +94,9 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit("--target is required")
         w.reuse_stored = False  # a build always rewrites every layer
         quality.row_count_report({name: getattr(w, name) for name in TABLES}).show(truncate=False)
+    elif args.cmd == "sql":
+        w.register()
+        spark.sql(args.query).show(args.rows, truncate=False)
     else:
         REPORTS[args.name](w).show(args.rows, truncate=False)
     return 0

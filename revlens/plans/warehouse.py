@@ -210,6 +210,37 @@ class Warehouse:
         )
         return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
+    def register(
+        self, staging_db: str = "crm_staging", analytics_db: str = "crm_analytics"
+    ) -> dict[str, str]:
+        """Expose the layers under the warehouse's table names for SQL users.
+
+        Silver tables go to ``staging_db``, gold tables to ``analytics_db``,
+        as external catalog tables over the stored files (the databases are
+        created inside ``target``, never in the working directory). Layers
+        kept as views -- the order view, and the item fact unless stored --
+        are registered as temporary views under their own names. Returns
+        name -> qualified name. Requires ``target`` (stored layers).
+        """
+        if self.target is None:
+            raise ValueError("register() needs stored layers: build the warehouse with a target")
+        spark = self.raw.users.sparkSession
+        silver = {"stg_users", "stg_orders", "stg_order_items", "stg_user_id_mapping"}
+        names: dict[str, str] = {}
+        for db in (staging_db, analytics_db):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.target}/{db}.db'")
+        for name in self.stored():
+            getattr(self, name)  # written on first access
+            qualified = f"{staging_db if name in silver else analytics_db}.{name}"
+            spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+            spark.catalog.createTable(qualified, path=self.path(name), source="parquet")
+            names[name] = qualified
+        for name in ("fact_order_items", "vw_sales_analysis"):
+            if name not in names:
+                getattr(self, name).createOrReplaceTempView(name)
+                names[name] = name
+        return names
+
     def stored(self) -> tuple[str, ...]:
         """The published tables this warehouse writes when it has a ``target``."""
         if self.target is None:

@@ -24,3 +24,21 @@ def test_build_then_report(spark, small_dir, tmp_path, capsys):
     assert "Cadastros Sem Compra" in out
     # the report reused the stored dimension instead of rewriting it
     assert os.path.getmtime(tmp_path / "wh" / "dim_customers_gold" / "_SUCCESS") == stamp
+
+
+def test_sql_over_registered_layers(spark, small_dir, tmp_path, capsys):
+    raw = raw_tables(spark, small_dir)
+    for name in ("users", "orders", "order_items", "products"):
+        write_table(getattr(raw, name), str(tmp_path / "raw" / name))
+    common = ["--raw", str(tmp_path / "raw"), "--target", str(tmp_path / "wh"), "--as-of", "2001-08-02"]
+    query = (
+        "SELECT status_pedido, COUNT(DISTINCT order_id) AS total_pedidos "
+        "FROM crm_analytics.vw_sales_analysis v "
+        "JOIN crm_analytics.dim_customers_gold d ON d.customer_id = v.user_id "
+        "WHERE status_pedido IN ('Cancelled', 'Returned') GROUP BY status_pedido"
+    ).replace("crm_analytics.vw_sales_analysis", "vw_sales_analysis")
+    assert main(["sql", query, *common]) == 0
+    out = capsys.readouterr().out
+    assert "Cancelled" in out and "Returned" in out
+    assert spark.catalog.tableExists("crm_staging.stg_users")
+    assert spark.table("crm_staging.stg_user_id_mapping").count() > 0
