@@ -9,6 +9,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from revlens import config as C
 from revlens.functions import title_case, trim_ws
 from revlens.functions.text import WORD_DELIMITERS
@@ -151,3 +153,111 @@ def test_text_functions_match_model(spark, strings):
     df = spark.createDataFrame([(s,) for s in strings], "s string")
     got = [(r[0], r[1]) for r in df.select(trim_ws("s"), title_case("s")).collect()]
     assert got == [(_model_trim(s), _model_title(s)) for s in strings]
+
+
+# --- randomized: monthly status snapshot against a month-by-month recomputation ---
+
+SNAP_AS_OF = dt.date(2001, 6, 15)
+
+
+def _month_ends(first: dt.date, last: dt.date):
+    y, m = first.year, first.month
+    while True:
+        nxt = dt.date(y + (m == 12), m % 12 + 1, 1)
+        end = nxt - dt.timedelta(days=1)
+        if end > last:
+            return
+        yield end
+        y, m = nxt.year, nxt.month
+
+
+def _brute_snapshot(users, items):
+    dates = [s for _, s in users if s] + [d for _, _, d in items]
+    out = {}
+    if not dates:
+        return out
+    for me in _month_ends(min(dates), SNAP_AS_OF):
+        for uid, signup in users:
+            mine = [(o, d) for u, o, d in items if u == uid and d <= me]
+            if mine:
+                days = (me - max(d for _, d in mine)).days
+                n = len({o for o, _ in mine})
+                status = C.NOVO if days <= 90 and n == 1 else C.ATIVO if days <= 180 else C.CHURN
+            elif signup is not None and signup <= me:
+                status = C.SEM_COMPRA
+            else:
+                continue
+            key = (me.strftime("%Y-%m"), me, status)
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
+DAY0 = dt.date(2000, 1, 1)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.one_of(st.none(), st.integers(0, 500)), min_size=1, max_size=6),
+    st.lists(st.tuples(st.integers(0, 6), st.integers(1, 8), st.integers(0, 520)), max_size=25),
+)
+def test_status_snapshot_matches_brute_force(spark, signups, buys):
+    from revlens.operators import roadmap
+
+    users = [(i + 1, None if s is None else DAY0 + dt.timedelta(days=s)) for i, s in enumerate(signups)]
+    # user 0 does not exist among the customers: its purchases must not count
+    items = [(u, o + 100 * u, DAY0 + dt.timedelta(days=d)) for u, o, d in buys]
+    stg = spark.createDataFrame(
+        [(uid, T_(signup)) for uid, signup in users], "customer_id long, customer_since timestamp_ntz"
+    )
+    it = spark.createDataFrame(
+        [(u, o, dt.datetime.combine(d, dt.time(13))) for u, o, d in items],
+        "user_id long, order_id long, created_at timestamp_ntz",
+    ).select(
+        "user_id", "order_id", "created_at",
+        F.lit(1).cast("long").alias("order_item_id"), F.lit(1.0).alias("sale_price"),
+        F.lit(1.0).alias("cost"), F.lit(0.0).alias("margem"), F.lit(0.0).alias("margem_pct"),
+        F.lit("Complete").alias("status"),
+    )
+    got = {
+        (r.ano_mes, r.data_snapshot, r.status_cliente): r.clientes
+        for r in roadmap.status_snapshot(stg, it, SNAP_AS_OF).collect()
+    }
+    known = {uid for uid, _ in users}
+    assert got == _brute_snapshot(users, [x for x in items if x[0] in known])
+
+
+def T_(day):
+    return None if day is None else dt.datetime.combine(day, dt.time(9))
+
+
+# --- randomized: ordered funnel against a per-user scan ------------------------
+
+
+def _brute_funnel(events, steps):
+    reached = [0] * len(steps)
+    for uid in {u for u, _, _ in events}:
+        mine = sorted((ts, kind) for u, kind, ts in events if u == uid)
+        at = None
+        for k, step in enumerate(steps):
+            times = [ts for ts, kind in mine if kind == step and (at is None or ts >= at)]
+            if not times:
+                break
+            at = min(times)
+            reached[k] += 1
+    return reached
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.integers(1, 5), st.sampled_from(["view", "click", "purchase", "error"]), st.integers(0, 50)),
+        max_size=40,
+    )
+)
+def test_event_funnel_matches_brute_force(spark, raw_events):
+    from revlens.operators import roadmap
+
+    events = [(u, kind, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)) for u, kind, m in raw_events]
+    df = spark.createDataFrame(events, "user_id long, event_type string, ts timestamp_ntz")
+    got = [r.usuarios for r in sorted(roadmap.event_funnel(df).collect(), key=lambda r: r.ordem)]
+    assert got == _brute_funnel(events, roadmap.FUNNEL_STEPS)
