@@ -11,6 +11,11 @@ only by case and padding (one registration in six is a duplicate), names
 that need trimming and title case, items without a product, products
 without a brand, zero-priced items, orders without items and unshipped
 orders. The mapping is a fixture contract; keep it in step with the oracle.
+
+The modulo rules assign attributes; they do not sample. Every customer,
+order and line item of the folder is used. The one filter (parts with
+``p_partkey % 97 == 0`` get no product row) exists to create items whose
+product is unknown, which the left join must keep.
 """
 
 from __future__ import annotations
