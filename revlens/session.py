@@ -8,6 +8,7 @@ stays with whoever launches the job.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,8 @@ def local_session(
         .config("spark.driver.memory", os.environ.get("REVLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        # the catalog's default database folder: a scratch folder, not the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="revlens-catalog-"))
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
