@@ -54,6 +54,7 @@ def materialize(
     partition_by: tuple[str, ...] = (),
     bucket_by: tuple[str, ...] = (),
     table: str | None = None,
+    sort_within: tuple[str, ...] = (),
 ) -> DataFrame:
     """Write ``df`` and return a DataFrame that reads it back (lineage cut).
 
@@ -66,8 +67,15 @@ def materialize(
 
     Without buckets the read-back is a plain path read with the known schema
     (no footer is opened).
+
+    ``sort_within`` sorts each file's rows (no shuffle) so that Parquet
+    row-group min/max statistics let pushed-down filters on those columns
+    skip row groups.
     """
     spark = df.sparkSession
+    source = df
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     if bucket_by:
         if table is None:
             raise ValueError("a bucketed layer needs a catalog table name")
@@ -81,10 +89,10 @@ def materialize(
                 .option("path", path)
                 .saveAsTable(table)
             )
-            return spark.table(table).select(*df.columns)
+            return spark.table(table).select(*source.columns)
         except AnalysisException:
             pass  # the session's catalog refuses the table: store it as plain files
     write_table(df, path, partition_by)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(source.schema).parquet(path)
     # partition columns come back last; restore the contract's column order
-    return out.select(*df.columns)
+    return out.select(*source.columns)
