@@ -1,8 +1,11 @@
 """Revenue-leakage reports over the order view.
 
-Every report aggregates the view first; windows (shares of a total) then
-run on the aggregate, whose size is bounded by the grouping domain
-(statuses, countries, channels, days), never on the order rows.
+Every report aggregates the view first. A share of the whole (the
+script's ``SUM(...) OVER ()``) divides by a scalar subquery over that
+aggregate -- a global sum, combined map-side -- rather than an
+unpartitioned window, which would move every group into one task. The
+trend's share of its year is a window partitioned by year over the day
+aggregate (at most 366 rows per partition).
 
 ``COUNT(DISTINCT order_id)`` is kept as written even though the view has
 one row per order: it is what the report means, and with one distinct
@@ -36,6 +39,11 @@ def _share(part: Column, total: Column) -> Column:
     return round_half_up(ratio(as_double(part) * F.lit(100.0), total), 2)
 
 
+def _grand_total(groups: DataFrame, col: str) -> Column:
+    """SUM(col) over all groups, as a scalar subquery (NULL when there are none)."""
+    return groups.agg(F.sum(col).alias("total")).scalar()
+
+
 def leakage_overview(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Orders and revenue for gross / real / lost / at-risk, one row each.
 
@@ -78,12 +86,11 @@ def leakage_by_status(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     g = _lost(view, rules).groupBy("status_pedido").agg(
         F.count_distinct("order_id").alias("total_pedidos"), dsum("receita_pedido").alias("_r")
     )
-    whole = Window.partitionBy()
     return g.select(
         "status_pedido",
         "total_pedidos",
         money_total("_r").alias("receita_perdida"),
-        _share(F.col("total_pedidos"), F.sum("total_pedidos").over(whole)).alias("pct_pedidos"),
+        _share(F.col("total_pedidos"), _grand_total(g, "total_pedidos")).alias("pct_pedidos"),
     ).orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("status_pedido").asc_nulls_first())
 
 
@@ -94,13 +101,14 @@ def leakage_by_country(view: DataFrame, rules: Rules = DEFAULT_RULES, n: int | N
         F.count_distinct("order_id").alias("total_pedidos_perdidos"),
         dsum("receita_pedido").alias("_r"),
     )
-    whole = Window.partitionBy()
     return (
         g.select(
             "country",
             "total_pedidos_perdidos",
             money_total("_r").alias("receita_perdida"),
-            _share(from_micros("_r"), from_micros(F.sum("_r").over(whole))).alias("pct_receita_perdida"),
+            _share(from_micros("_r"), from_micros(_grand_total(g, "_r"))).alias(
+                "pct_receita_perdida"
+            ),
         )
         .orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("country").asc_nulls_first())
         .limit(n)
@@ -113,13 +121,12 @@ def leakage_by_channel(view: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
         F.count_distinct("order_id").alias("total_pedidos_perdidos"),
         dsum("receita_pedido").alias("_r"),
     )
-    whole = Window.partitionBy()
     n = F.col("total_pedidos_perdidos")
     return g.select(
         "canal",
         "total_pedidos_perdidos",
         money_total("_r").alias("receita_perdida"),
-        _share(n, F.sum(n).over(whole)).alias("pct_pedidos_perdidos"),
+        _share(n, _grand_total(g, "total_pedidos_perdidos")).alias("pct_pedidos_perdidos"),
     ).orderBy(F.col("receita_perdida").desc_nulls_last(), F.col("canal").asc_nulls_first())
 
 

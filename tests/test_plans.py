@@ -76,6 +76,13 @@ def test_status_filter_reaches_the_scan(spark, lazy, tmp_path):
     assert "ReadSchema" in text
 
 
+def test_shares_of_total_use_no_single_partition_window(lazy):
+    for fn in (leakage.leakage_by_status, leakage.leakage_by_country, leakage.leakage_by_channel):
+        text = plan(fn(lazy.vw_sales_analysis))
+        assert "Window" not in text, fn.__name__
+        assert "Subquery" in text, fn.__name__
+
+
 def test_growth_constants_are_scalar_subqueries(lazy):
     text = plan(growth.growth_new_window(lazy.dim_customers_gold))
     assert "Subquery" in text
