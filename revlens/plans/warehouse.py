@@ -73,7 +73,21 @@ TABLES = (
 
 
 class Warehouse:
-    """Lazily built layers over one set of raw tables."""
+    """Lazily built layers over one set of raw tables.
+
+    raw                 the four raw tables (``users``, ``orders``, ``order_items``, ``products``)
+    as_of               reference date for every recency rule (None: today)
+    rules               business constants (see :class:`revlens.config.Rules`)
+    target              folder to write layers to; None keeps every layer lazy
+    calendar_lead_time  count shipping lead time in calendar days instead of elapsed days
+    materialize_view    store the order view like a table (same rows, computed once)
+    reuse_stored        read a layer already complete under ``target`` instead of rewriting it
+    store_item_fact     write ``fact_order_items`` too (by default a view over the stored items)
+    bucketed            write orders and order lines bucketed on ``order_id`` (co-located joins)
+
+    Each layer is a ``cached_property``: built (and written) on first access,
+    then shared by everything that reads it.
+    """
 
     def __init__(
         self,
