@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.config import PRODUCT_BROADCAST_MAX_ROWS
 from revlens.functions import (
     calendar_days,
     elapsed_days,
@@ -108,16 +109,25 @@ def stg_orders(orders: DataFrame, calendar_lead_time: bool = False) -> DataFrame
     )
 
 
-def stg_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def stg_order_items(
+    order_items: DataFrame,
+    products: DataFrame,
+    broadcast_max_rows: int | None = PRODUCT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """Every item with product cost, category, brand and its margin.
 
-    Left join, so items without a product keep a NULL cost. The join is a
-    plain equi-join: Spark broadcasts the product table only when its
-    measured size is under the broadcast threshold and falls back to a
-    sort-merge join (with AQE skew splitting for best-selling products)
-    when it is not.
+    Left join, so items without a product keep a NULL cost.
+
+    The product table is broadcast when a row count (one small job over the
+    product table) proves it is at most ``broadcast_max_rows`` rows; then
+    the item table -- the largest one -- is never shuffled for this join. A
+    larger catalogue falls back to the planner's choice: a sort-merge join
+    with AQE skew splitting for best-selling products. ``None`` skips the
+    check and leaves the choice to the planner.
     """
     p = products.select(F.col("id").alias("_pid"), "cost", "category", "brand")
+    if broadcast_max_rows is not None and p.count() <= broadcast_max_rows:
+        p = F.broadcast(p)
     j = order_items.join(p, order_items.product_id == p._pid, "left")
     sale, cost = F.col("sale_price"), F.col("cost")
     return j.select(

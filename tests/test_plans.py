@@ -93,3 +93,20 @@ def test_monthly_window_runs_on_the_monthly_aggregate(lazy):
     # the unpartitioned LAG window sits above the month aggregate, not the fact
     window_at = text.index("Window")
     assert "HashAggregate" in text[window_at:]
+
+
+def test_product_broadcast_is_size_checked(spark, small_dir):
+    import re
+
+    from revlens.operators import silver
+
+    raw = raw_tables(spark, small_dir)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the explicit check decides
+    try:
+        small = plan(silver.stg_order_items(raw.order_items, raw.products, broadcast_max_rows=10**6))
+        large = plan(silver.stg_order_items(raw.order_items, raw.products, broadcast_max_rows=10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert re.search(r"BroadcastHashJoin \[product_id", small)
+    assert re.search(r"SortMergeJoin \[product_id", large)
