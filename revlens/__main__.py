@@ -43,6 +43,8 @@ REPORTS = {
         w.stg_users, None, w.as_of, w.rules, lines=w.order_lines
     ),
 }
+# Reports over the event log (``--events``), not over the warehouse layers.
+EVENT_REPORTS = {"event_funnel": roadmap.event_funnel}
 
 
 def _warehouse(spark, args) -> Warehouse:
@@ -65,7 +67,8 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("build", "report", "sql"):
         p = sub.add_parser(name)
         if name == "report":
-            p.add_argument("name", choices=sorted(REPORTS))
+            p.add_argument("name", choices=sorted({*REPORTS, *EVENT_REPORTS}))
+            p.add_argument("--events", help="event log (parquet) for event_funnel")
         if name == "sql":
             p.add_argument("query")
         if name != "build":
@@ -82,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("list")
     args = ap.parse_args(argv)
     if args.cmd == "list":
-        print("\n".join(sorted(REPORTS)))
+        print("\n".join(sorted({*REPORTS, *EVENT_REPORTS})))
         return 0
 
     from pyspark.sql import SparkSession
@@ -97,6 +100,10 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "sql":
         w.register()
         spark.sql(args.query).show(args.rows, truncate=False)
+    elif args.name in EVENT_REPORTS:
+        if not args.events:
+            raise SystemExit(f"{args.name} needs --events PATH")
+        EVENT_REPORTS[args.name](spark.read.parquet(args.events)).show(args.rows, truncate=False)
     else:
         REPORTS[args.name](w).show(args.rows, truncate=False)
     return 0

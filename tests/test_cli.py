@@ -42,3 +42,14 @@ def test_sql_over_registered_layers(spark, small_dir, tmp_path, capsys):
     assert "Cancelled" in out and "Returned" in out
     assert spark.catalog.tableExists("crm_staging.stg_users")
     assert spark.table("crm_staging.stg_user_id_mapping").count() > 0
+
+
+def test_event_funnel_report(spark, small_dir, tmp_path, capsys):
+    raw = raw_tables(spark, small_dir)
+    for name in ("users", "orders", "order_items", "products"):
+        write_table(getattr(raw, name), str(tmp_path / "raw" / name))
+    args = ["report", "event_funnel", "--raw", str(tmp_path / "raw"), "--target", str(tmp_path / "wh"),
+            "--events", f"{small_dir}/events.parquet"]
+    assert main(args) == 0
+    out = capsys.readouterr().out
+    assert "view" in out and "purchase" in out
