@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,21 @@ def tune_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_library(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python workers, once per Spark application.
+
+    Not needed where it is installed on them or was passed with ``--py-files``.
+    """
+    if not any(f.endswith("/revlens-library.zip") for f in spark.sparkContext.listFiles):
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="revlens-ship-")) / "revlens-library.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+    return spark
+
+
 def local_session(
     cores: int | None = None,
     shuffle_partitions: int | None = None,
