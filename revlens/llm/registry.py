@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from revlens.llm import url_filter
+from revlens.llm import exact_dedup, url_filter
 
 QUERIES = {
     "op6_url_filter": url_filter.op6_url_filter,
+    "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op6_url_filter": url_filter.op6_sql(),
+    "op7_exact_dedup": exact_dedup.OP7_SQL,
 }
