@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from revlens.llm import exact_dedup, url_filter
+from revlens.llm import exact_dedup, line_dedup, url_filter
 
 QUERIES = {
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE_SQL = {
     "op6_url_filter": url_filter.op6_sql(),
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op10_line_dedup": line_dedup.OP10_SQL,
 }
