@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from revlens.llm import exact_dedup, line_dedup, url_filter
+from revlens.llm import exact_dedup, language_id, line_dedup, url_filter
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
