@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from revlens.llm import exact_dedup, language_id, line_dedup, url_filter
+from revlens.llm import byte_bpe, exact_dedup, language_id, line_dedup, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
