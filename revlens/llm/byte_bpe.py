@@ -165,7 +165,10 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-load = functools.cache(ByteBPE.load)
+@functools.cache
+def load(path: str, pattern: str) -> ByteBPE:
+    """One encoder and memo per worker and vocabulary."""
+    return ByteBPE.load(path, pattern)
 
 
 def byte_bpe(
