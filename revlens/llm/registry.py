@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from revlens.llm import byte_bpe, exact_dedup, language_id, line_dedup, packing, url_filter
+from revlens.llm import byte_bpe, exact_dedup, language_id, line_dedup, packing, quality, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
