@@ -1,12 +1,70 @@
-"""Corpus pipeline: language ID, quality classifier, exact dedup, MinHash near-dedup, packing."""
+"""Corpus pipeline: language ID, quality classifier, exact dedup, MinHash near-dedup, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all rows of ``docs``, and but for the last returns rows of ``docs``
+with all their columns. ``doc_id`` names a row: rows that repeat an id share its fate in the dedup stages, and a row
+without an id can't be named, so those stages keep it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from revlens.llm.common import held_out, stored
+from revlens.llm.exact_dedup import exact_dedup
+from revlens.llm.language_id import language_id
+from revlens.llm.language_id import learn as learn_languages
+from revlens.llm.minhash_dedup import near_groups
+from revlens.llm.packing import pack_documents
+from revlens.llm.quality import THRESHOLD, quality_scores
+from revlens.llm.quality import learn as learn_quality
+
+# A text in which no language holds this share of the letters is rejected, and so is one without letters.
+MIN_LANGUAGE_SHARE = 0.3
+
+
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
+    found = language_id(docs, model, carry=True)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
+
+
+def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; all of them where there are no labels to learn from."""
+    model = learn_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs if model is None else quality_scores(docs, model, carry=True).where(F.col("score") >= THRESHOLD).select("row.*")
+
+
+def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+
+
+def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return _without(docs, exact_dedup(docs))
+
+
+def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    return _without(docs, near_groups(docs, words=5, percent=80))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as pieces of training windows."""
+    return pack_documents(docs)
+
 
-from revlens.llm.common import stored
+STAGES = [
+    ("language_id", by_language),
+    ("quality", by_quality),
+    ("exact_dedup", one_of_equal),
+    ("minhash_dedup", one_of_near),
+    ("packing", packed),
+]
 
-STAGES = []
+# No SQL: the models and the tokenizer can't be expressed; tests/llm compares every stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -49,6 +49,18 @@ def bounded_sample(df: DataFrame, id_col: str, group_col: str, rows: int, seed:
     return df.where(u < share)
 
 
+def carried(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """doc_id and text, and with ``carry`` all columns of the row as a struct, safe from clashing names."""
+    row = [F.struct(*docs.columns).alias("row")] if carry else []
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
+
+
+def result_schema(base: DataFrame, found: str) -> str:
+    """The schema of an operator that returns the id, what it found, and the carried row if there is one."""
+    row = f", row {base.schema['row'].dataType.simpleString()}" if "row" in base.columns else ""
+    return f"doc_id {base.schema['doc_id'].dataType.simpleString()}, {found}{row}"
+
+
 def blocks(texts: Sequence[str | None], max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of roughly ``max_bytes`` characters; a longer text is a block of its own."""
     start, size = 0, 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, bounded_sample, column, held_out
+from revlens.llm.common import blocks, bounded_sample, carried, column, held_out, result_schema
 
 TRAIN_ROWS = 600  # per language
 SWITCH_PENALTY = 12.0
@@ -206,10 +206,15 @@ def label_texts(texts: list[str | None], model: dict, penalty: float) -> list[tu
 
 
 def language_id(
-    docs: DataFrame, model: dict | None, penalty: float = SWITCH_PENALTY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: dict | None,
+    penalty: float = SWITCH_PENALTY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """doc_id, lang_pred, score, spans for every row of ``docs``."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, lang_pred, score, spans for every row of ``docs``; with ``carry``, the whole row too, as struct ``row``."""
+    base = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
@@ -219,14 +224,18 @@ def language_id(
             ids, texts = batch.column(0), column(batch, "text")
             for a, b in blocks(texts, VITERBI_CHARS):
                 rows = label_texts(texts[a:b], known, penalty) if known else [("und", 0.0, [])] * (b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], span)],
-                    ["doc_id", "lang_pred", "score", "spans"],
-                )
+                out = {
+                    "doc_id": ids.slice(a, b - a),
+                    "lang_pred": pa.array([r[0] for r in rows], pa.string()),
+                    "score": pa.array([r[1] for r in rows], pa.float64()),
+                    "spans": pa.array([r[2] for r in rows], span),
+                }
+                if carry:
+                    out["row"] = batch.column(2).slice(a, b - a)
+                yield pa.RecordBatch.from_pydict(out)
 
-    kind = base.schema["doc_id"].dataType.simpleString()
     return base.mapInArrow(
-        predict, f"doc_id {kind}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+        predict, result_schema(base, "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
     )
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, bounded_sample, column, held_out, word_hashes, word_spans
+from revlens.llm.common import blocks, bounded_sample, carried, column, held_out, result_schema, word_hashes, word_spans
 
 TRAIN_ROWS = 2000  # per label
 BINS = 1 << 13
@@ -157,9 +157,12 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     return fit(words, stats, y, {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()})
 
 
-def quality_scores(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1) for every row of ``docs``; 0.5 without a model."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def quality_scores(
+    docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+) -> DataFrame:
+    """doc_id and score (0 to 1) for every row of ``docs``, 0.5 without a model; with ``carry``, the whole row too, as
+    struct ``row``."""
+    base = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +175,10 @@ def quality_scores(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
                 else:
                     z = np.clip(raw_score(known, *features(texts[a:b])).astype(np.float64), -60, 60)
                     out.append(1 / (1 + np.exp(-z)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else [], pa.float64())], ["doc_id", "score"])
+            found = {"doc_id": batch.column(0), "score": pa.array(np.concatenate(out) if out else [], pa.float64())}
+            yield pa.RecordBatch.from_pydict(found | ({"row": batch.column(2)} if carry else {}))
 
-    return base.mapInArrow(score, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, score double")
+    return base.mapInArrow(score, result_schema(base, "score double"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
