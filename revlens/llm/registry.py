@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from revlens.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, line_dedup, minhash_dedup, packing, quality, url_filter
+from revlens.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, minhash_dedup, packing, quality, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
+    "op5_license_scan": license_scan.op5_license_scan,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_quality": quality.op8_quality,
