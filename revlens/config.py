@@ -41,11 +41,6 @@ class Rules:
 
 DEFAULT_RULES = Rules()
 
-# Largest product table (rows) that the item enrichment broadcasts. A product
-# row is four narrow columns, about 60 bytes in a broadcast hash relation, so
-# the bound keeps the broadcast near 120 MB; above it the join shuffles.
-PRODUCT_BROADCAST_MAX_ROWS = 2_000_000
-
 # The date the test fixtures are evaluated against (CURRENT_DATE in the
 # warehouse scripts is not repeatable).
 FIXTURE_AS_OF = _dt.date(2001, 8, 2)

@@ -15,6 +15,7 @@ from revlens.functions.numeric import (
     dsum,
     from_micros,
     iavg,
+    micro_sum,
     micros,
     money_round,
     money_total,
@@ -33,6 +34,7 @@ __all__ = [
     "elapsed_days",
     "from_micros",
     "iavg",
+    "micro_sum",
     "micros",
     "money_round",
     "money_total",

@@ -19,7 +19,6 @@ from revlens.functions import (
     dsum,
     from_micros,
     iavg,
-    micros,
     money_round,
     money_total,
     ratio,
@@ -158,7 +157,7 @@ def growth_summary(dim: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     aggs = []
     for key, cond in classes.items():
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"n_{key}"))
-        aggs.append(F.sum(F.when(cond, micros("ltv"))).alias(f"s_{key}"))
+        aggs.append(dsum(F.when(cond, F.col("ltv"))).alias(f"s_{key}"))
         aggs.append(F.count(F.when(cond, F.col("ltv"))).alias(f"c_{key}"))
     one = dim.agg(*aggs)
     avg = {key: ratio(from_micros(f"s_{key}"), F.col(f"c_{key}")) for key in classes}
