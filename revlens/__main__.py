@@ -1,18 +1,18 @@
 """Command line: build the warehouse, run a report.
 
     python -m revlens build  --raw DIR --target DIR [--as-of YYYY-MM-DD] [--format parquet]
-    python -m revlens report NAME --raw DIR --target DIR [--as-of YYYY-MM-DD] [--rows N]
+    python -m revlens report NAME --raw DIR --target DIR [--as-of YYYY-MM-DD] [--out DIR]
     python -m revlens sql "SELECT ... FROM crm_analytics.dim_customers_gold" --raw DIR --target DIR
     python -m revlens list
 
 ``--raw`` holds one folder per raw table (users, orders, order_items,
 products; any format Spark reads). ``build`` writes every layer under
 ``--target`` and prints the row count of each (the validation step of the
-warehouse runbook). ``report`` reuses the layers already stored under
-``--target`` and builds any that are missing. Only the report's own rows
-(an aggregate) come back to the driver for printing. ``sql`` registers the
-layers under the warehouse's names (``crm_staging.*``, ``crm_analytics.*``,
-``vw_sales_analysis``) and runs one Spark SQL statement over them.
+warehouse runbook). ``report`` reuses the layers stored under ``--target`` if
+they were built from the same raw files, date and options, and builds the
+others. ``--out`` writes the whole result; without it, a preview is printed.
+``sql`` registers the layers under the warehouse's names (``crm_staging.*``,
+``crm_analytics.*``) and runs one Spark SQL statement over them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import argparse
 import sys
 
 from revlens.operators import growth, leakage, quality, roadmap
-from revlens.plans.warehouse import TABLES, Warehouse
+from revlens.plans.warehouse import Warehouse
 from revlens.session import tune_session
 
 REPORTS = {
@@ -36,13 +36,23 @@ REPORTS = {
     "growth_premium_upgrade": lambda w: growth.growth_premium_upgrade(w.dim_customers_gold, w.rules),
     "growth_new_window": lambda w: growth.growth_new_window(w.dim_customers_gold, w.rules),
     "growth_summary": lambda w: growth.growth_summary(w.dim_customers_gold, w.rules),
-    "orphan_report": lambda w: quality.orphan_report(w.vw_sales_analysis, w.stg_user_id_mapping),
+    "orphan_report": lambda w: quality.orphan_report(w.vw_sales_analysis, w.stg_users, w.stg_user_id_mapping),
     "grain_report": lambda w: quality.grain_report(w.build_all()),
+    "row_count_report": lambda w: quality.row_count_report(w.build_all()),
+    "parity_report": lambda w: quality.parity_report(_counted(w)),
+    "assertions": lambda w: quality.assertions(quality.grain_report(w.build_all()), quality.parity_report(_counted(w))),
     "category_margin": lambda w: roadmap.category_margin(w.fact_order_items),
     "status_snapshot": lambda w: roadmap.status_snapshot(
         w.stg_users, None, w.as_of, w.rules, lines=w.order_lines
     ),
 }
+
+
+def _counted(w):
+    raw = {"order_items": w.raw.order_items, "orders": w.raw.orders}
+    return w.build_all() | raw | {"order_metrics": w.order_metrics}
+
+
 # Reports over the event log (``--events``), not over the warehouse layers.
 EVENT_REPORTS = {"event_funnel": roadmap.event_funnel}
 
@@ -56,11 +66,18 @@ def _warehouse(spark, args) -> Warehouse:
         target=args.target,
         materialize_view=True,
         reuse_stored=True,
-        store_item_fact=args.store_item_fact,
-        bucketed=True,
+        store_item_fact=not args.item_fact_view,
     )
 
 
+def _deliver(df, args) -> None:
+    """The whole result as Parquet with ``--out``; otherwise a printed preview of ``--preview`` rows."""
+    if args.out:
+        df.write.mode("errorifexists").parquet(args.out)
+    else:
+        df.show(args.preview, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="revlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -72,15 +89,16 @@ def main(argv: list[str] | None = None) -> int:
         if name == "sql":
             p.add_argument("query")
         if name != "build":
-            p.add_argument("--rows", type=int, default=50)
+            p.add_argument("--out", help="folder to write the whole result to")
+            p.add_argument("--preview", type=int, default=50, help="rows to print when there is no --out")
         p.add_argument("--raw", required=True)
         p.add_argument("--target", required=True)
         p.add_argument("--as-of", default=None, help="reference date (default: today)")
         p.add_argument("--format", default="parquet")
         p.add_argument(
-            "--store-item-fact",
+            "--item-fact-view",
             action="store_true",
-            help="also write fact_order_items (by default a view over the stored items)",
+            help="keep fact_order_items as a view over the stored items instead of writing it",
         )
     sub.add_parser("list")
     args = ap.parse_args(argv)
@@ -96,16 +114,16 @@ def main(argv: list[str] | None = None) -> int:
         if not args.target:
             raise SystemExit("--target is required")
         w.reuse_stored = False  # a build always rewrites every layer
-        quality.row_count_report({name: getattr(w, name) for name in TABLES}).show(truncate=False)
+        quality.row_count_report(w.build_all()).show(truncate=False)
     elif args.cmd == "sql":
         w.register()
-        spark.sql(args.query).show(args.rows, truncate=False)
+        _deliver(spark.sql(args.query), args)
     elif args.name in EVENT_REPORTS:
         if not args.events:
             raise SystemExit(f"{args.name} needs --events PATH")
-        EVENT_REPORTS[args.name](spark.read.parquet(args.events)).show(args.rows, truncate=False)
+        _deliver(EVENT_REPORTS[args.name](spark.read.parquet(args.events)), args)
     else:
-        REPORTS[args.name](w).show(args.rows, truncate=False)
+        _deliver(REPORTS[args.name](w), args)
     return 0
 
 

@@ -67,6 +67,14 @@ def order_lines(items: DataFrame) -> DataFrame:
     )
 
 
+def resolve_users(lines: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Order lines with removed user ids replaced by the ids that survived (a left join; ids are unique in the mapping)."""
+    m = mapping.select(F.col("user_id_original").alias("_orig"), F.col("user_id_canonical").alias("_canon")).distinct()
+    j = lines.join(m, lines.user_id == m._orig, "left")
+    user = F.coalesce("_canon", "user_id").alias("user_id")
+    return j.select(*[user if c == "user_id" else c for c in lines.columns])
+
+
 def customer_metrics(
     items: DataFrame | None, rules: Rules = DEFAULT_RULES, lines: DataFrame | None = None
 ) -> DataFrame:
@@ -204,14 +212,21 @@ def dim_customers_gold(
     as_of: _dt.date | str | None = None,
     rules: Rules = DEFAULT_RULES,
     status: DataFrame | None = None,
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """P5: every cleaned customer (``users`` = P1 output) with metrics and labels.
 
+    With ``mapping`` (P4), purchases of removed ids count for the customer
+    that survived; without it they count for nobody, as in the script.
+
     Customers without purchases are kept with zero metrics, recency counted
     from sign-up and the labels 'Sem Compra' / 'Sem Segmento' / 'Sem Receita'.
     Both sides are unique per customer id, so the left join cannot skew.
     """
-    s = status if status is not None else customer_status(items, as_of, rules)
+    if status is None:
+        lines = order_lines(items)
+        status = customer_status(None, as_of, rules, lines=lines if mapping is None else resolve_users(lines, mapping))
+    s = status
     s = s.withColumnRenamed("user_id", "_uid")
     j = users.join(s, users.customer_id == s._uid, "left")
     zero_l = F.lit(0).cast("bigint")
@@ -362,6 +377,7 @@ def fact_sales_performance(
     dim: DataFrame,
     rules: Rules = DEFAULT_RULES,
     lines: DataFrame | None = None,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
     """Order metrics + that month's series + the customer's context.
 
@@ -371,7 +387,7 @@ def fact_sales_performance(
     bound set by the calendar and not by the data volume, so it is
     broadcast; the dimension join is a shuffle join on the user id.
     """
-    om = order_metrics(items, orders, lines=lines)
+    om = metrics if metrics is not None else order_metrics(items, orders, lines=lines)
     series = monthly_series(om, rules).select(
         F.col("ano_mes").alias("_st_mes"),
         "media_dias_envio",

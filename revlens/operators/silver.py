@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.config import PRODUCT_BROADCAST_MAX_ROWS
 from revlens.functions import (
     calendar_days,
     elapsed_days,
@@ -35,9 +34,12 @@ _USER_FIELDS = (
 )
 
 
-def stg_users(users: DataFrame) -> DataFrame:
+def stg_users(users: DataFrame, keep_null_email: bool = False) -> DataFrame:
     """Keep the oldest registration per LOWER(TRIM(email)), clean the text fields.
 
+    ``keep_null_email=True`` keeps every registration without an e-mail
+    instead of one: each id without an e-mail is then a customer of its own.
+
     "Oldest" is the smallest ``(created_at, id)``: ``id`` breaks ties so the
     survivor never depends on row order, and NULL ``created_at`` sorts first.
 
@@ -49,7 +51,10 @@ def stg_users(users: DataFrame) -> DataFrame:
     e-mails form one group and keep one survivor, as the ranking would.
     """
     survivor = F.min(F.struct("created_at", *_USER_FIELDS)).alias("_u")
-    first = users.groupBy(norm_email("email").alias("email")).agg(survivor)
+    keys = [norm_email("email").alias("email")]
+    if keep_null_email:
+        keys.append(F.when(F.col("email").isNull(), F.col("id")).alias("_own"))
+    first = users.groupBy(*keys).agg(survivor)
     u = lambda name: F.col(f"_u.{name}")
     return first.select(
         u("id").alias("customer_id"),
@@ -75,6 +80,11 @@ def stg_user_id_mapping(users: DataFrame, survivors: DataFrame | None = None) ->
     hash-partitioned by e-mail and only the registrations are shuffled. A
     hot e-mail on the registration side is split by AQE's skew-join
     handling: the survivor side has one row per key.
+
+    A raw id that is registered several times maps only if its e-mail's
+    survivor is another id: ids 1, 1, 2 of one e-mail give (2, 1), where a
+    ranking would also give (1, 1). ``quality.assertions`` reports repeated
+    ids.
     """
     if survivors is None:
         survivors = stg_users(users)
@@ -109,25 +119,16 @@ def stg_orders(orders: DataFrame, calendar_lead_time: bool = False) -> DataFrame
     )
 
 
-def stg_order_items(
-    order_items: DataFrame,
-    products: DataFrame,
-    broadcast_max_rows: int | None = PRODUCT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def stg_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Every item with product cost, category, brand and its margin.
 
     Left join, so items without a product keep a NULL cost.
 
-    The product table is broadcast when a row count (one small job over the
-    product table) proves it is at most ``broadcast_max_rows`` rows; then
-    the item table -- the largest one -- is never shuffled for this join. A
-    larger catalogue falls back to the planner's choice: a sort-merge join
-    with AQE skew splitting for best-selling products. ``None`` skips the
-    check and leaves the choice to the planner.
+    A plain join: the planner and AQE broadcast the products when their
+    measured bytes allow it (the items are then not shuffled), and otherwise
+    sort-merge with AQE splitting the best-selling products.
     """
     p = products.select(F.col("id").alias("_pid"), "cost", "category", "brand")
-    if broadcast_max_rows is not None and p.count() <= broadcast_max_rows:
-        p = F.broadcast(p)
     j = order_items.join(p, order_items.product_id == p._pid, "left")
     sale, cost = F.col("sale_price"), F.col("cost")
     return j.select(

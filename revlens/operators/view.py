@@ -17,8 +17,7 @@ unique, and the order rows are joined to the result once:
 ``who`` is a full outer join of the raw users (with mapping and dimension)
 and the per-user purchase summary, because an order's user id may have
 items but no registration. That keeps the order-grain data to at most two
-shuffles (none for the ``order_id`` join when orders and order lines are
-stored bucketed on it), and the user join -- the one a hot user id would
+shuffles, and the user join -- the one a hot user id would
 skew -- is the last step, where AQE can split a skewed partition.
 """
 

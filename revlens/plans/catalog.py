@@ -49,7 +49,6 @@ def warehouse(spark: SparkSession, sf_dir: str, target: str | None = None) -> Wa
             FIXTURE_AS_OF,
             target=served,
             materialize_view=True,
-            bucketed=True,
         )
         hit = (spark, wh)
         _BUILT[key] = hit
@@ -92,24 +91,29 @@ def grain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
-    return quality.orphan_report(w.vw_sales_analysis, w.stg_user_id_mapping)
+    return quality.orphan_report(w.vw_sales_analysis, w.stg_users, w.stg_user_id_mapping)
 
 
-def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CTAS sinks: every published table, counted from what was written.
+def parity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.parity_report(_counted(warehouse(spark, sf_dir)))
 
-    Builds (writes) any layer the session has not written yet, then counts
-    each stored table by reading its files afresh; the item fact, which the
-    served warehouse keeps as a view over the stored items, is counted
-    through that view.
-    """
+
+def assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
-    stored = set(w.stored())
-    tables = {}
-    for name in TABLES:
-        df = getattr(w, name)  # written on first access
-        tables[name] = read_table(spark, w.path(name)) if name in stored else df
-    return quality.row_count_report(tables)
+    return quality.assertions(quality.grain_report(w.build_all()), quality.parity_report(_counted(w)))
+
+
+def _counted(w: Warehouse) -> dict[str, DataFrame]:
+    raw = {"order_items": w.raw.order_items, "orders": w.raw.orders}
+    return w.build_all() | raw | {"order_metrics": w.order_metrics}
+
+
+def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CTAS sinks: every published table is written to a target of its own, then counted from its files."""
+    target = f"{shared_dir(spark)}/revlens-roundtrip-{uuid.uuid4().hex}"
+    w = Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
+    w.build_all()
+    return quality.row_count_report({name: read_table(spark, w.path(name)) for name in TABLES})
 
 
 def category_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +163,8 @@ QUERIES: dict[str, Query] = {
     "row_count_report": row_count_report,
     "grain_report": grain_report,
     "orphan_report": orphan_report,
+    "parity_report": parity_report,
+    "assertions": assertions,
     "layer_roundtrip": layer_roundtrip,
     # roadmap
     "category_margin": category_margin,

@@ -20,15 +20,23 @@ The warehouse keeps the order view as a view (re-evaluated by every
 report). ``materialize_view=True`` stores it like a table instead: the same
 rows, computed once for all the reports that read it.
 
-``fact_order_items`` is a projection of ``stg_order_items`` (renames and
-calendar columns). Writing it would rewrite the largest table a second
-time, so unless ``store_item_fact=True`` it stays a view over the stored
-items: same rows, no second copy of the item data.
+``fact_order_items`` is a projection of ``stg_order_items``; the warehouse
+publishes it as a table, so it is written like the others. A session that
+wants to spare the second copy of the item data passes
+``store_item_fact=False`` and reads it as a view over the stored items.
+
+A written layer is a new version in a folder of its own, named in the
+target's manifest together with what it was built from (reference date,
+rules, lead-time mode, raw files). ``reuse_stored=True`` reads a stored layer
+only if all of that is equal; otherwise it is built anew.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
+import re
 import threading
 import uuid
 from functools import cached_property
@@ -38,7 +46,7 @@ from pyspark.sql import DataFrame
 from revlens.config import DEFAULT_RULES, Rules
 from revlens.operators import gold, silver, view
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import materialize, read_table
+from revlens.sources.sinks import Manifest, drop_folder, materialize, read_table
 
 # Optional partition columns per written table, e.g. {"fact_order_items": ("ano",)}
 # so that time-filtered reports prune files. Empty by default: none of the
@@ -52,13 +60,8 @@ SORT_WITHIN: dict[str, tuple[str, ...]] = {
     "vw_sales_analysis": ("status_pedido", "data_pedido"),
 }
 
-# Bucket columns of written layers (``bucketed=True``). Orders and their item
-# lines share ``order_id`` buckets, so order metrics, per-order totals and
-# the view's order join read both sides already co-located.
-BUCKET_BY: dict[str, tuple[str, ...]] = {
-    "stg_orders": ("order_id",),
-    "order_lines": ("order_id",),
-}
+# Layers that depend on the raw tables alone, not on the reference date or the rules.
+SILVER = frozenset({"stg_users", "stg_orders", "stg_order_items", "stg_user_id_mapping", "order_lines", "order_metrics"})
 
 # The published tables, in dependency order.
 TABLES = (
@@ -82,8 +85,9 @@ class Warehouse:
     calendar_lead_time  count shipping lead time in calendar days instead of elapsed days
     materialize_view    store the order view like a table (same rows, computed once)
     reuse_stored        read a layer already complete under ``target`` instead of rewriting it
-    store_item_fact     write ``fact_order_items`` too (by default a view over the stored items)
-    bucketed            write orders and order lines bucketed on ``order_id`` (co-located joins)
+    store_item_fact     write ``fact_order_items`` (False: a view over the stored items)
+    keep_null_email     keep every registration without an e-mail, not one of them
+    fold_orphans        count purchases of removed ids for the customer that survived
 
     Each layer is a ``cached_property``: built (and written) on first access,
     then shared by everything that reads it.
@@ -98,8 +102,9 @@ class Warehouse:
         calendar_lead_time: bool = False,
         materialize_view: bool = False,
         reuse_stored: bool = False,
-        store_item_fact: bool = False,
-        bucketed: bool = False,
+        store_item_fact: bool = True,
+        keep_null_email: bool = False,
+        fold_orphans: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
@@ -109,31 +114,56 @@ class Warehouse:
         self.materialize_view = materialize_view
         self.reuse_stored = reuse_stored
         self.store_item_fact = store_item_fact
-        self.bucketed = bucketed
-        self._token = uuid.uuid4().hex[:12]
+        self.keep_null_email = keep_null_email
+        self.fold_orphans = fold_orphans
+        self._written: dict[str, str] = {}
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str | None:
-        """Where a written layer lives (None when layers stay lazy)."""
-        return None if self.target is None else f"{self.target}/{name}"
+        """Where a layer that this warehouse has written or reused lives (None: lazy)."""
+        return self._written.get(name)
+
+    def built_from(self, name: str) -> str | None:
+        """What a layer depends on, as a string to compare; None when the raw files are not known."""
+        files = [f for t in ("users", "orders", "order_items", "products") for f in sorted(getattr(self.raw, t).inputFiles())]
+        if not files:
+            return None
+        known = {
+            "raw": hashlib.sha256("\n".join(files).encode()).hexdigest(),
+            "calendar_lead_time": self.calendar_lead_time,
+            "keep_null_email": self.keep_null_email,
+        }
+        if name not in SILVER:
+            as_of = self.as_of if self.as_of is not None else _dt.date.today()
+            known |= {"as_of": str(as_of), "rules": repr(self.rules), "fold_orphans": self.fold_orphans}
+        return json.dumps(known, sort_keys=True)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.target is None:
             return df
         with self._lock:  # one writer per layer even if reports run in threads
-            if self.reuse_stored:
-                stored = _stored(df.sparkSession, self.path(name))
+            spark, basis = df.sparkSession, self.built_from(name)
+            manifest = Manifest(spark, self.target)
+            if self.reuse_stored and basis is not None:
+                stored = manifest.served(name, basis)
                 if stored is not None:
-                    return stored.select(*df.columns)
-            buckets = BUCKET_BY.get(name, ()) if self.bucketed else ()
-            return materialize(
-                df,
-                self.path(name),
-                PARTITION_BY.get(name, ()),
-                bucket_by=buckets,
-                table=f"revlens_{self._token}_{name}" if buckets else None,
-                sort_within=SORT_WITHIN.get(name, ()),
-            )
+                    self._written[name] = stored
+                    return read_table(spark, stored).select(*df.columns)
+            version = f"{self.target}/{name}/v-{uuid.uuid4().hex}"
+            out = materialize(df, version, PARTITION_BY.get(name, ()), SORT_WITHIN.get(name, ()))
+            manifest.add(name, version, basis)
+            self._written[name] = version
+            return out
+
+    def drop(self) -> None:
+        """Delete every version of every layer under ``target``; nothing else is touched."""
+        spark = self.raw.users.sparkSession
+        manifest = Manifest(spark, self.target)
+        for records in manifest.records().values():
+            for record in records:
+                drop_folder(spark, record["path"])
+        drop_folder(spark, manifest.path)
+        self._written.clear()
 
     def __getattribute__(self, name: str):
         # cached_property is not thread-safe; serialise first builds of a layer
@@ -145,7 +175,7 @@ class Warehouse:
     # -- silver ------------------------------------------------------------
     @cached_property
     def stg_users(self) -> DataFrame:
-        return self._keep("stg_users", silver.stg_users(self.raw.users))
+        return self._keep("stg_users", silver.stg_users(self.raw.users, self.keep_null_email))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -173,13 +203,16 @@ class Warehouse:
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        return gold.customer_metrics(None, self.rules, lines=self.order_lines)
+        """Read by the dimension and the view, so stored like a layer."""
+        return self._keep("customer_metrics", gold.customer_metrics(None, self.rules, lines=self.order_lines))
 
     @cached_property
     def customer_status(self) -> DataFrame:
-        return gold.customer_segments(
-            gold.rfm_scores(self.customer_metrics, self.as_of, self.rules), self.rules
-        )
+        metrics = self.customer_metrics
+        if self.fold_orphans:
+            lines = gold.resolve_users(self.order_lines, self.stg_user_id_mapping)
+            metrics = gold.customer_metrics(None, self.rules, lines=lines)
+        return gold.customer_segments(gold.rfm_scores(metrics, self.as_of, self.rules), self.rules)
 
     @cached_property
     def dim_customers_gold(self) -> DataFrame:
@@ -196,7 +229,8 @@ class Warehouse:
 
     @cached_property
     def order_metrics(self) -> DataFrame:
-        return gold.order_metrics(None, self.stg_orders, lines=self.order_lines)
+        """Read by the month series and the order fact, so stored like a layer."""
+        return self._keep("order_metrics", gold.order_metrics(None, self.stg_orders, lines=self.order_lines))
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -207,7 +241,7 @@ class Warehouse:
         return self._keep(
             "fact_sales_performance",
             gold.fact_sales_performance(
-                None, self.stg_orders, self.dim_customers_gold, self.rules, lines=self.order_lines
+                None, self.stg_orders, self.dim_customers_gold, self.rules, metrics=self.order_metrics
             ),
         )
 
@@ -237,32 +271,41 @@ class Warehouse:
     ) -> dict[str, str]:
         """Expose the layers under the warehouse's table names for SQL users.
 
-        Silver tables go to ``staging_db``, gold tables to ``analytics_db``,
-        as external catalog tables over the stored files (the databases are
-        created inside ``target``, never in the working directory). Layers
-        kept as views -- the order view, and the item fact unless stored --
-        are registered as temporary views under their own names. Returns
-        name -> qualified name. Requires ``target`` (stored layers).
+        Silver tables go to ``staging_db``, gold tables and the order view to
+        ``analytics_db``, as external catalog tables over the served versions
+        (the databases are created inside ``target``, never in the working
+        directory). A table of that name is replaced only if its files lie
+        under ``target``; any other one is left alone and raises. A layer
+        that isn't stored is registered as a temporary view under its own
+        name. Returns name -> qualified name. Requires ``target``.
         """
         if self.target is None:
             raise ValueError("register() needs stored layers: build the warehouse with a target")
         spark = self.raw.users.sparkSession
-        silver = {"stg_users", "stg_orders", "stg_order_items", "stg_user_id_mapping"}
         names: dict[str, str] = {}
         for db in (staging_db, analytics_db):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.target}/{db}.db'")
-        for name in self.stored():
-            getattr(self, name)  # written on first access
-            qualified = f"{staging_db if name in silver else analytics_db}.{name}"
-            spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        for name in (*TABLES, "vw_sales_analysis"):
+            df = getattr(self, name)  # written on first access
+            if self.path(name) is None:
+                df.createOrReplaceTempView(name)
+                names[name] = name
+                continue
+            qualified = f"{staging_db if name in SILVER else analytics_db}.{name}"
+            if spark.catalog.tableExists(qualified):
+                if not self._is_ours(qualified):
+                    raise ValueError(f"{qualified} exists and its files are not under {self.target}; it was left alone")
+                spark.sql(f"DROP TABLE {qualified}")  # external: the files stay
             spark.catalog.createTable(qualified, path=self.path(name), source="parquet")
             names[name] = qualified
-        for name in ("fact_order_items", "vw_sales_analysis"):
-            if name not in names:
-                getattr(self, name).createOrReplaceTempView(name)
-                names[name] = name
         return names
 
+    def _is_ours(self, table: str) -> bool:
+        """Whether an external table's files lie under the target."""
+        about = {r["col_name"]: r["data_type"] for r in self.raw.users.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        home = re.sub(r"^file:/+", "/", self.target) + "/"
+        return about.get("Type") == "EXTERNAL" and re.sub(r"^file:/+", "/", about.get("Location", "")).startswith(home)
+
     def stored(self) -> tuple[str, ...]:
         """The published tables this warehouse writes when it has a ``target``."""
         if self.target is None:
@@ -287,14 +330,3 @@ _LAYERS = frozenset(
         "vw_sales_analysis",
     }
 )
-
-
-def _stored(spark, path: str) -> DataFrame | None:
-    """The table stored at ``path``, or None when nothing complete is there."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.text(f"{path}/_SUCCESS")  # written only by a finished job
-        return read_table(spark, path)
-    except AnalysisException:
-        return None

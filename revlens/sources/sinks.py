@@ -8,9 +8,11 @@ scratch folder (tests).
 
 from __future__ import annotations
 
+import json
 import tempfile
+import time
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -52,47 +54,70 @@ def materialize(
     df: DataFrame,
     path: str,
     partition_by: tuple[str, ...] = (),
-    bucket_by: tuple[str, ...] = (),
-    table: str | None = None,
     sort_within: tuple[str, ...] = (),
 ) -> DataFrame:
     """Write ``df`` and return a DataFrame that reads it back (lineage cut).
 
-    With ``bucket_by`` the table is written hash-bucketed on those columns
-    (``spark.sql.shuffle.partitions`` buckets) as an external catalog table
-    ``table`` stored at ``path``. Spark then plans joins and aggregations on
-    the bucket columns between such tables without shuffling them. The rows
-    are first repartitioned on the bucket columns, so each bucket is one
-    file rather than one file per writing task.
-
-    Without buckets the read-back is a plain path read with the known schema
-    (no footer is opened).
-
-    ``sort_within`` sorts each file's rows (no shuffle) so that Parquet
-    row-group min/max statistics let pushed-down filters on those columns
-    skip row groups.
+    The read-back is a plain path read with the known schema (no footer is
+    opened). ``sort_within`` sorts each file's rows (no shuffle) so that
+    Parquet row-group min/max statistics let pushed-down filters on those
+    columns skip row groups.
     """
-    spark = df.sparkSession
     source = df
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    if bucket_by:
-        if table is None:
-            raise ValueError("a bucketed layer needs a catalog table name")
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        try:
-            (
-                df.repartition(n, *bucket_by)
-                .write.mode("overwrite")
-                .format("parquet")
-                .bucketBy(n, *bucket_by)
-                .option("path", path)
-                .saveAsTable(table)
-            )
-            return spark.table(table).select(*source.columns)
-        except AnalysisException:
-            pass  # the session's catalog refuses the table: store it as plain files
     write_table(df, path, partition_by)
-    out = spark.read.schema(source.schema).parquet(path)
+    out = df.sparkSession.read.schema(source.schema).parquet(path)
     # partition columns come back last; restore the contract's column order
     return out.select(*source.columns)
+
+
+class Manifest:
+    """Which version of each layer under ``target`` is served, and what it was built from.
+
+    A layer is written to a folder of its own; then one small JSON record is
+    added here by Spark's own committer. Readers take the newest complete
+    record, so a failed write changes nothing, and a replaced version stays
+    readable for those who already read it, until ``drop_old``.
+    """
+
+    def __init__(self, spark: SparkSession, target: str) -> None:
+        self.spark, self.path = spark, f"{target}/_manifest"
+
+    def records(self) -> dict[str, list[dict]]:
+        """Complete records by layer, oldest first."""
+        if not _exists(self.spark, self.path):
+            return {}
+        rows = self.spark.read.option("recursiveFileLookup", "true").text(self.path).collect()  # one row per layer version
+        out: dict[str, list[dict]] = {}
+        for record in sorted((json.loads(r["value"]) for r in rows), key=lambda x: x["at"]):
+            out.setdefault(record["layer"], []).append(record)
+        return out
+
+    def served(self, layer: str, built_from: str | None = None) -> str | None:
+        """The folder of the layer's newest version, if that was built from ``built_from``."""
+        newest = self.records().get(layer, [None])[-1]
+        if newest is None or (built_from is not None and newest["built_from"] != built_from):
+            return None
+        return newest["path"]
+
+    def add(self, layer: str, path: str, built_from: str | None) -> None:
+        record = {"layer": layer, "path": path, "built_from": built_from, "at": time.time_ns()}
+        line = self.spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1)
+        line.write.text(f"{self.path}/{layer}-{uuid.uuid4().hex}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

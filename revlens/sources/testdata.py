@@ -4,7 +4,7 @@ The warehouse reads ``users``, ``orders``, ``order_items`` and ``products``.
 The test folders hold ``customer``, ``nation``, ``region``, ``orders``,
 ``lineitem`` and ``part`` instead. This module derives the four raw tables
 from them with integer-only rules, so DuckDB (the oracle) derives exactly
-the same rows; the SQL twin lives in :mod:`revlens.oracle.sources`.
+the same rows; the SQL twin is in :mod:`revlens.oracle.sql`.
 
 The rules plant the defects the warehouse exists to fix: e-mails that differ
 only by case and padding (one registration in six is a duplicate), names
@@ -167,15 +167,9 @@ class TestDataSource:
     Attributes are built on first use, so a query that needs only users
     never plans the order tables.
 
-    ``lineitem`` and ``orders`` are hash-partitioned by order key as they are
-    read. The join of items to their order header needs exactly that
-    exchange at any scale, so the repartition replaces the join's own
-    shuffle rather than adding one, and the item and order tables come out
-    co-partitioned by order id for the order-grain aggregates after them.
-    It also matters for the test folders: each file is one Parquet row
-    group, which Spark cannot split, so without it every scan and the work
-    fused after it would run in a single task. The partition count is the
-    session's ``spark.sql.shuffle.partitions``, which AQE may coalesce.
+    Tables are read plainly: Spark inserts the exchanges a join or an
+    aggregate needs, so partial aggregates run before them and AQE can split
+    a hot key (it never splits a repartition that a caller asked for).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -187,25 +181,17 @@ class TestDataSource:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        li = self._read("lineitem").select(
+        return self._read("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
         )
-        return li.repartition("l_orderkey")
 
     @cached_property
     def tpch_orders(self) -> DataFrame:
-        o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return o.repartition("o_orderkey")
+        return self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
 
     @cached_property
     def users(self) -> DataFrame:
-        # Spread the customers before the 8-way fan-out that makes users, so
-        # the e-mail aggregation's map side is not one task. The count is
-        # explicit: the customer table is small before the fan-out, and AQE
-        # would coalesce a plain repartition back into a single partition.
-        n = self.spark.sparkContext.defaultParallelism
-        customer = self._read("customer").repartition(n, "c_custkey")
-        return users_from(customer, self._read("nation"), self._read("region"))
+        return users_from(self._read("customer"), self._read("nation"), self._read("region"))
 
     @cached_property
     def orders(self) -> DataFrame:

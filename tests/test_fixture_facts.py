@@ -64,7 +64,7 @@ def test_orders_items_and_orphans(wh):
     items = wh.stg_order_items
     assert items.where(F.col("cost").isNull()).count() == 646
     assert items.where(F.col("sale_price") == 0).count() == 1_150
-    orphan = quality.orphan_report(wh.vw_sales_analysis, wh.stg_user_id_mapping).first()
+    orphan = quality.orphan_report(wh.vw_sales_analysis, wh.stg_users, wh.stg_user_id_mapping).first()
     assert (orphan.pedidos_orfaos, orphan.ids_orfaos) == (2_501, 1_445)
     assert wh.vw_sales_analysis.select("ano_mes").distinct().count() == 80
 

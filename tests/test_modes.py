@@ -1,5 +1,5 @@
-"""The lazy warehouse (one plan from the raw scans) and the served one (stored,
-bucketed layers) produce the same rows."""
+"""The lazy warehouse (one plan from the raw scans) and the served one (stored
+layers) produce the same rows."""
 
 from __future__ import annotations
 

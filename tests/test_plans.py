@@ -48,7 +48,7 @@ def reports(w):
         growth.growth_summary,
     ):
         yield fn.__name__, fn(w.dim_customers_gold)
-    yield "orphan_report", quality.orphan_report(w.vw_sales_analysis, w.stg_user_id_mapping)
+    yield "orphan_report", quality.orphan_report(w.vw_sales_analysis, w.stg_users, w.stg_user_id_mapping)
     yield "category_margin", roadmap.category_margin(w.fact_order_items)
 
 
@@ -95,18 +95,20 @@ def test_monthly_window_runs_on_the_monthly_aggregate(lazy):
     assert "HashAggregate" in text[window_at:]
 
 
-def test_product_broadcast_is_size_checked(spark, small_dir):
-    import re
-
+def test_no_job_runs_while_items_are_planned(spark, small_dir):
     from revlens.operators import silver
 
     raw = raw_tables(spark, small_dir)
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the explicit check decides
-    try:
-        small = plan(silver.stg_order_items(raw.order_items, raw.products, broadcast_max_rows=10**6))
-        large = plan(silver.stg_order_items(raw.order_items, raw.products, broadcast_max_rows=10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
-    assert re.search(r"BroadcastHashJoin \[product_id", small)
-    assert re.search(r"SortMergeJoin \[product_id", large)
+    tracker, group = spark.sparkContext.statusTracker(), "plan-only"
+    spark.sparkContext.setJobGroup(group, group)
+    items, products = raw.order_items, raw.products
+    before = len(tracker.getJobIdsForGroup(group))
+    text = plan(silver.stg_order_items(items, products))
+    assert len(tracker.getJobIdsForGroup(group)) == before
+    assert "broadcast" not in text.lower() or "BroadcastHashJoin" in text
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_line_counts_combine_before_the_shuffle(spark, small_dir):
+    text = plan(raw_tables(spark, small_dir).orders)
+    assert "partial_count(1)" in text and "REPARTITION" not in text

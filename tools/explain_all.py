@@ -57,7 +57,7 @@ def main() -> int:
         "leakage_trend": lambda: leakage.leakage_trend(vw),
         "growth_unconverted": lambda: growth.growth_unconverted(dim),
         "growth_summary": lambda: growth.growth_summary(dim),
-        "orphan_report": lambda: quality.orphan_report(vw, w.stg_user_id_mapping),
+        "orphan_report": lambda: quality.orphan_report(vw, w.stg_users, w.stg_user_id_mapping),
         "status_snapshot": lambda: roadmap.status_snapshot(
             w.stg_users, None, w.as_of, lines=w.order_lines
         ),
