@@ -94,8 +94,8 @@ def status_snapshot(
     buys = lines.select("user_id", "order_id", F.col("data_pedido").alias("day")).where(
         F.col("user_id").isNotNull() & F.col("day").isNotNull()
     )
-    buys = buys.join(customers.select("user_id"), "user_id", "left_semi")
-    days = buys.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("_lines"))
+    # the purchase days decide whose timeline is kept: one row per user and day is filtered, not every line
+    days = buys.select("user_id", "day").distinct().join(customers.select("user_id"), "user_id", "left_semi")
     starts = (
         buys.where(F.col("order_id").isNotNull())
         .groupBy("user_id", "order_id")
