@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import column
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 
 class _Odd(Exception):
@@ -43,12 +43,12 @@ class _Odd(Exception):
 class _Memo(dict):
     """word -> ids, computed when first asked for. Two generations: words still in use outlive a full memo."""
 
-    def __init__(self, make):
+    def __init__(self, make, share: int = 1):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.share, self.old = make, share, {}
 
     def __missing__(self, word):
-        if len(self) >= CACHE_WORDS:
+        if len(self) * self.share >= CACHE_WORDS:
             self.old = dict(self)
             self.clear()
         ids = self.old.get(word)
@@ -64,6 +64,7 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
+        self.sizes = {i: len(t) for t, i in ranks.items()}
         self.numbers = {i: str(i) for i in ranks.values()}
         self.split = regex.compile(pattern).findall
         self.machine = ahocorasick.Automaton()
@@ -75,8 +76,8 @@ class ByteBPE:
             self.shorter[i] = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), None)
         self.fits: dict[tuple[int, int], bool] = {}
         self.after_space = _Memo(self._after_space)
-        self.literal = _Memo(self._pieces)
-        self.piece = _Memo(self._encode_piece)
+        self.literal = _Memo(self._pieces, 20)  # first words of texts
+        self.piece = _Memo(self._encode_piece, 2)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBPE:
@@ -87,7 +88,7 @@ class ByteBPE:
         """Whether merging the joined bytes of two tokens in rank order ends in exactly these two."""
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) >= 5 * CACHE_WORDS:
+            if len(self.fits) >= CACHE_WORDS:
                 self.fits.clear()
             a, b = self.tokens[left], self.tokens[right]
             known = self.fits[left, right] = self.merged(a + b) == [a, b]
@@ -114,27 +115,26 @@ class ByteBPE:
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        end = len(data)
-        text = data.decode("latin-1")
+        text, end = data.decode("latin-1"), len(data)
         longest = self.machine.iter_long  # every byte is a token, so the first match starts where the search does
-        tokens, shorter, fits, compatible = self.tokens, self.shorter, self.fits, self._compatible
-        usable = [True] * (end + 1)
+        sizes, shorter, fits, compatible = self.sizes, self.shorter, self.fits, self._compatible
+        given_up: set[int] = set()
         out: list[int] = []
-        at, (_, token) = 0, next(longest(text))
+        at, before, token = 0, None, next(longest(text))[1]
         while True:
             if token is None:  # nothing fits here: give the position up and shorten the token before it
-                usable[at] = False
+                given_up.add(at)
                 token = out.pop()
-                at -= len(tokens[token])
+                before = out[-1] if out else None
+                at -= sizes[token]
                 token = shorter[token]
                 continue
-            to = at + len(tokens[token])
-            if usable[to] and (not out or fits.get((out[-1], token)) or compatible(out[-1], token)):
+            to = at + sizes[token]
+            if to not in given_up and (before is None or fits.get((before, token)) or compatible(before, token)):
                 out.append(token)
-                at = to
-                if at == end:
+                if to == end:
                     return tuple(out)
-                _, token = next(longest(text, at))
+                at, before, token = to, token, next(longest(text, to))[1]
             else:
                 token = shorter[token]
 
