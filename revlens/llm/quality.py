@@ -1,6 +1,6 @@
 """Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
 
-The features of a text are its hashed lower-cased words (log counts, scaled to unit length), ten statistics of its
+The features of a text are its hashed lower-cased words (log counts, scaled to unit length), eleven statistics of its
 structure, and its length as metadata. The machine scores ``w0 + sum w_i x_i`` plus all pairwise interactions through
 vectors of ``RANK`` numbers, in linear time: ``(sum_f (sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2) / 2``.
 
