@@ -16,6 +16,7 @@ from the raw tables, and no stored layer depends on executor memory.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -43,12 +44,14 @@ def warehouse(spark: SparkSession, sf_dir: str, target: str | None = None) -> Wa
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _BUILT.get(key)
     if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-        served = f"{shared_dir(spark)}/revlens-warehouse-{uuid.uuid4().hex}"
+        # one target per data folder: a later session reuses the layers if the raw files are the same
+        served = f"{shared_dir(spark)}/revlens-warehouse-{hashlib.sha256(key[1].encode()).hexdigest()[:16]}"
         wh = Warehouse(
             raw_tables(spark, sf_dir),
             FIXTURE_AS_OF,
             target=served,
             materialize_view=True,
+            reuse_stored=True,
         )
         hit = (spark, wh)
         _BUILT[key] = hit
@@ -109,11 +112,17 @@ def _counted(w: Warehouse) -> dict[str, DataFrame]:
 
 
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CTAS sinks: every published table is written to a target of its own, then counted from its files."""
+    """The CTAS sinks: every published table is written to a target of its own and counted from its files.
+
+    The counts (a row per table) are taken before the target is dropped again.
+    """
     target = f"{shared_dir(spark)}/revlens-roundtrip-{uuid.uuid4().hex}"
     w = Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
     w.build_all()
-    return quality.row_count_report({name: read_table(spark, w.path(name)) for name in TABLES})
+    report = quality.row_count_report({name: read_table(spark, w.path(name)) for name in TABLES})
+    counts = spark.createDataFrame(report.collect(), report.schema)
+    w.drop()
+    return counts
 
 
 def category_margin(spark: SparkSession, sf_dir: str) -> DataFrame:

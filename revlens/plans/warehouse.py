@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from revlens.config import DEFAULT_RULES, Rules
 from revlens.operators import gold, silver, view
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import Manifest, drop_folder, materialize, read_table
+from revlens.sources.sinks import Manifest, drop_folder, file_identity, materialize, read_table
 
 # Optional partition columns per written table, e.g. {"fact_order_items": ("ano",)}
 # so that time-filtered reports prune files. Empty by default: none of the
@@ -125,11 +125,10 @@ class Warehouse:
 
     def built_from(self, name: str) -> str | None:
         """What a layer depends on, as a string to compare; None when the raw files are not known."""
-        files = [f for t in ("users", "orders", "order_items", "products") for f in sorted(getattr(self.raw, t).inputFiles())]
-        if not files:
+        if self._raw_identity is None:
             return None
         known = {
-            "raw": hashlib.sha256("\n".join(files).encode()).hexdigest(),
+            "raw": self._raw_identity,
             "calendar_lead_time": self.calendar_lead_time,
             "keep_null_email": self.keep_null_email,
         }
@@ -138,6 +137,15 @@ class Warehouse:
             known |= {"as_of": str(as_of), "rules": repr(self.rules), "fold_orphans": self.fold_orphans}
         return json.dumps(known, sort_keys=True)
 
+    @cached_property
+    def _raw_identity(self) -> str | None:
+        """A digest of the raw files' paths, lengths and modification times."""
+        tables = [getattr(self.raw, t) for t in ("users", "orders", "order_items", "products")]
+        files = sorted({f for t in tables for f in t.inputFiles()})
+        if not files:
+            return None
+        return hashlib.sha256(repr(file_identity(tables[0].sparkSession, files)).encode()).hexdigest()
+
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.target is None:
             return df

@@ -117,6 +117,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def file_identity(spark: SparkSession, files: list[str]) -> list[tuple[str, int, int]]:
+    """Path, length and modification time of files, from one listing per folder."""
+    wanted, out = set(files), []
+    for folder in sorted({f.rpartition("/")[0] for f in files}):
+        fs, p = _hadoop(spark, folder)
+        for status in fs.listStatus(p):
+            uri = status.getPath().toUri().toString()
+            out.append((uri, status.getLen(), status.getModificationTime()))
+    clean = {f.replace("file:///", "file:/") for f in wanted}
+    return sorted(x for x in out if x[0].replace("file:///", "file:/") in clean)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote."""
     fs, p = _hadoop(spark, path)
