@@ -159,19 +159,15 @@ def leakage_trend(view: DataFrame, rules: Rules = DEFAULT_RULES, n: int | None =
 def leakage_trend_monthly(
     view: DataFrame, rules: Rules = DEFAULT_RULES, n: int | None = None
 ) -> DataFrame:
-    """The month-grain trend the report's title promises: one row per month."""
-    n = rules.trend_rows if n is None else n
+    """The month-grain trend the report's title promises: one row per month, every month unless ``n`` is given."""
     g = _lost(view, rules).groupBy("ano", "ano_mes").agg(
         F.count_distinct("order_id").alias("pedidos_perdidos"), dsum("receita_pedido").alias("_r")
     )
     year = Window.partitionBy("ano")
-    return (
-        g.select(
-            "ano_mes",
-            "pedidos_perdidos",
-            money_total("_r").alias("receita_perdida"),
-            _share(from_micros("_r"), from_micros(F.sum("_r").over(year))).alias("pct_perda_no_ano"),
-        )
-        .orderBy(F.col("ano_mes").desc_nulls_last())
-        .limit(n)
-    )
+    months = g.select(
+        "ano_mes",
+        "pedidos_perdidos",
+        money_total("_r").alias("receita_perdida"),
+        _share(from_micros("_r"), from_micros(F.sum("_r").over(year))).alias("pct_perda_no_ano"),
+    ).orderBy(F.col("ano_mes").desc_nulls_last())
+    return months if n is None else months.limit(n)
