@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import column
+from revlens.llm.common import column, text_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE_WORDS = 400_000
@@ -181,7 +181,7 @@ def byte_bpe(
 ) -> DataFrame:
     """doc_id, n_tokens, ids (if ``with_ids``), ids_sha256 and decoded_sha256 for every row of ``docs``."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = text_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 # Texts are handled a few megabytes at a time inside a task, whatever the Arrow batch size is.
 BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 512
+ARROW_BATCH = "8m"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -49,10 +51,26 @@ def bounded_sample(df: DataFrame, id_col: str, group_col: str, rows: int, seed:
     return df.where(u < share)
 
 
+def text_batches(docs: DataFrame) -> DataFrame:
+    """The same rows, in a session whose Arrow batches are ``ARROW_BATCH`` at most.
+
+    Each task holds several batches in several forms, so their size decides a Python worker's memory. The setting
+    only bounds batches; results don't depend on it.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+    return docs
+
+
 def carried(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """doc_id and text, and with ``carry`` all columns of the row as a struct, safe from clashing names."""
-    row = [F.struct(*docs.columns).alias("row")] if carry else []
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
+    """doc_id and text, or with ``carry`` doc_id and all columns of the row as a struct, safe from clashing names."""
+    other = F.struct(*docs.columns).alias("row") if carry else F.col(text_col).alias("text")
+    return text_batches(docs).select(F.col(id_col).alias("doc_id"), other)
+
+
+def carried_texts(batch: pa.RecordBatch, text_col: str) -> list[str | None]:
+    """The texts of a batch of ``carried`` rows."""
+    values = batch.column(1)
+    return (values.field(text_col) if pa.types.is_struct(values.type) else values).to_pylist()
 
 
 def result_schema(base: DataFrame, found: str) -> str:
@@ -61,12 +79,14 @@ def result_schema(base: DataFrame, found: str) -> str:
     return f"doc_id {base.schema['doc_id'].dataType.simpleString()}, {found}{row}"
 
 
-def blocks(texts: Sequence[str | None], max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of roughly ``max_bytes`` characters; a longer text is a block of its own."""
+def blocks(
+    texts: Sequence[str | None], max_bytes: int = BLOCK_BYTES, max_rows: int = BLOCK_ROWS
+) -> Iterator[tuple[int, int]]:
+    """Row ranges of roughly ``max_bytes`` characters and at most ``max_rows`` rows; a longer text is a block of its own."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         n = len(t) if t else 0
-        if size and size + n > max_bytes:
+        if i > start and (size + n > max_bytes or i - start >= max_rows):
             yield start, i
             start, size = i, 0
         size += n + 1

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, bounded_sample, carried, column, held_out, result_schema
+from revlens.llm.common import blocks, bounded_sample, carried, carried_texts, column, held_out, result_schema, text_batches
 
 TRAIN_ROWS = 600  # per language
 SWITCH_PENALTY = 12.0
@@ -34,8 +34,8 @@ ECHO = 8
 OUT_OF_SCRIPT = 25.0  # log units against a language that does not use the word's script
 SCRIPT_SHARE = 0.002  # a language uses a script if this share of its letters is in it
 BINS = 1 << 16
-BLOCK_CHARS = 1 << 20
-VITERBI_CHARS = 8 << 20
+BLOCK_CHARS = 1 << 19
+VITERBI_CHARS, VITERBI_ROWS = 4 << 20, 4096
 
 # Unicode code point ranges of the main scripts (public Unicode block boundaries).
 SCRIPT_RANGES = (
@@ -100,7 +100,7 @@ def word_features(texts: list[str]) -> tuple[np.ndarray, ...]:
 
 def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> dict | None:
     """Trigram and script counts by language of at most about ``train_rows`` documents each: a small dict of arrays."""
-    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    usable = text_batches(docs).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sample = bounded_sample(usable, "doc_id", "lang", train_rows).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +221,8 @@ def language_id(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            ids, texts = batch.column(0), column(batch, "text")
-            for a, b in blocks(texts, VITERBI_CHARS):
+            ids, texts = batch.column(0), carried_texts(batch, text_col)
+            for a, b in blocks(texts, VITERBI_CHARS, VITERBI_ROWS):
                 rows = label_texts(texts[a:b], known, penalty) if known else [("und", 0.0, [])] * (b - a)
                 out = {
                     "doc_id": ids.slice(a, b - a),
@@ -231,7 +231,7 @@ def language_id(
                     "spans": pa.array([r[2] for r in rows], span),
                 }
                 if carry:
-                    out["row"] = batch.column(2).slice(a, b - a)
+                    out["row"] = batch.column(1).slice(a, b - a)
                 yield pa.RecordBatch.from_pydict(out)
 
     return base.mapInArrow(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import column, stored
+from revlens.llm.common import column, stored, text_batches
 
 HEADER = 0.6
 WHOLE = 0.8
@@ -157,7 +157,7 @@ def license_scan(
     files: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, path, license, how (header, file, inherited or none) and score for every row of ``files``."""
-    base = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
+    base = text_batches(files).select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
     frequency, total = document_frequency(base, templates)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import ASCII_SPACE, stored
+from revlens.llm.common import ASCII_SPACE, stored, text_batches
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -106,7 +106,7 @@ def line_dedup(
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """doc_id, text (the lines that stay), n_lines (before), n_dropped for every row of ``docs``."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = text_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ends = [k / batches for k in range(1, batches)]
     splits = sorted(set(base.approxQuantile("doc_id", ends, 0.01))) if ends else []
     copies = copied_keys(line_keys(base, min_chars), splits, fan_in)

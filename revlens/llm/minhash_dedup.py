@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, column, mix, stored, word_hashes, word_spans
+from revlens.llm.common import blocks, column, mix, stored, text_batches, word_hashes, word_spans
 from revlens.llm.components import components
 
 BANDS, ROWS = 28, 4
 SKETCH_BITS = 512  # of the MinHash samples
 SET_BITS = 1024  # of the whole set
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 _KEYS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 2 * BANDS * ROWS + 32, dtype=np.uint64) | np.uint64(1)
 
 
@@ -169,7 +169,7 @@ def near_groups(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    base = text_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(signatures(base, words))
     some = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(

@@ -11,7 +11,7 @@ are cut at powers of two, which need no padding. There is no shuffle, memory is
 lost task repeats the same windows; the rows must come from stored files, so that a repeated task reads them in
 the same order. Sequence ids are unique over all partitions, not consecutive.
 
-Tokens of a word are memoised per worker (``CACHE_WORDS`` in each of two generations); no pre-token of the
+Tokens of a word are memoised within a task (``CACHE_WORDS`` in each of two generations); no pre-token of the
 tokenizer spans a space or a line end, so texts are cut there.
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed each; null ids are kept; an
@@ -25,7 +25,7 @@ import os
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
-from itertools import chain
+from string import punctuation
 
 import numpy as np
 import public_tokenizers
@@ -34,16 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, column
+from revlens.llm.common import blocks, column, text_batches
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
 POOL_TOKENS = 1 << 20
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
 JOINED = 256  # words that one call of the tokenizer gets
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 
 class WordTokenizer:
@@ -64,7 +64,11 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.stops = {c: self._whole(c) for c in ".,;:!?"}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memo. A task does so at its end: a worker that waits, or does other work, holds no words."""
+        self.tails: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
@@ -73,16 +77,22 @@ class WordTokenizer:
 
     @staticmethod
     def _stem(word: str) -> tuple[str, str]:
-        """The lower-case Latin-1 word before a closing stop, and the stop; two empty strings for any other word."""
-        stop = word[-1] if word[-1] in ".,;:!?" else ""
-        stem = word[:-1] if stop else word
-        return (stem.lower(), stop) if stem.isalpha() and max(stem) < "\u0100" else ("", "")
+        """The lower-case Latin-1 word before closing ASCII marks, and the marks; two empty strings for any other word.
+
+        The tokenizer's pattern takes the letters and the marks as one pre-token each.
+        """
+        stem = word.rstrip(punctuation)
+        return (stem.lower(), word[len(stem) :]) if stem.isalpha() and max(stem) < "\u0100" else ("", "")
 
     def _learn(self, words: list[str]) -> None:
         words_of, stems = [], set()
         for word in words:
-            stem, stop = self._stem(word)
-            words_of.append((word, stem, stop))
+            stem, tail = self._stem(word)
+            words_of.append((word, stem, tail))
+            if tail not in self.tails:
+                if len(self.tails) > CACHE_WORDS:
+                    self.tails = {"": b""}
+                self.tails[tail] = self._whole(tail)
             if stem and stem not in self.words:
                 stems.add(stem)
         ordered = list(stems)
@@ -103,9 +113,9 @@ class WordTokenizer:
             for word, upto in zip(group, (4 * np.searchsorted(begins, ends)).tolist(), strict=True):
                 self.words[word] = raw[at:upto]
                 at = upto
-        for word, stem, stop in words_of:
+        for word, stem, tail in words_of:
             if stem:
-                self.words[word] = self.words[stem] + (self.stops[stop] if stop else b"")
+                self.words[word] = self.words[stem] + (self.tails[tail] if tail in self.tails else self._whole(tail))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
@@ -212,12 +222,13 @@ def pack_documents(
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window (size), step_id
     and, if asked for, the piece's ids."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = text_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_id")
     end = int(END_ID).to_bytes(4, "little")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, packer = load(path), Packer(tiers, step_tokens)
+        tokenizer.forget()  # a task that failed may have left words
         part = TaskContext.get().partitionId() << 36
         held: dict[int, tuple] = {}  # rows of which tokens wait: id, ids, tokens not yet given out
         row, pooled = 0, 0
@@ -259,6 +270,7 @@ def pack_documents(
                         windows += packer.pack()
                         yield emitted(windows)
                         windows, pooled = [], 0
+        tokenizer.forget()
         windows += packer.rest()
         if windows:
             yield emitted(windows)

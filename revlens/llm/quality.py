@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import blocks, bounded_sample, carried, column, held_out, result_schema, word_hashes, word_spans
+from revlens.llm.common import blocks, bounded_sample, carried, carried_texts, column, held_out, result_schema, word_hashes, word_spans
 
 TRAIN_ROWS = 2000  # per label
 BINS = 1 << 13
@@ -30,7 +30,7 @@ RANK = 4
 EPOCHS = 12
 BATCH = 64
 THRESHOLD = 0.7
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS, BLOCK_TEXTS = 1 << 20, 256  # a text takes BINS counts
 STATISTICS = 12
 
 
@@ -135,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows, y = column(batch, "doc_id"), column(batch, "text"), column(batch, "quality")
-            for a, b in blocks(rows, BLOCK_CHARS):
+            for a, b in blocks(rows, BLOCK_CHARS, BLOCK_TEXTS):
                 words, stats = features(rows[a:b])
                 packed = [(np.flatnonzero(r).astype("<u2").tobytes(), r[r > 0].astype("<f4").tobytes()) for r in words]
                 yield pa.RecordBatch.from_arrays(
@@ -168,15 +168,15 @@ def quality_scores(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            texts, out = column(batch, "text"), []
-            for a, b in blocks(texts, BLOCK_CHARS):
+            texts, out = carried_texts(batch, text_col), []
+            for a, b in blocks(texts, BLOCK_CHARS, BLOCK_TEXTS):
                 if known is None or "only" in known:
                     out.append(np.full(b - a, 0.5 if known is None else known["only"]))
                 else:
                     z = np.clip(raw_score(known, *features(texts[a:b])).astype(np.float64), -60, 60)
                     out.append(1 / (1 + np.exp(-z)))
             found = {"doc_id": batch.column(0), "score": pa.array(np.concatenate(out) if out else [], pa.float64())}
-            yield pa.RecordBatch.from_pydict(found | ({"row": batch.column(2)} if carry else {}))
+            yield pa.RecordBatch.from_pydict(found | ({"row": batch.column(1)} if carry else {}))
 
     return base.mapInArrow(score, result_schema(base, "score double"))
 
