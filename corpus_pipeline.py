@@ -53,7 +53,7 @@ def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces of training windows."""
-    return pack_documents(docs)
+    return pack_documents(docs, cache_words=300_000, hold_words=False)  # its workers run the other stages too
 
 
 STAGES = [

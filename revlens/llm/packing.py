@@ -11,7 +11,8 @@ are cut at powers of two, which need no padding. There is no shuffle, memory is
 lost task repeats the same windows; the rows must come from stored files, so that a repeated task reads them in
 the same order. Sequence ids are unique over all partitions, not consecutive.
 
-Tokens of a word are memoised within a task (``CACHE_WORDS`` in each of two generations); no pre-token of the
+Tokens of a word are memoised per worker (``cache_words`` in each of two generations; with ``hold_words=False``
+only within a task, for jobs whose workers do other work too); no pre-token of the
 tokenizer spans a space or a line end, so texts are cut there.
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed each; null ids are kept; an
@@ -41,7 +42,7 @@ END_ID = 1
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
 POOL_TOKENS = 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 JOINED = 256  # words that one call of the tokenizer gets
 BLOCK_CHARS = 1 << 18
 
@@ -67,7 +68,7 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        """Empty the memo. A task does so at its end: a worker that waits, or does other work, holds no words."""
+        """Empty the memo."""
         self.tails: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
@@ -117,8 +118,8 @@ class WordTokenizer:
             if stem:
                 self.words[word] = self.words[stem] + (self.tails[tail] if tail in self.tails else self._whole(tail))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
+    def encode(self, texts: list[str], cache_words: int | None = None) -> list[bytes]:
+        if len(self.words) > (CACHE_WORDS if cache_words is None else cache_words):
             self.old, self.words = self.words, {"": b""}
         get, old = self.words.get, self.old.get
         found, gaps, unseen = [], [], set()
@@ -218,6 +219,8 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    cache_words: int | None = None,
+    hold_words: bool = True,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window (size), step_id
     and, if asked for, the piece's ids."""
@@ -228,7 +231,6 @@ def pack_documents(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, packer = load(path), Packer(tiers, step_tokens)
-        tokenizer.forget()  # a task that failed may have left words
         part = TaskContext.get().partitionId() << 36
         held: dict[int, tuple] = {}  # rows of which tokens wait: id, ids, tokens not yet given out
         row, pooled = 0, 0
@@ -261,7 +263,7 @@ def pack_documents(
             kind = batch.schema.field(0).type
             doc_ids, texts = column(batch, "doc_id"), [t or "" for t in column(batch, "text")]
             for a, b in blocks(texts, BLOCK_CHARS):
-                for doc_id, data in zip(doc_ids[a:b], tokenizer.encode(texts[a:b]), strict=True):
+                for doc_id, data in zip(doc_ids[a:b], tokenizer.encode(texts[a:b], cache_words), strict=True):
                     data += end
                     held[row] = doc_id, data, len(data) // 4
                     windows += packer.add(row, len(data) // 4)
@@ -270,7 +272,8 @@ def pack_documents(
                         windows += packer.pack()
                         yield emitted(windows)
                         windows, pooled = [], 0
-        tokenizer.forget()
+        if not hold_words:
+            tokenizer.forget()
         windows += packer.rest()
         if windows:
             yield emitted(windows)
