@@ -3,13 +3,13 @@
 Header candidates are the lines of a text that hold a cue word, and the runs of such lines (up to ``RUN_GAP`` other
 lines between two of them). A candidate's words are weighted by their count and inverse document frequency and
 compared by cosine with the weighted templates; the best candidate at or above ``HEADER`` names the licence. A text
-is a licence file if it matches a template as a whole at or above ``WHOLE``, or if its file name says so and a
-candidate matches; it covers its directory. A file without a header of its own inherits from the nearest ancestor
+is a licence file if it matches a template as a whole at or above ``WHOLE`` or the full text of a licence at or above
+``FULL``, or if its file name says so and a candidate matches; it covers its directory. A file without a header of its own inherits from the nearest ancestor
 directory that a licence file covers: the distinct directories are joined by path with the covered ones among their
 ancestors, and the deepest one wins.
 
-Document frequencies are counted over all texts, for the templates' words only (a bounded vocabulary); other words of
-a candidate weigh as much as the rarest template word.
+Document frequencies are counted over all texts, for the words of the templates and full texts only (a bounded
+vocabulary); other words of a candidate weigh as much as the rarest template word.
 
 Defined results: a null or empty text has no header and may inherit; a null path has no directory; two licence files
 of one directory: the better score, then the smaller licence name, counts; repeated rows and null ids are rows like
@@ -28,9 +28,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm.common import column, stored, text_batches
+from revlens.llm.licence_texts import TEXTS
 
 HEADER = 0.6
 WHOLE = 0.8
+FULL = 0.9  # long prose shares many common words with a long licence
 RUN_GAP = 2
 
 # Short notices of common licences, as their public texts recommend them.
@@ -63,6 +65,11 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
 )
+# AGPL-3.0 is GPL-3.0 under its own name but for a paragraph; without it, its full text would pass as GPL-3.0.
+FULL_TEXTS = (
+    *TEXTS,
+    *(("AGPL-3.0", re.sub(r"(GNU )(General)", r"\1Affero \2", text, flags=re.IGNORECASE)) for name, text in TEXTS if name == "GPL-3.0"),
+)
 CUES = re.compile(r"licen[cs]|copyright|spdx|public domain|creative commons|cc0|permission|redistribut|free software", re.IGNORECASE)
 LICENCE_NAME = re.compile(r"(?:^|/)(?:licen[cs]e|copying|unlicense|notice)(?:[.-][^/]*)?$", re.IGNORECASE)
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
@@ -154,14 +161,14 @@ def nearest_covered(directories: DataFrame, covered: DataFrame) -> DataFrame:
 
 
 def license_scan(
-    files: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text"
+    files: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", full_texts=FULL_TEXTS
 ) -> DataFrame:
     """doc_id, path, license, how (header, file, inherited or none) and score for every row of ``files``."""
     base = text_batches(files).select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
-    frequency, total = document_frequency(base, templates)
+    frequency, total = document_frequency(base, (*templates, *full_texts))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(templates, frequency, total)
+        matcher, full = Matcher(templates, frequency, total), Matcher(full_texts, frequency, total)
         for batch in batches:
             names, scores, whole = [], [], []
             for path, text in zip(column(batch, "path"), column(batch, "text"), strict=True):
@@ -169,10 +176,10 @@ def license_scan(
                 score, name = max(((s, n) for s, n in map(matcher.best, candidates(text)) if n), key=lambda x: (x[0], _last(x[1])), default=(0.0, None))
                 is_file = False
                 if name:
-                    all_score, all_name = matcher.best(text)
-                    is_file = all_score >= WHOLE
+                    as_whole = [x for x, least in ((matcher.best(text), WHOLE), (full.best(text), FULL)) if x[0] >= least]
+                    is_file = bool(as_whole)
                     if is_file:
-                        score, name = all_score, all_name
+                        score, name = max(as_whole, key=lambda x: x[0])
                     is_file |= bool(path and LICENCE_NAME.search(path)) and score >= HEADER
                 if score < HEADER:
                     score, name = 0.0, None

@@ -81,3 +81,35 @@ def test_empty_repeated_and_null(spark):
     got = [(r.doc_id, r.license) for r in L.license_scan(df).collect()]
     assert sorted(got, key=str) == [(1, "MIT"), (1, "MIT"), (None, "MIT")]
     assert L.license_scan(df.limit(0)).count() == 0
+
+
+def test_full_texts_cover_their_directory(spark):
+    """Documents of the real table, with full licence texts put among them under plain names."""
+    full = dict(L.FULL_TEXTS)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    files = [(f"{r.source}/{r.lang}/{r.doc_id}.txt", r.text) for r in docs]
+    one, other = sorted({p.rpartition("/")[0] for p, _ in files})[:2]
+    planted = {f"{one}/x.txt": "Apache-2.0", f"{other}/y.txt": "GPL-3.0", f"{other}/deep/z.txt": "MIT"}
+    files += [(p, f"Copyright (c) 2019 Jane Doe\n\n{full[name]}") for p, name in planted.items()]
+    files += [(f"{other}/deep/er/a.txt", "words"), (f"{one}/deep/er/b.txt", None), (f"{one}er/c.txt", "words")]
+    df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "doc_id bigint, path string, text string")
+    got = {r.path: r for r in L.license_scan(df).collect()}
+    assert all((got[p].license, got[p].how) == (name, "file") for p, name in planted.items())
+    covered = {p.rpartition("/")[0]: name for p, name in planted.items()}
+    headers = {p for p, r in got.items() if r.how == "header"}
+    for p, _ in files:
+        if p not in headers and p not in planted:
+            above = [d for d in covered if p.startswith(f"{d}/")]
+            want = covered[max(above, key=len)] if above else None
+            assert (got[p].license, got[p].how) == (want, "inherited" if want else "none")
+    assert sum(r.how == "inherited" for r in got.values()) > 2
+    assert (got[f"{other}/deep/er/a.txt"].license, got[f"{one}/deep/er/b.txt"].license) == ("MIT", "Apache-2.0")
+
+
+def test_full_texts_are_told_apart():
+    matcher = L.Matcher(L.FULL_TEXTS, {}, 100)
+    assert {name for name, _ in L.FULL_TEXTS} >= {"Apache-2.0", "MIT", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "BSD-3-Clause", "MPL-2.0"}
+    for name, text in L.FULL_TEXTS:
+        score, found = matcher.best(f"Copyright 2019 Jane Doe. All rights reserved.\n{text}")
+        assert found == name and score > L.FULL
+    assert matcher.best("The licence of this text is the one of the book that it was taken from, and the author has it.")[0] < L.FULL
