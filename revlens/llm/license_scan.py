@@ -1,8 +1,10 @@
 """License scan: sparse TF-IDF cosine of headers and licence files to templates, then directory inheritance.
 
-Header candidates are the lines of a text that hold a cue word, and the runs of such lines (up to ``RUN_GAP`` other
-lines between two of them). A candidate's words are weighted by their count and inverse document frequency and
-compared by cosine with the weighted templates; the best candidate at or above ``HEADER`` names the licence. A text
+Header candidates are the lines of a text that hold a cue word, their sentences that hold one, and the runs of such
+lines (up to ``RUN_GAP`` other lines between two of them). A candidate's words are weighted by their count and inverse
+document frequency and compared by cosine with the weighted templates; the best candidate at or above ``HEADER`` names
+the licence. So that words around a notice don't hide it, each template is also compared with every window of its own
+length that holds a cue word, across line breaks; a window counts at or above ``SPAN``. A text
 is a licence file if it matches a template as a whole at or above ``WHOLE`` or the full text of a licence at or above
 ``FULL``, or if its file name says so and a candidate matches; it covers its directory. A file without a header of its own inherits from the nearest ancestor
 directory that a licence file covers: the distinct directories are joined by path with the covered ones among their
@@ -23,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,8 @@ from revlens.llm.common import column, stored, text_batches
 from revlens.llm.licence_texts import TEXTS
 
 HEADER = 0.6
+SPAN = 0.7  # more than "under the license" of a short template has; there are many windows
+BLOCK_WORDS = 4096
 WHOLE = 0.8
 FULL = 0.9  # long prose shares many common words with a long licence
 RUN_GAP = 2
@@ -73,6 +78,7 @@ FULL_TEXTS = (
 CUES = re.compile(r"licen[cs]|copyright|spdx|public domain|creative commons|cc0|permission|redistribut|free software", re.IGNORECASE)
 LICENCE_NAME = re.compile(r"(?:^|/)(?:licen[cs]e|copying|unlicense|notice)(?:[.-][^/]*)?$", re.IGNORECASE)
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 
 
 def words(text: str) -> list[str]:
@@ -80,7 +86,7 @@ def words(text: str) -> list[str]:
 
 
 def candidates(text: str) -> Iterator[str]:
-    """The cue lines of a text, and the runs of lines from one cue line to another close by."""
+    """The cue lines of a text, their cue sentences, and the runs of lines from one cue line to another close by."""
     if not CUES.search(text):
         return
     lines = text.split("\n")
@@ -88,6 +94,7 @@ def candidates(text: str) -> Iterator[str]:
     start = 0
     for k, here in enumerate(at):
         yield lines[here]
+        yield from (part for part in SENTENCE.split(lines[here]) if len(part) < len(lines[here]) and CUES.search(part))
         if k + 1 == len(at) or at[k + 1] - here > RUN_GAP + 1:
             if k > start:
                 yield "\n".join(lines[at[start] : here + 1])
@@ -108,6 +115,7 @@ class Matcher:
             norm = math.sqrt(sum((n * self.weight[w]) ** 2 for w, n in bag.items()))
             for w, n in bag.items():
                 self.index.setdefault(w, []).append((k, n * self.weight[w] / norm))
+        self.lengths = np.array([sum(bag.values()) for bag in bags], dtype=np.int64)
 
     def best(self, text: str) -> tuple[float, str | None]:
         """The best template's cosine and licence; the smaller name among equals."""
@@ -125,6 +133,65 @@ class Matcher:
         return min(1.0, top / math.sqrt(norm)), name
 
 
+    def best_span(self, text: str, least: float = 0.0) -> tuple[float, str | None]:
+        """As ``best``, of the windows of each template's length that hold a cue word, if at ``least`` or above.
+
+        A text shorter than a template is one window.
+        """
+        text = text.lower()
+        cues = [m.start() for m in CUES.finditer(text)]
+        if not cues or not len(self.lengths):
+            return 0.0, None
+        found = list(WORD.finditer(text))
+        cue = np.zeros(len(found), dtype=np.int64)
+        cue[np.searchsorted([m.start() for m in found], cues, side="right") - 1] = 1
+        longest, best = int(self.lengths.max()), (least, None)
+        for start in range(0, len(found), BLOCK_WORDS):
+            end = min(len(found), start + BLOCK_WORDS + longest - 1)
+            near = np.flatnonzero(cue[start:end])
+            if len(near):
+                low, high = max(start, start + near[0] - longest + 1), min(end, start + near[-1] + longest)
+                score, name = self._windows([m.group() for m in found[low:high]], cue[low:high], best[0])
+                if name and (score > best[0] + 1e-12 or (score > best[0] - 1e-12 and name < (best[1] or "~"))):
+                    best = score, name
+        return best if best[1] else (0.0, None)
+
+    def _windows(self, run: list[str], cue: np.ndarray, least: float) -> tuple[float, str | None]:
+        """The best window of a run of words, if it is at ``least`` or above; windows are sums between two prefixes."""
+        ids: dict[str, int] = {}
+        at = np.array([ids.setdefault(w, len(ids)) for w in run])
+        weight = np.array([self.weight.get(w, self.other) for w in ids])
+        parts = np.zeros((len(self.names), len(ids)))
+        for w, j in ids.items():
+            for k, t in self.index.get(w, ()):
+                parts[k, j] = t * weight[j]
+        square = (weight * weight)[at]
+        scores: list[tuple[float, str]] = []
+        for length in np.unique(self.lengths):
+            n = min(int(length), len(run))
+            held = _sums(cue, n) > 0
+            norm, same = _sums(square, n), None
+            for k in np.flatnonzero(self.lengths == length):
+                dot = _sums(parts[k][at], n)
+                if (dot[held] / np.sqrt(norm[held])).max(initial=0.0) < least - 1e-9:
+                    continue  # a word that comes again only adds to the norm
+                if same is None:
+                    same = norm + 2 * sum((_sums(np.where(at[:-d] == at[d:], square[d:], 0.0), n - d) for d in range(1, n)), np.zeros(len(norm)))
+                score = (dot[held] / np.sqrt(same[held])).max(initial=0.0)
+                if score > 0:
+                    scores.append((min(1.0, float(score)), self.names[k]))
+        if not scores:
+            return 0.0, None
+        top = max(s for s, _ in scores)
+        return top, min(name for s, name in scores if s >= top - 1e-12)
+
+
+def _sums(values: np.ndarray, n: int) -> np.ndarray:
+    """The sums of all windows of ``n`` values."""
+    total = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values)))
+    return total[n:] - total[:-n]
+
+
 def document_frequency(files: DataFrame, templates) -> tuple[dict[str, int], int]:
     """In how many texts each template word is found, and how many texts there are: at most a row per word."""
     vocabulary = {w for _, t in templates for w in words(t)}
@@ -174,6 +241,10 @@ def license_scan(
             for path, text in zip(column(batch, "path"), column(batch, "text"), strict=True):
                 text = text or ""
                 score, name = max(((s, n) for s, n in map(matcher.best, candidates(text)) if n), key=lambda x: (x[0], _last(x[1])), default=(0.0, None))
+                if score < 1 - 1e-9:
+                    span_score, span_name = matcher.best_span(text, max(SPAN, score))
+                    if span_score > score + 1e-9:
+                        score, name = span_score, span_name
                 is_file = False
                 if name:
                     as_whole = [x for x, least in ((matcher.best(text), WHOLE), (full.best(text), FULL)) if x[0] >= least]

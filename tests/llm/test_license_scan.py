@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import pytest
+
 from revlens.llm import license_scan as L
 
 MIT, GPL = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
@@ -113,3 +115,50 @@ def test_full_texts_are_told_apart():
         score, found = matcher.best(f"Copyright 2019 Jane Doe. All rights reserved.\n{text}")
         assert found == name and score > L.FULL
     assert matcher.best("The licence of this text is the one of the book that it was taken from, and the author has it.")[0] < L.FULL
+
+
+LONG = "words that say nothing of it and go on for a while, " * 40
+HIDDEN = [
+    ("// Copyright (c) 2019 Jane Doe. Released under the MIT License.", "MIT"),
+    ("foolib v1.2 - Released under the MIT License.", "MIT"),
+    ("Copyright 2018 Google LLC. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under CC BY-NC 4.0. All rights belong to their owners.", "CC-BY-NC-4.0"),
+    ("/*! foolib v3.4.1 | (c) Foo Foundation and others | Released under the MIT License. */!function(a,b){return a+b}(window,document);", "MIT"),
+    (f"{LONG}This work is licensed under the GNU General Public License, version 3, {LONG}", "GPL-3.0"),
+    ("# foolib is free. This work is licensed under\n# the GNU General Public License,\n# version 2, by its many authors", "GPL-2.0"),
+    (f"<html><body><nav>{LONG}</nav><p>Licensed under CC BY-SA 4.0.</p><footer>{LONG}</footer>", "CC-BY-SA-4.0"),
+    (f"{LONG}and a license of no kind at all, under the license of nobody{LONG}", None),
+    ("no permission to see the copyright office", None),
+]
+
+
+def test_notices_with_other_words_on_their_line(spark):
+    rows = [(k, f"a/{k}.js", t) for k, (t, _) in enumerate(HIDDEN)]
+    docs = [(100 + r.doc_id, "b/c", r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    df = spark.createDataFrame(rows + docs, "doc_id bigint, path string, text string")
+    got = {r.doc_id: r for r in L.license_scan(df).where("path LIKE 'a/%'").collect()}
+    assert [(got[k].license, got[k].how) for k in range(len(HIDDEN))] == [(name, "header" if name else "none") for _, name in HIDDEN]
+
+
+def test_spans_against_every_window():
+    matcher = L.Matcher(L.TEMPLATES, {"the": 90, "license": 40, "under": 50, "a": 95, "of": 90, "version": 3}, 100)
+
+    def vector(words):
+        return {w: n * matcher.weight.get(w, matcher.other) for w, n in Counter(words).items()}
+
+    def cosine(a, b):
+        return sum(x * b.get(w, 0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    for text in [t[-400:] for t, _ in HIDDEN] + ["license " * 60 + "the the the license of the version", "", MIT]:
+        found = list(L.WORD.finditer(text.lower()))
+        words, cues = [m.group() for m in found], [m.start() for m in L.CUES.finditer(text)]
+        holds = [any(m.start() <= c < m.end() for c in cues) for m in found]
+        best = 0.0
+        for _, template in L.TEMPLATES:
+            n = min(len(L.words(template)), len(words))
+            windows = [words[k : k + n] for k in range(len(words) - n + 1) if any(holds[k : k + n])]
+            best = max([best, *(cosine(vector(w), vector(L.words(template))) for w in windows)])
+        assert matcher.best_span(text)[0] == pytest.approx(best)
+        assert matcher.best_span(text, 0.7)[0] == pytest.approx(best if best >= 0.7 else 0.0)
+    for length in (4085, 4090, 4096, 10_000):
+        assert matcher.best_span("x license " * length + f"{MIT} and" + " y" * length) == (pytest.approx(1.0), "MIT")
