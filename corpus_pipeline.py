@@ -24,8 +24,10 @@ MIN_LANGUAGE_SHARE = 0.3
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
+    """Documents whose language is recognised; all with a letter where no document has a language to learn from."""
     model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id(docs, model, carry=True)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline as C
 import pytest
-from helpers import DOCS, exact_brute, near_groups_brute
+from helpers import DOCS, exact_brute, is_held_out, near_groups_brute
 
 from revlens.llm import language_id as L
 from revlens.llm import quality as Q
@@ -52,3 +52,15 @@ def test_edges(spark):
         for _, stage in C.STAGES:
             df = stored(stage(spark, df, "/root/testdata/sf0.001"))
         assert "length" in df.columns
+
+
+def test_no_language_to_learn_from(spark):
+    """Null everywhere, or only in the documents that are not held out: what has letters stays."""
+    held = next(k for k in range(100) if is_held_out(k))
+    free = [k for k in range(100) if not is_held_out(k)]
+    rows = [(free[0], "plain words", None, "s", 11), (free[1], "12 34 %", None, "s", 7), (free[2], None, None, "s", 0), (None, "слово", None, "s", 5), (held, "mots", None, "s", 4)]
+    for lang in (None, "fr"):
+        docs = spark.createDataFrame([(*r[:2], lang if r[0] == held else None, *r[3:]) for r in rows], DOCS)
+        kept = C.by_language(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns
+        assert {r.doc_id for r in kept.collect()} == {free[0], None, held}
