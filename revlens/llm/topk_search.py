@@ -281,9 +281,9 @@ def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13_SQL = """
 WITH v AS (
-  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid AND len(q.e) = len(c.e)),
