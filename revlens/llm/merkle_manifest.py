@@ -127,9 +127,9 @@ def _top(nodes: DataFrame, bits: int) -> DataFrame:
 
 
 def _paths(nodes: DataFrame, tops: DataFrame, bits: int) -> DataFrame:
-    """``nodes`` with ``path``: the siblings inside their slot array, then those of its top in ``tops`` (grp, pos, path).
+    """``nodes`` with ``subroot`` and ``path``: the siblings inside their slot array, then those of its top in ``tops``.
 
-    An entry is a digest after ``<`` (left of the path) or ``>`` (right of it), or empty where a node is alone.
+    ``tops`` has grp, pos, subroot, path. An entry of a path is a digest after ``<`` (left of the path) or ``>`` (right of it), or empty where a node is alone.
     """
     names = nodes.columns
 
@@ -143,11 +143,12 @@ def _paths(nodes: DataFrame, tops: DataFrame, bits: int) -> DataFrame:
                 path.append("" if other >= len(low) else (">" if other > k else "<") + low[other])
                 k >>= 1
             paths.append(path + above)
-        return table.select(names).append_column("path", pa.array(paths, pa.list_(pa.string())))
+        subroot = pa.array(top["subroot"].to_pylist() * len(paths), pa.string())
+        return table.select(names).append_column("subroot", subroot).append_column("path", pa.array(paths, pa.list_(pa.string())))
 
     keyed = nodes.withColumn("slots", F.shiftright("pos", bits)).groupBy("grp", "slots")
-    above = tops.select("grp", F.col("pos").alias("slots"), "path").groupBy("grp", "slots")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", path array<string>"
+    above = tops.select("grp", F.col("pos").alias("slots"), "subroot", "path").groupBy("grp", "slots")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", subroot string, path array<string>"
     return keyed.cogroup(above).applyInArrow(walk, schema)
 
 
@@ -173,23 +174,23 @@ def manifest(leaves: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
     """
     placed = stored(place(stored(leaves.withColumn("rid", F.monotonically_increasing_id()))).withColumnRenamed("leaf", "digest"))
     rounds = _rounds(placed, bits)
-    subroots = rounds[-1].select("grp", F.col("digest").alias("subroot"))
-    ordered = numbered(subroots, F.col("grp"))
-    groups = ordered.select(F.lit("").alias("grp"), F.col("at").alias("pos"), F.lit(ordered.count()).cast("bigint").alias("n"), F.col("subroot").alias("digest"), F.col("grp").alias("of"))
+    ordered = numbered(rounds[-1].select("grp", "digest"), F.col("grp"))
+    number = F.lit(ordered.count()).cast("bigint")
+    groups = ordered.select(F.lit("").alias("grp"), F.col("at").alias("pos"), number.alias("n"), "digest", F.col("grp").alias("of"))
     upper = _rounds(groups, bits)
     root = upper[-1].select("digest").first()  # one row, or none for an empty table
-    paths = upper[-1].select("grp", F.lit(0).cast("bigint").alias("pos"), F.array().cast("array<string>").alias("path"))
+    start, nothing = F.lit(0).cast("bigint").alias("pos"), F.array().cast("array<string>").alias("path")
+    paths = upper[-1].select("grp", start, F.lit("").alias("subroot"), nothing)
     for nodes in reversed(upper[:-1]):
         paths = _paths(nodes, paths, bits)
     if len(upper) == 1:  # one group: its subroot is the root
-        paths = groups.select("of", F.array().cast("array<string>").alias("path"))
-    paths = stored(paths.select(F.col("of").alias("grp"), F.lit(0).cast("bigint").alias("pos"), "path"))
+        paths = groups.select("of", "digest", nothing)
+    paths = stored(paths.select(F.col("of").alias("grp"), start, F.col("digest").alias("subroot"), "path"))  # a node here is a subroot
     for nodes in reversed(rounds[:-1]):
         paths = _paths(nodes, paths, bits)
     if len(rounds) == 1:  # every group has one leaf
         paths = placed.join(paths.drop("pos"), "grp")
-    named = paths.withColumnRenamed("digest", "leaf").drop("rid").join(subroots, "grp")
-    return named.withColumn("root", F.lit(root[0] if root else None).cast("string"))
+    return paths.withColumnRenamed("digest", "leaf").drop("rid").withColumn("root", F.lit(root[0] if root else None).cast("string"))
 
 
 def fold(leaf: Column, path: Column) -> Column:
