@@ -108,7 +108,7 @@ class Filter:
         return found
 
 
-def _filter(hashes: DataFrame) -> Filter:
+def filter_of(hashes: DataFrame) -> Filter:
     """The filter of ``hashes`` (column h); its bits are set by an aggregate, and FILTER_BITS / 64 words come back at most."""
     mask = F.lit(FILTER_BITS - 1)
     slots = F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))
@@ -376,7 +376,7 @@ def collocations(
     size = totals.agg(F.sum("n")).first()[0] or 0  # one number
     parts = 1 << max(0, math.ceil(math.log2(max(1, size / PARTITION_WORDS))))
 
-    may = _filter(words.select(F.col("id").alias("h")))
+    may = filter_of(words.select(F.col("id").alias("h")))
     pairs = _count_phrases(base, seed, range(2, 3), may, parts, least, held, burst)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +386,7 @@ def collocations(
 
     phrases = pairs
     if max_words > 2:
-        may = _filter(pairs.select("ids").mapInArrow(linked, "h bigint"))
+        may = filter_of(pairs.select("ids").mapInArrow(linked, "h bigint"))
         phrases = pairs.unionAll(_count_phrases(base, seed, range(3, max_words + 1), may, parts, least, held, burst))
     return _ranked(phrases, words, totals, top)
 
@@ -430,7 +430,7 @@ WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-q AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+q AS (SELECT lang, listfilter_of(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
 t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM q GROUP BY lang),
 s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM q),
 g AS (

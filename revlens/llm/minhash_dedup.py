@@ -8,20 +8,23 @@ are the groups, named by their smallest id.
    ``ROWS`` MinHash values each, and an odd sketch: every MinHash sample flips one bit of ``SKETCH_BITS``, so that the
    population count of two sketches' XOR estimates how many samples differ. A second bitmap folds the whole set the
    same way; its XOR can't have more bits than the sets differ in elements, which gives an exact bound.
-2. Documents with equal sets are one class, carried on by its smallest id (map-side combine).
-3. In each band bucket all members are compared with the bucket's smallest id: as many pairs as members. A pair goes
-   on if the set sizes and the sketches allow the similarity; links are confirmed on the full sets, which are built
-   again for the classes that still have a pair.
+2. Rows with equal sets are one class (map-side combine), known by the row number of its first member.
+3. In each band bucket all members are compared with the bucket's first one: as many pairs as members. A pair goes
+   on if the set sizes and the sketches allow the similarity; links are confirmed on the full sets. These are built once
+   more where the texts are read, for classes that still have a pair (a Bloom filter of fixed size tells which), so no text is
+   shuffled. A large set is compared in slices of its hash range.
 4. Components of these links. A bucket whose members are all in one component is done. In the others, members
    outside the bucket's largest component are compared with every member of another component, so that no link is
-   lost between two components; pairs in one component change nothing and are left out.
+   lost between two components; pairs in one component change nothing and are left out. Only sets of neighbouring sizes
+   meet, and a bucket of many such members is dealt over pairs of blocks of ``BLOCK`` members.
 
 A pair at a similarity of 0.8 shares no band with a chance of (1 - 0.8^4)^28 < 4e-7; the sketch bound lies six standard
 deviations off the threshold.
 
-Defined results: a null or empty text, or one without words, has set size 0 and is linked with nothing; a null id is
-linked with nothing, has a null component and is kept; rows that repeat an id are one node; an empty table gives an
-empty result; other columns are not read.
+Defined results: a null or empty text, or one without words, has set size 0 and is linked with nothing; rows that repeat an
+id are rows of their own with that id; a null id comes after all others, so a component of null ids alone has a null
+name; a very long text is one set like any other; an empty table gives an empty result; other columns are not read. Of
+each component exactly one row ``stays``: the first by id.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm.collocations import Filter, filter_of
 from revlens.llm.common import blocks, column, mix, stored, text_batches, word_hashes, word_spans
 from revlens.llm.components import components
 
@@ -41,6 +45,8 @@ BANDS, ROWS = 28, 4
 SKETCH_BITS = 512  # of the MinHash samples
 SET_BITS = 1024  # of the whole set
 BLOCK_CHARS = 1 << 19
+SLICE = 8192  # shingles of a set that are compared at once
+BLOCK = 1024  # members of an open bucket that are compared at once
 _KEYS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 2 * BANDS * ROWS + 32, dtype=np.uint64) | np.uint64(1)
 
 
@@ -73,12 +79,18 @@ def _parity(rows: np.ndarray, bits: np.ndarray, n_rows: int, width: int) -> np.n
     return np.packbits(odd.reshape(n_rows, width), axis=1, bitorder="little").view("<i8")
 
 
+def _fingerprints(flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over the hashes of each set, which begins at ``begins``."""
+    with np.errstate(over="ignore"):
+        return np.add.reduceat(mix(flat * _KEYS[-1]), begins), np.add.reduceat(mix(flat * _KEYS[-2]), begins)
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, fingerprint f1 and f2, band hashes, odd sketch and set bitmap (as longs)."""
+    """rid, doc_id, n, fingerprint f1 and f2, band hashes, odd sketch and set bitmap (as longs)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), column(batch, "text")
+            rids, ids, texts = batch.column(0), batch.column(1), column(batch, "text")
             for a, b in blocks(texts, BLOCK_CHARS):
                 sets = shingle_sets(texts[a:b], words)
                 sizes = np.array([len(s) for s in sets])
@@ -91,8 +103,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     with np.errstate(over="ignore"):
                         for j in range(BANDS * ROWS):
                             low[some, j] = np.minimum.reduceat(flat * _KEYS[j], begins)
-                        f1[some] = np.add.reduceat(mix(flat * _KEYS[-1]), begins)
-                        f2[some] = np.add.reduceat(mix(flat * _KEYS[-2]), begins)
+                        f1[some], f2[some] = _fingerprints(flat, begins)
                 with np.errstate(over="ignore"):
                     rows = low.reshape(len(sets), BANDS, ROWS)
                     keys = np.zeros((len(sets), BANDS), np.uint64)
@@ -108,6 +119,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
+                        rids.slice(a, b - a),
                         ids.slice(a, b - a),
                         pa.array(sizes, pa.int64()),
                         pa.array(f1.view(np.int64)),
@@ -116,23 +128,58 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                         pa.array(list(sketch), longs),
                         pa.array(list(whole), longs),
                     ],
-                    ["doc_id", "n", "f1", "f2", "bands", "odd", "whole"],
+                    ["rid", "doc_id", "n", "f1", "f2", "bands", "odd", "whole"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>, odd array<bigint>, whole array<bigint>")
+    return docs.mapInArrow(sign, "rid bigint, doc_id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>, odd array<bigint>, whole array<bigint>")
+
 
+def _level(n: int, width: int) -> int:
+    """A set of ``n`` shingles is compared in 2^level slices of about 2^``width``."""
+    return max(0, (n - 1).bit_length() - width)
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and the whole set of each row."""
+
+def slices(docs: DataFrame, words: int, percent: int, wanted: Filter) -> DataFrame:
+    """f1, f2, n, level, slice, part: the sets whose f1 the filter has, cut by their leading bits.
+
+    A set is cut at the level of its own size and at that of the largest set it may be linked with. A class goes out
+    once for each task, however many copies the task reads.
+    """
+    width = (SLICE - 1).bit_length()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int]] = set()
         for batch in batches:
-            ids, texts = batch.column(0), column(batch, "text")
+            texts = column(batch, "text")
             for a, b in blocks(texts, BLOCK_CHARS):
-                sets = pa.array([s.view(np.int64) for s in shingle_sets(texts[a:b], words)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), sets], ["doc_id", "shingles"])
-
-    return docs.mapInArrow(build, "doc_id bigint, shingles array<bigint>")
+                sets = [s for s in shingle_sets(texts[a:b], words) if len(s)]
+                if not sets:
+                    continue
+                begins = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
+                f1, f2 = _fingerprints(np.concatenate(sets), begins)
+                for k in np.flatnonzero(wanted(f1)):
+                    name = (int(f1[k]), int(f2[k]))
+                    if name in told:
+                        continue
+                    told.add(name)
+                    own, n = sets[k], len(sets[k])
+                    for level in {_level(n, width), _level(n * 100 // percent, width)}:
+                        cuts = np.searchsorted(own, np.arange(1 << level, dtype=np.uint64) << np.uint64(64 - level)) if level else np.zeros(1, np.int64)
+                        ends = np.append(cuts[1:], n)
+                        size = len(cuts)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.repeat(f1[k : k + 1].view(np.int64), size)),
+                                pa.array(np.repeat(f2[k : k + 1].view(np.int64), size)),
+                                pa.array(np.full(size, n)),
+                                pa.array(np.full(size, level, np.int32)),
+                                pa.array(np.arange(size, dtype=np.int32)),
+                                pa.array([own[x:y].view(np.int64) for x, y in zip(cuts, ends)], pa.list_(pa.int64())),
+                            ],
+                            ["f1", "f2", "n", "level", "slice", "part"],
+                        )
+
+    return docs.select("text").mapInArrow(build, "f1 bigint, f2 bigint, n bigint, level int, slice int, part array<bigint>")
 
 
 def most_bits(percent: int) -> int:
@@ -154,36 +201,74 @@ def _may_link(percent: int) -> Column:
     return sizes & elements & (differ("odd", SKETCH_BITS) <= most_bits(percent))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b, a_n, b_n) that are links on their full sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(full_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
-    both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("b_set")), "b").join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("a_set")), "a"
-    )
-    common = F.size(F.array_intersect("a_set", "b_set"))
-    return both.where(100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b, a_n, b_n) of classes that are links on their full sets."""
+    ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
+    wanted = stored(classes.select("c", "n", "f1", "f2").join(ends, "c", "left_semi"))
+    found = slices(docs, words, percent, filter_of(wanted.select(F.col("f1").alias("h"))))
+    parts = found.join(wanted, ["n", "f1", "f2"]).groupBy("c", "level", "slice").agg(F.first("part").alias("part"))
+    parts = stored(parts)
+    width = (SLICE - 1).bit_length()
+    # the same level as ``_level`` of the larger set: the bits of n - 1 above those of a slice
+    bits = F.length(F.regexp_replace(F.bin(F.greatest("a_n", "b_n") - 1), "^0+", ""))
+    cut = pairs.withColumn("level", F.greatest(F.lit(0), bits - width))
+    cut = cut.withColumn("slice", F.explode(F.expr("sequence(0, cast(shiftleft(1L, level) as int) - 1)")))
+    for end in ("a", "b"):
+        cut = cut.join(parts.select(F.col("c").alias(end), "level", "slice", F.col("part").alias(f"{end}_part")), [end, "level", "slice"])
+    common = cut.groupBy("a", "b", "a_n", "b_n").agg(F.sum(F.size(F.array_intersect("a_part", "b_part"))).alias("common"))
+    return common.where(100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _across(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, a_n, b_n) across the components that meet in open buckets, as far as sizes and sketches allow.
+
+    ``rest`` has the members of open buckets: bucket, a, group, main, a_n, a_odd, a_whole. Sets that may be linked are
+    at most one power of 100 / percent apart in size, so members meet by bucket and power. Blocks of both sides of such a
+    meeting are joined pair by pair.
+    """
+    power = F.floor(F.log(F.col("a_n").cast("double")) / math.log(100 / percent)).cast("int")
+    sized = rest.withColumn("power", power)
+    count = sized.groupBy("bucket", "power").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    near = F.explode(F.array(F.col("power") - 1, F.col("power"), F.col("power") + 1))
+    wide = count.select("bucket", near.alias("power"), "blocks").groupBy("bucket", "power").agg(F.max("blocks").alias("blocks"))
+    own = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    renamed = {"a": "b", "group": "b_group", "a_n": "b_n", "a_odd": "b_odd", "a_whole": "b_whole"}
+    facing = sized.join(wide, ["bucket", "power"]).withColumn("j", own).select("*", every.alias("i")).drop("blocks", "main")
+    facing = facing.withColumnsRenamed(renamed)
+    apart = sized.where(F.col("group") != F.col("main")).withColumn("power", near).join(wide, ["bucket", "power"])
+    apart = apart.withColumn("i", own).select("*", every.alias("j")).drop("blocks")
+    # each pair of components once: both ends outside the main one are taken from the smaller side only
+    once = (F.col("b_group") == F.col("main")) | (F.col("group") < F.col("b_group"))
+    met = apart.join(facing, ["bucket", "power", "i", "j"])
+    return met.where((F.col("group") != F.col("b_group")) & once & _may_link(percent)).select("a", "b", "a_n", "b_n").distinct()
 
 
 def near_groups(
-    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
-    base = text_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, n_shingles, component_id, kept, stays for every row of ``docs``.
+
+    ``row_col`` names a column with a unique number for each row, which then comes back as ``rid``.
+    """
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    base = text_batches(docs).select(row.alias("rid"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(signatures(base, words))
-    some = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stored(
-        some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("a"), *(F.first(c).alias(c) for c in ("bands", "odd", "whole")))
-    )
-    members = classes.select("a", F.explode("bands").alias("bucket"))
+    some = signed.where(F.col("n") > 0)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid")).alias("first")
+    classes = some.groupBy("n", "f1", "f2").agg(first, *(F.first(c).alias(c) for c in ("bands", "odd", "whole")))
+    classes = stored(classes.withColumn("c", F.col("first.rid")))
+    members = classes.select(F.col("c").alias("a"), F.explode("bands").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("a").alias("lead"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     buckets = stored(members.join(leaders.select("bucket", "lead"), "bucket"))
-    known = classes.select("a", F.col("n").alias("a_n"), F.col("odd").alias("a_odd"), F.col("whole").alias("a_whole"))
-    other = classes.select(F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("odd").alias("b_odd"), F.col("whole").alias("b_whole"))
+    known, other = (
+        classes.select(F.col("c").alias(x), F.col("n").alias(f"{x}_n"), F.col("odd").alias(f"{x}_odd"), F.col("whole").alias(f"{x}_whole"))
+        for x in ("a", "b")
+    )
 
     stars = buckets.where(F.col("a") != F.col("lead")).select("a", F.col("lead").alias("b")).distinct()
     stars = stars.join(known, "a").join(other, "b").where(_may_link(percent)).select("a", "b", "a_n", "b_n")
-    links = stored(confirmed(stored(stars), base, words, percent))
+    links = stored(confirmed(stored(stars), classes, base, words, percent))
     groups = components(links)
 
     placed = buckets.join(groups.withColumnRenamed("node", "a"), "a", "left").select(
@@ -195,23 +280,23 @@ def near_groups(
     )
     rest = stored(placed.join(open_buckets.where(F.col("groups") > 1).select("bucket", "main"), "bucket").join(known, "a"))
     if not rest.isEmpty():
-        apart = rest.where(F.col("group") != F.col("main")).drop("main")
-        renamed = {"a": "b", "group": "b_group", "a_n": "b_n", "a_odd": "b_odd", "a_whole": "b_whole"}
-        facing = rest.withColumnsRenamed(renamed)
-        # each pair of components once: both ends outside the main one are taken from the smaller side only
-        once = (F.col("b_group") == F.col("main")) | (F.col("group") < F.col("b_group"))
-        pairs = apart.join(facing, "bucket").where((F.col("group") != F.col("b_group")) & once & _may_link(percent))
-        pairs = stored(pairs.select("a", "b", "a_n", "b_n").distinct())
+        pairs = stored(_across(rest, percent))
         if not pairs.isEmpty():
-            groups = components(links.unionAll(confirmed(pairs, base, words, percent)))
-
-    named = some.select("doc_id", "n", "f1", "f2").join(classes.select("n", "f1", "f2", "a"), ["n", "f1", "f2"])
-    named = named.join(groups.withColumnRenamed("node", "a"), "a", "left").select("doc_id", "n", F.coalesce("component", "a").alias("component_id"))
-    alone = signed.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return named.unionAll(alone).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+            groups = components(links.unionAll(confirmed(pairs, classes, base, words, percent)))
+
+    grouped = classes.select("n", "f1", "f2", "first", F.col("c").alias("node")).join(groups, "node", "left")
+    grouped = grouped.withColumn("component", F.coalesce("component", "node")).drop("node")
+    named = grouped.groupBy("component").agg(F.min("first").alias("name"))
+    grouped = grouped.join(named, "component").select("n", "f1", "f2", "name")
+    found = some.select("rid", "doc_id", "n", "f1", "f2").join(grouped, ["n", "f1", "f2"]).select(
+        "rid", "doc_id", "n", F.col("name.doc_id").alias("component_id"), (F.col("rid") == F.col("name.rid")).alias("stays")
+    )
+    alone = signed.where(F.col("n") == 0).select("rid", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.unionAll(alone).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", kept, "stays", *([] if row_col is None else ["rid"])
     )
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)
+    return near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85).drop("stays")

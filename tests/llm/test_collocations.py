@@ -104,7 +104,7 @@ def test_empty_rare_and_filter(spark):
     assert C.collocations(df.limit(0)).count() == 0
     assert C.collocations(df, least=2).count() == 0
     ids = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
-    may = C._filter(spark.createDataFrame([(int(x),) for x in ids[:2500]], "h bigint"))
+    may = C.filter_of(spark.createDataFrame([(int(x),) for x in ids[:2500]], "h bigint"))
     assert may(ids[:2500].view(np.uint64)).all() and may(ids[2500:].view(np.uint64)).mean() < 0.01
 
 

@@ -50,12 +50,38 @@ def test_near_groups_against_brute_force(spark, words, percent):
 
 
 def test_near_groups_null_ids_repeats_and_empty(spark):
-    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (9, "a b c d")], "doc_id bigint, text string")
-    got = sorted(((r.doc_id, r.component_id, r.kept) for r in M.near_groups(df, 3, 85).collect()), key=str)
-    assert got == [(4, 4, True), (4, 4, True), (9, 4, False), (None, None, True)]
+    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (9, "a b c d"), (None, "p q r s"), (None, "p q r s")], "doc_id bigint, text string")
+    found = M.near_groups(df, 3, 85).collect()
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in found), key=str)
+    assert got == [(4, 4, True), (4, 4, True), (9, 4, False), (None, 4, False), (None, None, True), (None, None, True)]
+    assert sorted(str(r.doc_id) for r in found if r.stays) == ["4", "None"]
     assert M.near_groups(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_keep_their_own_links(spark):
+    words = [f"w{k}" for k in range(80)], [f"x{k}" for k in range(80)]
+    a, b = (" ".join(w) for w in words)
+    near_a, near_b = a + " more", b + " more"
+    rows = [(5, a), (5, b), (7, near_a), (9, near_b)]
+    for order in (rows, rows[::-1], [rows[1], rows[0], rows[3], rows[2]]):
+        got = M.near_groups(spark.createDataFrame(order, "doc_id bigint, text string"), 3, 85).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (7, 5), (9, 5)]
+        assert sorted(r.doc_id for r in got if r.stays) == [5, 5]
+
+
+def test_large_sets_and_open_buckets_in_pieces(spark, monkeypatch):
+    """Slices of a few shingles and blocks of a few members give what whole sets and buckets give."""
+    monkeypatch.setattr(M, "SLICE", 16)
+    monkeypatch.setattr(M, "BLOCK", 3)
+    monkeypatch.setattr(M, "ROWS", 1)  # every bucket holds many that are not linked
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(400)}" for _ in range(120)]
+    texts = [t for edits in (2, 6, 9, 14) for t in variants(rng, base, 12, edits)]
+    texts += [t for edits in (1, 4) for t in variants(rng, base[:40], 12, edits)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in M.near_groups(documents(spark, texts), 3, 70).collect()}
+    assert got == near_groups_brute(list(enumerate(texts, 1)), 3, 70)
+
+
 def test_sketch_bounds():
     rng = np.random.default_rng(5)
     base = [f"w{k}" for k in rng.integers(0, 10**6, 400)]
