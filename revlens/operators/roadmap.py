@@ -52,45 +52,34 @@ def category_margin(items: DataFrame) -> DataFrame:
     ).orderBy(F.col("margem_pct_total").desc_nulls_last(), F.col("category").asc_nulls_first())
 
 
+def peak_month_categories(items: DataFrame, series: DataFrame) -> DataFrame:
+    """Items, revenue and margin by category in each year's month of highest revenue (ties: the earlier month).
+
+    ``series`` is the month series, a row per calendar month, so its peak months are broadcast. Over an item fact laid
+    out by month, Spark prunes the folders of all other months at run time (dynamic partition pruning).
+    """
+    best = Window.partitionBy("ano").orderBy(F.col("receita_mensal").desc_nulls_last(), F.col("mes"))
+    peaks = series.withColumn("_at", F.row_number().over(best)).where(F.col("_at") == 1).select(F.col("ano_mes").alias("_pico"))
+    found = items.join(F.broadcast(peaks), items.ano_mes == peaks._pico)
+    g = found.groupBy("ano_mes", "category").agg(
+        F.count(F.lit(1)).alias("total_itens"), dsum("sale_price").alias("_sale"), dsum("margem").alias("_margem")
+    )
+    return g.select("ano_mes", "category", "total_itens", money_total("_sale").alias("receita"), money_total("_margem").alias("margem"))
+
+
 def _month_end_on_or_before(day: Column) -> Column:
     """The last month-end on or before ``day``."""
     return F.date_sub(F.trunc(F.date_add(day, 1), "MM"), 1)
 
 
-def status_snapshot(
-    users: DataFrame,
-    items: DataFrame | None,
-    as_of: _dt.date | str | None = None,
-    rules: Rules = DEFAULT_RULES,
-    lines: DataFrame | None = None,
-) -> DataFrame:
-    """Customers per lifecycle status at every month-end up to ``as_of``.
-
-    The label a customer would have carried in the dimension had it been
-    built on that month-end: 'Sem Compra' from sign-up to the first purchase
-    day, then Novo / Ativo / Churn from the recency of the last purchase day
-    and the orders placed so far (same 90/180-day rule). Customers are the
-    cleaned ones (``users`` = P1 output), purchases are by their own id.
-
-    Plan, without a customers x months product:
+def status_intervals(users: DataFrame, lines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """user_id, lo, hi, status: the days on which a customer carries a status (``hi`` NULL: until now).
 
-    1. purchase days per customer, from the order lines (items already
-       folded per order and day), with the orders first seen that day;
-    2. a window per customer over its purchase days -- at most one row per
-       calendar day, so even a customer with a third of all items has a
-       bounded partition -- gives orders-so-far and the next purchase day;
-    3. each purchase day opens up to three status intervals (until +90,
-       +180 and the next purchase day); each interval becomes +1 at its
-       first month-end and -1 after its last one;
-    4. the deltas are summed per (status, month) and accumulated over the
-       months: a window over (statuses x months) rows.
+    The intervals of a customer don't overlap. See :func:`status_snapshot` for the rules and the plan.
     """
-    as_of_day = as_of_date(as_of)
-    last_me = _month_end_on_or_before(as_of_day)
     customers = users.select(
         F.col("customer_id").alias("user_id"), F.to_date("customer_since").alias("signup")
     )
-    lines = lines if lines is not None else order_lines(items)
     buys = lines.select("user_id", "order_id", F.col("data_pedido").alias("day")).where(
         F.col("user_id").isNotNull() & F.col("day").isNotNull()
     )
@@ -119,6 +108,7 @@ def status_snapshot(
     d, until = F.col("day"), F.date_sub("_next", 1)  # until is NULL for the last purchase
     first = F.when(F.col("_orders") == 1, F.lit(C.NOVO)).otherwise(F.lit(C.ATIVO))
     bought = timeline.select(
+        "user_id",
         F.explode(
             F.array(
                 interval(d, F.least(F.date_add(d, rules.recent_days), until), first),
@@ -129,20 +119,72 @@ def status_snapshot(
                 ),
                 interval(F.date_add(d, rules.active_days + 1), until, F.lit(C.CHURN)),
             )
-        ).alias("iv")
-    ).select("iv.*")
+        ).alias("iv"),
+    ).select("user_id", "iv.*")
     first_buy = days.groupBy("user_id").agg(F.min("day").alias("_first"))
     waiting = (
         customers.join(first_buy, "user_id", "left")
         .where(F.col("signup").isNotNull())
         .select(
+            "user_id",
             F.col("signup").alias("lo"),
             F.date_sub("_first", 1).alias("hi"),
             F.lit(C.SEM_COMPRA).alias("status"),
         )
     )
-    intervals = bought.unionByName(waiting).where(F.col("lo").isNotNull())
+    return bought.unionByName(waiting).where(F.col("lo").isNotNull())
 
+
+def status_rows(
+    users: DataFrame,
+    lines: DataFrame,
+    last: _dt.date | str,
+    first: _dt.date | str | None = None,
+    rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """user_id, status_cliente, data_snapshot, ano_mes: each customer at every month-end from ``first`` to ``last``."""
+    last_me = _month_end_on_or_before(as_of_date(last))
+    iv = status_intervals(users, lines, rules)
+    start = F.last_day("lo") if first is None else F.greatest(F.last_day("lo"), F.last_day(as_of_date(first)))
+    end = F.coalesce(F.least(_month_end_on_or_before(F.col("hi")), last_me), last_me)
+    spans = iv.select("user_id", "status", start.alias("_s"), end.alias("_e")).where(F.col("_s") <= F.col("_e"))
+    month = F.explode(F.sequence(F.trunc("_s", "MM"), F.trunc("_e", "MM"), F.expr("INTERVAL 1 MONTH")))
+    rows = spans.select("user_id", F.col("status").alias("status_cliente"), month.alias("_month"))
+    return rows.select(
+        "user_id", "status_cliente", F.last_day("_month").alias("data_snapshot"), F.date_format("_month", "yyyy-MM").alias("ano_mes")
+    )
+
+
+def status_snapshot(
+    users: DataFrame,
+    items: DataFrame | None,
+    as_of: _dt.date | str | None = None,
+    rules: Rules = DEFAULT_RULES,
+    lines: DataFrame | None = None,
+) -> DataFrame:
+    """Customers per lifecycle status at every month-end up to ``as_of``.
+
+    The label a customer would have carried in the dimension had it been
+    built on that month-end: 'Sem Compra' from sign-up to the first purchase
+    day, then Novo / Ativo / Churn from the recency of the last purchase day
+    and the orders placed so far (same 90/180-day rule). Customers are the
+    cleaned ones (``users`` = P1 output), purchases are by their own id.
+
+    Plan, without a customers x months product:
+
+    1. purchase days per customer, from the order lines (items already
+       folded per order and day), with the orders first seen that day;
+    2. a window per customer over its purchase days -- at most one row per
+       calendar day, so even a customer with a third of all items has a
+       bounded partition -- gives orders-so-far and the next purchase day;
+    3. each purchase day opens up to three status intervals (until +90,
+       +180 and the next purchase day); each interval becomes +1 at its
+       first month-end and -1 after its last one;
+    4. the deltas are summed per (status, month) and accumulated over the
+       months: a window over (statuses x months) rows.
+    """
+    last_me = _month_end_on_or_before(as_of_date(as_of))
+    intervals = status_intervals(users, lines if lines is not None else order_lines(items), rules)
     start_me = F.last_day("lo")
     end_me = F.when(F.col("hi").isNull(), last_me).otherwise(
         F.least(_month_end_on_or_before(F.col("hi")), last_me)

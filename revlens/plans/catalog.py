@@ -19,13 +19,18 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revlens.config import FIXTURE_AS_OF
 from revlens.operators import gold, growth, leakage, quality, roadmap
-from revlens.plans.warehouse import TABLES, Warehouse
-from revlens.sources.sinks import read_table, shared_dir
+from revlens.plans import history
+from revlens.plans.incremental import IncrementalWarehouse, changed_orders
+from revlens.plans.warehouse import GATES, MONTHLY, TABLES, Warehouse
+from revlens.sources.raw import RawTables
+from revlens.sources.sinks import content, shared_dir
 from revlens.sources.testdata import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +48,7 @@ def warehouse(spark: SparkSession, sf_dir: str, target: str | None = None) -> Wa
         return Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _BUILT.get(key)
-    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None or not hit[1].is_current():
         # one target per data folder: a later session reuses the layers if the raw files are the same
         served = f"{shared_dir(spark)}/revlens-warehouse-{hashlib.sha256(key[1].encode()).hexdigest()[:16]}"
         wh = Warehouse(
@@ -112,17 +117,124 @@ def _counted(w: Warehouse) -> dict[str, DataFrame]:
 
 
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CTAS sinks: every published table is written to a target of its own and counted from its files.
+    """The CTAS sinks: rows of every published table, counted from its files, and whether they hold what was written.
 
-    The counts (a row per table) are taken before the target is dropped again.
+    ``conteudo_igual`` compares an order-independent hash of the rows read from the files (one scan a table) with the
+    one that the writing job observed.
     """
-    target = f"{shared_dir(spark)}/revlens-roundtrip-{uuid.uuid4().hex}"
-    w = Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target)
-    w.build_all()
-    report = quality.row_count_report({name: read_table(spark, w.path(name)) for name in TABLES})
-    counts = spark.createDataFrame(report.collect(), report.schema)
+    w = warehouse(spark, sf_dir)
+    return stored_content({name: getattr(w, name) for name in TABLES}, {name: w.observed(name) for name in TABLES})
+
+
+def stored_content(tables: dict[str, DataFrame], observed: dict[str, dict]) -> DataFrame:
+    """tabela, linhas, conteudo_igual of tables that are read from their files."""
+    parts = []
+    for name, df in tables.items():
+        equal = (F.col("linhas") == F.lit(observed[name].get("linhas"))) & (F.col("conteudo") == F.lit(observed[name].get("conteudo")))
+        parts.append(content(df).select(F.lit(name).alias("tabela"), "linhas", F.coalesce(equal, F.lit(False)).alias("conteudo_igual")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+GATED = ("stg_users", "stg_orders", "stg_order_items", "dim_customers_gold", "fact_order_items")
+
+
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that break each write-time rule, as the jobs that wrote the layers counted them."""
+    target = f"{shared_dir(spark)}/revlens-gated-{uuid.uuid4().hex}"
+    w = Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target, quality_gate=True)
+    for name in GATED:
+        getattr(w, name)
+    found = gate_report(w)
     w.drop()
-    return counts
+    return found
+
+
+def gate_report(w: Warehouse) -> DataFrame:
+    """tabela, regra, acao, violacoes, linhas of every rule of the layers that ``w`` has written behind a gate."""
+    rows = [
+        (name, rule, action, int(found[rule]), int(found["linhas"]))
+        for name, found in w.gate_report.items()
+        for action, rule, _ in GATES[name].rules()
+    ]
+    return w.raw.users.sparkSession.createDataFrame(rows, "tabela string, regra string, acao string, violacoes bigint, linhas bigint")
+
+
+_HISTORY: dict[int, tuple[Warehouse, DataFrame]] = {}
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored monthly history of the served warehouse, written once in a session."""
+    w = warehouse(spark, sf_dir)
+    if id(w) not in _HISTORY:
+        _HISTORY[id(w)] = (w, history.stored_history(w))
+    return _HISTORY[id(w)][1]
+
+
+def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.status_counts(_history(spark, sf_dir))
+
+
+def status_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.status_flow(_history(spark, sf_dir))
+
+
+def churn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.churn_rate(history.status_flow(_history(spark, sf_dir)))
+
+
+def peak_month_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over an item fact that is laid out by month."""
+    w = warehouse(spark, sf_dir)
+    by_month = _variant(spark, sf_dir, "monthly", partition_by=MONTHLY)
+    return roadmap.peak_month_categories(by_month.fact_order_items, w.monthly_series)
+
+
+def live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order view as a catalog view over the registered silver tables."""
+    w = warehouse(spark, sf_dir)
+    mark = hashlib.sha256(w.target.encode()).hexdigest()[:12]
+    names = w.register(f"revlens_staging_{mark}", f"revlens_analytics_{mark}", live_view=True)
+    return spark.table(names["vw_sales_analysis"])
+
+
+# Orders from this day on are late in the base of the incremental queries, and those from the other day on had no final status.
+LATE_FROM, OPEN_FROM = "2001-03-01", "2000-11-01"
+
+
+_DELTAS: dict[int, tuple[Warehouse, IncrementalWarehouse]] = {}
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> IncrementalWarehouse:
+    """The layers of an older state of the raw tables, brought up to date with the tables as they are.
+
+    In the older state, late orders and their items are missing, and other recent ones are still being processed.
+    Both are written once in a session and shared by the queries.
+    """
+    served = warehouse(spark, sf_dir)
+    if id(served) in _DELTAS:
+        return _DELTAS[id(served)][1]
+    now = raw_tables(spark, sf_dir)
+    at = F.col("created_at")
+
+    def older(df: DataFrame) -> DataFrame:
+        status = F.when(at >= OPEN_FROM, F.lit("Processing")).otherwise(F.col("status")).alias("status")
+        return df.where(at < LATE_FROM).select(*[status if c == "status" else c for c in df.columns])
+
+    before = RawTables(now.users, older(now.orders), older(now.order_items), now.products)
+    folder = f"{shared_dir(spark)}/revlens-delta-{uuid.uuid4().hex}"
+    base = Warehouse(before, FIXTURE_AS_OF, target=f"{folder}/base", materialize_view=True)
+    _DELTAS[id(served)] = (served, IncrementalWarehouse(now, base, changed_orders(before, now), f"{folder}/now"))
+    return _DELTAS[id(served)][1]
+
+
+def _refreshed(name: str) -> Query:
+    return lambda spark, sf_dir: getattr(_incremental(spark, sf_dir), name)
+
+
+def _variant(spark: SparkSession, sf_dir: str, kind: str, **options) -> Warehouse:
+    """A warehouse over the same raw tables with other options, stored beside the served one."""
+    w = warehouse(spark, sf_dir)
+    return Warehouse(w.raw, w.as_of, w.rules, target=f"{w.target}-{kind}", reuse_stored=True, **options)
 
 
 def category_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,8 +287,19 @@ QUERIES: dict[str, Query] = {
     "parity_report": parity_report,
     "assertions": assertions,
     "layer_roundtrip": layer_roundtrip,
+    "quality_gate": quality_gate,
+    "live_view": live_view,
+    # refresh of an older state
+    "incremental_customers": _refreshed("dim_customers_gold"),
+    "incremental_items": _refreshed("fact_order_items"),
+    "incremental_orders": _refreshed("fact_sales_performance"),
+    "incremental_view": _refreshed("vw_sales_analysis"),
     # roadmap
     "category_margin": category_margin,
     "status_snapshot": status_snapshot,
+    "status_history": status_history,
+    "status_flow": status_flow,
+    "churn_rate": churn_rate,
+    "peak_month_categories": peak_month_categories,
     "event_funnel": event_funnel,
 }

@@ -27,8 +27,14 @@ wants to spare the second copy of the item data passes
 
 A written layer is a new version in a folder of its own, named in the
 target's manifest together with what it was built from (reference date,
-rules, lead-time mode, raw files). ``reuse_stored=True`` reads a stored layer
-only if all of that is equal; otherwise it is built anew.
+rules, lead-time mode, raw files, this library's code) and a hash of its
+content. ``reuse_stored=True`` reads a stored layer only if it was built from
+the same things; otherwise it is built anew. ``vacuum`` deletes old versions.
+
+``quality_gate=True`` checks the rules of :data:`GATES` in the job that writes
+a layer: violating rows are kept aside with their reasons, and a version that
+breaks a ``refuse`` rule is not committed. ``partition_by=MONTHLY`` lays the
+facts out by month, so that reports over some months read those folders only.
 """
 
 from __future__ import annotations
@@ -39,19 +45,37 @@ import json
 import re
 import threading
 import uuid
-from functools import cached_property
+from functools import cached_property, lru_cache
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from revlens.config import DEFAULT_RULES, Rules
 from revlens.operators import gold, silver, view
+from revlens.plans.sqlview import view_sql
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import Manifest, drop_folder, file_identity, materialize, read_table
-
-# Optional partition columns per written table, e.g. {"fact_order_items": ("ano",)}
-# so that time-filtered reports prune files. Empty by default: none of the
-# published reports filters on time.
-PARTITION_BY: dict[str, tuple[str, ...]] = {}
+from revlens.sources.sinks import ASIDE, Gate, Manifest, drop_folder, file_identity, materialize, quarantined, read_table
+
+# Partition columns per written table: the facts by month. Not the default, because
+# none of the published reports filters on time.
+MONTHLY: dict[str, tuple[str, ...]] = {"fact_order_items": ("ano_mes",), "fact_sales_performance": ("ano_mes",)}
+
+# Row rules of the written layers, as SQL conditions of a violation.
+GATES: dict[str, Gate] = {
+    "stg_users": Gate({"id_nulo": "customer_id IS NULL"}, {}, {"sem_email": "email IS NULL"}),
+    "stg_orders": Gate(
+        {"id_nulo": "order_id IS NULL"}, {}, {"envio_antes_do_pedido": "shipped_at < created_at", "sem_usuario": "user_id IS NULL"}
+    ),
+    "stg_order_items": Gate(
+        {"id_nulo": "order_item_id IS NULL", "sem_pedido": "order_id IS NULL", "preco_negativo": "sale_price < 0"},
+        {},
+        {"produto_desconhecido": "cost IS NULL", "preco_zero": "sale_price = 0"},
+    ),
+    "dim_customers_gold": Gate(
+        {}, {"id_nulo": "customer_id IS NULL", "escore_invalido": "NOT rfm_score RLIKE '^[0-3]{3}$'", "ltv_negativo": "ltv < 0"}, {}
+    ),
+    "fact_order_items": Gate({}, {"id_nulo": "order_item_id IS NULL"}, {"sem_data": "data_pedido IS NULL"}),
+}
 
 # Columns each written file is sorted by. The reports over the stored view
 # filter on the order status (and the trends on the day), so sorted files
@@ -61,7 +85,9 @@ SORT_WITHIN: dict[str, tuple[str, ...]] = {
 }
 
 # Layers that depend on the raw tables alone, not on the reference date or the rules.
-SILVER = frozenset({"stg_users", "stg_orders", "stg_order_items", "stg_user_id_mapping", "order_lines", "order_metrics"})
+SILVER = frozenset({"src_users", "stg_users", "stg_orders", "stg_order_items", "stg_user_id_mapping", "order_lines", "order_metrics"})
+
+OWNER = "revlens.target"  # property of a catalog view: the warehouse it was registered from
 
 # The published tables, in dependency order.
 TABLES = (
@@ -75,6 +101,19 @@ TABLES = (
 )
 
 
+@lru_cache(maxsize=1)
+def code_digest() -> str:
+    """A digest of the modules that decide what the layers hold."""
+    home = Path(__file__).resolve().parent.parent
+    files = sorted(f for part in ("operators", "functions", "sources", "plans") for f in (home / part).glob("*.py"))
+    return hashlib.sha256(b"".join(f.read_bytes() for f in [home / "config.py", *files])).hexdigest()
+
+
+def raw_identity(spark: SparkSession, folders: tuple[str, ...]) -> str:
+    """A digest of the paths, lengths and modification times of the files in ``folders``."""
+    return hashlib.sha256(repr(file_identity(spark, list(folders))).encode()).hexdigest()
+
+
 class Warehouse:
     """Lazily built layers over one set of raw tables.
 
@@ -88,6 +127,8 @@ class Warehouse:
     store_item_fact     write ``fact_order_items`` (False: a view over the stored items)
     keep_null_email     keep every registration without an e-mail, not one of them
     fold_orphans        count purchases of removed ids for the customer that survived
+    partition_by        partition columns of written tables, e.g. ``MONTHLY``
+    quality_gate        check ``GATES`` while writing; ``gate_report`` has what each layer's job found
 
     Each layer is a ``cached_property``: built (and written) on first access,
     then shared by everything that reads it.
@@ -105,6 +146,8 @@ class Warehouse:
         store_item_fact: bool = True,
         keep_null_email: bool = False,
         fold_orphans: bool = False,
+        partition_by: dict[str, tuple[str, ...]] | None = None,
+        quality_gate: bool = False,
     ) -> None:
         self.raw = raw
         self.as_of = as_of
@@ -116,6 +159,9 @@ class Warehouse:
         self.store_item_fact = store_item_fact
         self.keep_null_email = keep_null_email
         self.fold_orphans = fold_orphans
+        self.partition_by = partition_by or {}
+        self.quality_gate = quality_gate
+        self.gate_report: dict[str, dict] = {}
         self._written: dict[str, str] = {}
         self._lock = threading.RLock()
 
@@ -129,8 +175,11 @@ class Warehouse:
             return None
         known = {
             "raw": self._raw_identity,
+            "code": code_digest(),
             "calendar_lead_time": self.calendar_lead_time,
             "keep_null_email": self.keep_null_email,
+            "partition_by": self.partition_by.get(name, ()),
+            "quality_gate": self.quality_gate,
         }
         if name not in SILVER:
             as_of = self.as_of if self.as_of is not None else _dt.date.today()
@@ -138,13 +187,18 @@ class Warehouse:
         return json.dumps(known, sort_keys=True)
 
     @cached_property
-    def _raw_identity(self) -> str | None:
-        """A digest of the raw files' paths, lengths and modification times."""
+    def raw_folders(self) -> tuple[str, ...]:
+        """The folders that hold the raw files."""
         tables = [getattr(self.raw, t) for t in ("users", "orders", "order_items", "products")]
-        files = sorted({f for t in tables for f in t.inputFiles()})
-        if not files:
-            return None
-        return hashlib.sha256(repr(file_identity(tables[0].sparkSession, files)).encode()).hexdigest()
+        return tuple(sorted({f.rpartition("/")[0] for t in tables for f in t.inputFiles()}))
+
+    @cached_property
+    def _raw_identity(self) -> str | None:
+        return raw_identity(self.raw.users.sparkSession, self.raw_folders) if self.raw_folders else None
+
+    def is_current(self) -> bool:
+        """Whether the raw files are still those this warehouse was built from."""
+        return self._raw_identity == (raw_identity(self.raw.users.sparkSession, self.raw_folders) if self.raw_folders else None)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.target is None:
@@ -152,17 +206,33 @@ class Warehouse:
         with self._lock:  # one writer per layer even if reports run in threads
             spark, basis = df.sparkSession, self.built_from(name)
             manifest = Manifest(spark, self.target)
+            gate = GATES.get(name) if self.quality_gate else None
             if self.reuse_stored and basis is not None:
-                stored = manifest.served(name, basis)
-                if stored is not None:
-                    self._written[name] = stored
-                    return read_table(spark, stored).select(*df.columns)
+                record = manifest.served(name, basis)
+                if record is not None:
+                    self._written[name] = record["path"]
+                    return read_table(spark, record["path"] if gate is None else f"{record['path']}/{ASIDE}=false").select(*df.columns)
             version = f"{self.target}/{name}/v-{uuid.uuid4().hex}"
-            out = materialize(df, version, PARTITION_BY.get(name, ()), SORT_WITHIN.get(name, ()))
-            manifest.add(name, version, basis)
+            out, observed = materialize(df, version, self.partition_by.get(name, ()), SORT_WITHIN.get(name, ()), gate)
+            manifest.add(name, version, basis, observed)
             self._written[name] = version
+            if gate is not None:
+                self.gate_report[name] = observed
             return out
 
+    def quarantined(self, name: str) -> DataFrame | None:
+        """Rows of a written layer that its gate kept aside, with the rules they broke."""
+        return quarantined(self.raw.users.sparkSession, self._written[name])
+
+    def observed(self, name: str) -> dict:
+        """What the job that wrote the served version of a layer saw: ``linhas``, ``conteudo`` and its gate's counts."""
+        record = Manifest(self.raw.users.sparkSession, self.target).served(name)
+        return record["observed"] if record else {}
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` versions of each layer."""
+        return Manifest(self.raw.users.sparkSession, self.target).vacuum(keep)
+
     def drop(self) -> None:
         """Delete every version of every layer under ``target``; nothing else is touched."""
         spark = self.raw.users.sparkSession
@@ -274,8 +344,13 @@ class Warehouse:
         )
         return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
+    @cached_property
+    def src_users(self) -> DataFrame:
+        """Raw registrations as a stored table, for the catalog view: it shows attributes of removed ones, too."""
+        return self._keep("src_users", self.raw.users.select("id", "country", "city", "age", "gender", "traffic_source", "created_at"))
+
     def register(
-        self, staging_db: str = "crm_staging", analytics_db: str = "crm_analytics"
+        self, staging_db: str = "crm_staging", analytics_db: str = "crm_analytics", live_view: bool = False
     ) -> dict[str, str]:
         """Expose the layers under the warehouse's table names for SQL users.
 
@@ -286,6 +361,11 @@ class Warehouse:
         under ``target``; any other one is left alone and raises. A layer
         that isn't stored is registered as a temporary view under its own
         name. Returns name -> qualified name. Requires ``target``.
+
+        ``live_view`` registers the order view as a catalog view over the
+        silver tables and the dimension instead of its stored rows: each query
+        evaluates it, so rows added to the tables show without a rebuild, and
+        without ``as_of`` recency counts to the day of the query.
         """
         if self.target is None:
             raise ValueError("register() needs stored layers: build the warehouse with a target")
@@ -293,24 +373,46 @@ class Warehouse:
         names: dict[str, str] = {}
         for db in (staging_db, analytics_db):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.target}/{db}.db'")
-        for name in (*TABLES, "vw_sales_analysis"):
+        tables = (*TABLES, "src_users") if live_view else (*TABLES, "vw_sales_analysis")
+        for name in tables:
             df = getattr(self, name)  # written on first access
             if self.path(name) is None:
                 df.createOrReplaceTempView(name)
                 names[name] = name
                 continue
             qualified = f"{staging_db if name in SILVER else analytics_db}.{name}"
-            if spark.catalog.tableExists(qualified):
-                if not self._is_ours(qualified):
-                    raise ValueError(f"{qualified} exists and its files are not under {self.target}; it was left alone")
-                spark.sql(f"DROP TABLE {qualified}")  # external: the files stay
-            spark.catalog.createTable(qualified, path=self.path(name), source="parquet")
+            self._make_room(qualified)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+            parts = self.partition_by.get(name, ())
+            by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+            folder = self.path(name) + (f"/{ASIDE}=false" if self.quality_gate and name in GATES else "")
+            spark.sql(f"CREATE TABLE {qualified} ({columns}) USING parquet{by} LOCATION '{folder}'")
+            if parts:
+                spark.sql(f"MSCK REPAIR TABLE {qualified}")
             names[name] = qualified
+        if live_view:
+            qualified = f"{analytics_db}.vw_sales_analysis"
+            self._make_room(qualified)
+            text = view_sql(f"`{staging_db}`", f"`{analytics_db}`", self.as_of, self.rules)
+            spark.sql(f"CREATE VIEW {qualified} TBLPROPERTIES ('{OWNER}' = '{self.target}') AS {text}")
+            names["vw_sales_analysis"] = qualified
         return names
 
+    def _make_room(self, qualified: str) -> None:
+        """Drop a table or view of that name that this warehouse registered; raise if it is another's."""
+        spark = self.raw.users.sparkSession
+        if not spark.catalog.tableExists(qualified):
+            return
+        if not self._is_ours(qualified):
+            raise ValueError(f"{qualified} exists and its files are not under {self.target}; it was left alone")
+        kind = "VIEW" if spark.catalog.getTable(qualified).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {qualified}")  # external: the files stay
+
     def _is_ours(self, table: str) -> bool:
-        """Whether an external table's files lie under the target."""
+        """Whether an external table's files lie under the target, or a view was registered from it."""
         about = {r["col_name"]: r["data_type"] for r in self.raw.users.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        if about.get("Type") == "VIEW":
+            return f"{OWNER}={self.target}" in about.get("Table Properties", "").strip("[]").replace("'", "").split(", ")
         home = re.sub(r"^file:/+", "/", self.target) + "/"
         return about.get("Type") == "EXTERNAL" and re.sub(r"^file:/+", "/", about.get("Location", "")).startswith(home)
 
@@ -330,6 +432,7 @@ class Warehouse:
 _LAYERS = frozenset(
     {
         *TABLES,
+        "src_users",
         "order_lines",
         "customer_metrics",
         "customer_status",

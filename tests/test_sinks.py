@@ -9,7 +9,7 @@ import pytest
 from revlens.plans.warehouse import Warehouse
 from revlens.sources import write_table
 from revlens.sources.raw import read_raw
-from revlens.sources.sinks import Manifest, materialize
+from revlens.sources.sinks import Manifest, content, materialize
 from revlens.sources.testdata import raw_tables
 
 
@@ -27,12 +27,13 @@ def test_manifest_serves_the_newest_version_of_equal_origin(spark, tmp_path):
     m.add("t", "p1", "a")
     m.add("t", "p2", "b")
     m.add("other", "p3", "a")
-    assert m.served("t") == "p2" and m.served("t", "b") == "p2" and m.served("t", "a") is None
+    assert m.served("t")["path"] == "p2" and m.served("t", "b")["path"] == "p2" and m.served("t", "a") is None
 
 
 def test_sorted_write_keeps_rows_and_order_of_columns(spark, tmp_path):
     df = spark.range(100).selectExpr("id % 3 AS k", "id")
-    back = materialize(df, str(tmp_path / "s"), sort_within=("k", "id"))
+    back, seen = materialize(df, str(tmp_path / "s"), sort_within=("k", "id"))
+    assert seen["linhas"] == 100 and seen["conteudo"] == content(back).first().conteudo
     assert back.columns == ["k", "id"]
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
 
