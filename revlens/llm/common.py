@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,6 +34,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_table(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table on shared storage: no lineage behind them, and a reader takes the columns it needs."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = f"{folder.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def held_out(id_col: Column) -> Column:
     """True for the quarter of ids that no model may learn from; a null id is not held out."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))

@@ -17,13 +17,17 @@ def test_edges_and_hot_groups(spark):
         assert {d: r.keep_id for d, r in got.items()} == want
         assert all(r.kept == (r.doc_id == r.keep_id) for r in got.values())
         assert got[12].group_size == 60 and got[1].group_size == 3
+        assert sorted(d for d, r in got.items() if r.stays) == sorted(set(want.values()))
         assert got[2].text_sha256 == hashlib.sha256(SPACES.sub("", "ab").encode()).hexdigest()
 
 
 def test_null_ids_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, "t"), (5, "t"), (5, "t"), (None, "only")], "doc_id bigint, text string")
-    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(df).collect()), key=str)
-    assert got == [(5, 5, 3, True), (5, 5, 3, True), (None, 5, 3, False), (None, None, 1, True)]
+    for limit in (1000, 1, 2):  # with 1, rows that repeat an id are in slices of a hot group
+        found = exact_dedup(df, group_rows=limit, carry=True).collect()
+        got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found), key=str)
+        assert got == [(5, 5, 3, True), (5, 5, 3, True), (None, 5, 3, False), (None, None, 1, True)]
+        assert sorted(((r.row.doc_id, r.row.text) for r in found if r.stays), key=str) == [(5, "t"), (None, "only")]
     assert exact_dedup(df.limit(0)).count() == 0
 
 

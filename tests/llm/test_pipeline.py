@@ -64,3 +64,15 @@ def test_no_language_to_learn_from(spark):
         kept = C.by_language(spark, docs, "/root/testdata/sf0.001")
         assert kept.columns == docs.columns
         assert {r.doc_id for r in kept.collect()} == {free[0], None, held}
+
+
+def test_dedup_stages_judge_rows_not_ids(spark):
+    words = " ".join(f"w{k}" for k in range(60))
+    near, other = words + " more", " ".join(f"x{k}" for k in range(60))
+    rows = [(4, words, "en", "s", 1), (4, words, "en", "s", 1), (4, other, "en", "s", 1), (None, near, "en", "s", 1), (9, near, "en", "s", 1), (None, "alone here", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'x' AS body", "'y' AS hot_sha", "'z' AS rid")
+    exact = C.one_of_equal(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=str) == sorted([(4, words), (4, other), (9, near), (None, "alone here")], key=str)
+    left = C.one_of_near(spark, stored(docs), "")
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(4, words), (4, other), (None, "alone here")], key=str)
