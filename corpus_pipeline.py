@@ -1,8 +1,9 @@
 """Corpus pipeline: language ID, quality classifier, exact dedup, MinHash near-dedup, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs``, and but for the last returns rows of ``docs``
-with all their columns. ``doc_id`` names a row: rows that repeat an id share its fate in the dedup stages, and a row
-without an id can't be named, so those stages keep it.
+with all their columns, whatever their names. The dedup stages judge rows, not ids: of each group exactly one row
+stays, also where ids are null or repeat, and a text of its own stays under an id that others share. Null and empty texts have
+no letter, so the first stage drops them; texts may be of any length; an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import held_out, stored
+from revlens.llm.common import held_out, stored, stored_table
 from revlens.llm.exact_dedup import exact_dedup
 from revlens.llm.language_id import language_id
 from revlens.llm.language_id import learn as learn_languages
@@ -38,19 +39,18 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs if model is None else quality_scores(docs, model, carry=True).where(F.col("score") >= THRESHOLD).select("row.*")
 
 
-def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-
-
 def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return _without(docs, exact_dedup(docs))
+    return exact_dedup(docs, carry=True).where("stays").select("row.*")
 
 
 def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
-    return _without(docs, near_groups(docs, words=5, percent=80))
+    number = "_".join(["row", *docs.columns])  # a name that no column has
+    rows = stored_table(docs.withColumn(number, F.monotonically_increasing_id()))
+    judged = near_groups(rows, words=5, percent=80, row_col=number)
+    gone = judged.where(~F.col("stays")).select(F.col("rid").alias(number))
+    return rows.join(gone, number, "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,6 +38,12 @@ def test_entry_works_without_the_corpus_queries(tmp_path):
     assert out.returncode == 0 and out.stdout.split() == list(QUERIES), out.stderr
 
 
+def test_entry_works_without_a_package_that_only_the_corpus_queries_need():
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; print(*e.queries()); assert set(e.oracle_sql()) == set(e.queries())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert out.returncode == 0 and out.stdout.split() == list(QUERIES), out.stderr
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_oracle(spark, duck, small_dir, name):
     assert compare(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], small_dir)
