@@ -9,7 +9,7 @@ are the groups, named by their smallest id.
    population count of two sketches' XOR estimates how many samples differ. A second bitmap folds the whole set the
    same way; its XOR can't have more bits than the sets differ in elements, which gives an exact bound.
 2. Rows with equal sets are one class (map-side combine), known by the row number of its first member.
-3. In each band bucket all members are compared with the bucket's first one: as many pairs as members. A pair goes
+3. In each band bucket all members are compared with one of them, by ``LEADERS`` orders in turn: as many pairs as members. A pair goes
    on if the set sizes and the sketches allow the similarity; links are confirmed on the full sets. These are built once
    more where the texts are read, for classes that still have a pair (a Bloom filter of fixed size tells which), so no text is
    shuffled. A large set is compared in slices of its hash range.
@@ -46,6 +46,7 @@ SKETCH_BITS = 512  # of the MinHash samples
 SET_BITS = 1024  # of the whole set
 BLOCK_CHARS = 1 << 19
 SLICE = 8192  # shingles of a set that are compared at once
+LEADERS = 3  # orders by which buckets choose the member that all others are compared with
 BLOCK = 1024  # members of an open bucket that are compared at once
 _KEYS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 2 * BANDS * ROWS + 32, dtype=np.uint64) | np.uint64(1)
 
@@ -222,7 +223,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
 def _across(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, a_n, b_n) across the components that meet in open buckets, as far as sizes and sketches allow.
 
-    ``rest`` has the members of open buckets: bucket, a, group, main, a_n, a_odd, a_whole. Sets that may be linked are
+    ``rest`` has the members of open buckets: bucket, a, group, main, a_n, a_odd, a_whole, a_bands. Sets that may be linked are
     at most one power of 100 / percent apart in size, so members meet by bucket and power. Blocks of both sides of such a
     meeting are joined pair by pair.
     """
@@ -233,15 +234,17 @@ def _across(rest: DataFrame, percent: int) -> DataFrame:
     wide = count.select("bucket", near.alias("power"), "blocks").groupBy("bucket", "power").agg(F.max("blocks").alias("blocks"))
     own = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    renamed = {"a": "b", "group": "b_group", "a_n": "b_n", "a_odd": "b_odd", "a_whole": "b_whole"}
+    renamed = {"a": "b", "group": "b_group", "a_n": "b_n", "a_odd": "b_odd", "a_whole": "b_whole", "a_bands": "b_bands"}
     facing = sized.join(wide, ["bucket", "power"]).withColumn("j", own).select("*", every.alias("i")).drop("blocks", "main")
     facing = facing.withColumnsRenamed(renamed)
     apart = sized.where(F.col("group") != F.col("main")).withColumn("power", near).join(wide, ["bucket", "power"])
     apart = apart.withColumn("i", own).select("*", every.alias("j")).drop("blocks")
     # each pair of components once: both ends outside the main one are taken from the smaller side only
     once = (F.col("b_group") == F.col("main")) | (F.col("group") < F.col("b_group"))
+    # of all buckets that two sets share, the first one compares them
+    here = F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == F.col("bucket")
     met = apart.join(facing, ["bucket", "power", "i", "j"])
-    return met.where((F.col("group") != F.col("b_group")) & once & _may_link(percent)).select("a", "b", "a_n", "b_n").distinct()
+    return met.where((F.col("group") != F.col("b_group")) & once & _may_link(percent) & here).select("a", "b", "a_n", "b_n").distinct()
 
 
 def near_groups(
@@ -258,16 +261,19 @@ def near_groups(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid")).alias("first")
     classes = some.groupBy("n", "f1", "f2").agg(first, *(F.first(c).alias(c) for c in ("bands", "odd", "whole")))
     classes = stored(classes.withColumn("c", F.col("first.rid")))
-    members = classes.select(F.col("c").alias("a"), F.explode("bands").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("a").alias("lead"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    buckets = stored(members.join(leaders.select("bucket", "lead"), "bucket"))
+    members = classes.select(F.col("c").alias("a"), F.posexplode("bands").alias("band", "bucket"))
+    turn = F.min(F.struct(F.xxhash64("a", F.col("band") % LEADERS), "a"))["a"]
+    leaders = members.groupBy("bucket").agg(turn.alias("lead"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    buckets = stored(members.drop("band").join(leaders.select("bucket", "lead"), "bucket"))
     known, other = (
-        classes.select(F.col("c").alias(x), F.col("n").alias(f"{x}_n"), F.col("odd").alias(f"{x}_odd"), F.col("whole").alias(f"{x}_whole"))
+        classes.select(
+            F.col("c").alias(x), F.col("n").alias(f"{x}_n"), F.col("odd").alias(f"{x}_odd"), F.col("whole").alias(f"{x}_whole"), F.col("bands").alias(f"{x}_bands")
+        )
         for x in ("a", "b")
     )
 
     stars = buckets.where(F.col("a") != F.col("lead")).select("a", F.col("lead").alias("b")).distinct()
-    stars = stars.join(known, "a").join(other, "b").where(_may_link(percent)).select("a", "b", "a_n", "b_n")
+    stars = stars.join(known.drop("a_bands"), "a").join(other.drop("b_bands"), "b").where(_may_link(percent)).select("a", "b", "a_n", "b_n")
     links = stored(confirmed(stored(stars), classes, base, words, percent))
     groups = components(links)
 
