@@ -20,7 +20,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from revlens.operators import growth, leakage, quality, roadmap
+from revlens.operators import funnel, growth, leakage, quality, roadmap
 from revlens.plans.warehouse import Warehouse
 from revlens.session import tune_session
 
@@ -54,7 +54,7 @@ def _counted(w):
 
 
 # Reports over the event log (``--events``), not over the warehouse layers.
-EVENT_REPORTS = {"event_funnel": roadmap.event_funnel}
+EVENT_REPORTS = {"event_funnel": funnel.event_funnel, "session_funnel": funnel.session_funnel}
 
 
 def _warehouse(spark, args) -> Warehouse:

@@ -2,7 +2,8 @@
 
 ``category_margin``  margin by product category (figures published, no query given)
 ``status_snapshot``  lifecycle status counts at every month-end (roadmap: churn over time)
-``event_funnel``     ordered funnel over the event log (roadmap: cart abandonment)
+
+The funnels over the event log are in ``funnel``.
 """
 
 from __future__ import annotations
@@ -224,58 +225,3 @@ def status_snapshot(
         F.col("status").alias("status_cliente"),
         F.col("clientes").cast("bigint").alias("clientes"),
     )
-
-
-FUNNEL_STEPS = ("view", "click", "purchase")
-
-
-def event_funnel(events: DataFrame, steps: tuple[str, ...] = FUNNEL_STEPS) -> DataFrame:
-    """Ordered funnel over the event log: users reaching each step in order.
-
-    A user reaches step k when an event of that type happens at or after
-    the moment they reached step k-1 (step 1: their first event of that
-    type). The drop between 'click' and 'purchase' is the abandonment the
-    roadmap asks about.
-
-    Plan: step 1 is an aggregate (first time per user); each later step
-    joins that step's events to the per-user time of the previous step and
-    takes the earliest event after it -- one join and one aggregate per
-    step, at user grain. A user with a huge share of the events is a skewed
-    join partition, which AQE splits (``forceOptimizeSkewedJoin``, set by
-    :func:`revlens.session.tune_session`). The counts are one global
-    aggregate unpacked into one row per step.
-    """
-    ev = events.select("user_id", "event_type", "ts").where(
-        F.col("user_id").isNotNull() & F.col("ts").isNotNull() & F.col("event_type").isin(*steps)
-    )
-    of = lambda step: ev.where(F.col("event_type") == step)
-    reached = of(steps[0]).groupBy("user_id").agg(F.min("ts").alias("t0"))
-    for k, step in enumerate(steps[1:], start=1):
-        prev = reached.select("user_id", F.col(f"t{k - 1}").alias("_prev")).where(
-            F.col("_prev").isNotNull()
-        )
-        nxt = (
-            of(step)
-            .join(prev, "user_id")
-            .where(F.col("ts") >= F.col("_prev"))
-            .groupBy("user_id")
-            .agg(F.min("ts").alias(f"t{k}"))
-        )
-        reached = reached.join(nxt, "user_id", "left")
-    counts = reached.agg(*[F.count(f"t{k}").alias(f"n{k}") for k in range(len(steps))])
-    rows = []
-    for k, step in enumerate(steps):
-        n = F.col(f"n{k}")
-        prev = F.col(f"n{k - 1}") if k else n
-        rows.append(
-            F.struct(
-                F.lit(k + 1).cast("bigint").alias("ordem"),
-                F.lit(step).alias("etapa"),
-                n.alias("usuarios"),
-                (round_half_up(ratio(n * F.lit(100.0), prev), 2) if k else F.lit(None).cast("double")).alias(
-                    "pct_etapa_anterior"
-                ),
-                round_half_up(ratio(n * F.lit(100.0), F.col("n0")), 2).alias("pct_topo"),
-            )
-        )
-    return counts.select(F.inline(F.array(*rows)))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.config import FIXTURE_AS_OF
-from revlens.operators import gold, growth, leakage, quality, roadmap
+from revlens.operators import funnel, gold, growth, leakage, quality, roadmap, tiers
 from revlens.plans import history
 from revlens.plans.incremental import IncrementalWarehouse, changed_orders
 from revlens.plans.warehouse import GATES, MONTHLY, TABLES, Warehouse
@@ -247,7 +247,18 @@ def status_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roadmap.event_funnel(warehouse(spark, sf_dir).raw.events)
+    return funnel.event_funnel(warehouse(spark, sf_dir).raw.events)
+
+
+def session_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.session_funnel(warehouse(spark, sf_dir).raw.events)
+
+
+def value_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value tiers with cuts from the data."""
+    w = warehouse(spark, sf_dir)
+    rules = tiers.tier_rules(w.customer_metrics, w.rules)
+    return tiers.value_tiers(gold.customer_segments(gold.rfm_scores(w.customer_metrics, w.as_of, rules), rules), rules)
 
 
 QUERIES: dict[str, Query] = {
@@ -302,4 +313,6 @@ QUERIES: dict[str, Query] = {
     "churn_rate": churn_rate,
     "peak_month_categories": peak_month_categories,
     "event_funnel": event_funnel,
+    "session_funnel": session_funnel,
+    "value_tiers": value_tiers,
 }

@@ -255,9 +255,9 @@ def _brute_funnel(events, steps):
     )
 )
 def test_event_funnel_matches_brute_force(spark, raw_events):
-    from revlens.operators import roadmap
+    from revlens.operators import funnel
 
     events = [(u, kind, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)) for u, kind, m in raw_events]
     df = spark.createDataFrame(events, "user_id long, event_type string, ts timestamp_ntz")
-    got = [r.usuarios for r in sorted(roadmap.event_funnel(df).collect(), key=lambda r: r.ordem)]
-    assert got == _brute_funnel(events, roadmap.FUNNEL_STEPS)
+    got = [r.usuarios for r in sorted(funnel.event_funnel(df).collect(), key=lambda r: r.ordem)]
+    assert got == _brute_funnel(events, funnel.FUNNEL_STEPS)

@@ -28,7 +28,7 @@ def main() -> int:
     args = ap.parse_args()
 
     from revlens.config import FIXTURE_AS_OF
-    from revlens.operators import growth, leakage, quality, roadmap
+    from revlens.operators import funnel, growth, leakage, quality, roadmap
     from revlens.plans.warehouse import Warehouse
     from revlens.session import local_session, tune_session
     from revlens.sources.testdata import raw_tables
@@ -61,7 +61,8 @@ def main() -> int:
         "status_snapshot": lambda: roadmap.status_snapshot(
             w.stg_users, None, w.as_of, lines=w.order_lines
         ),
-        "event_funnel": lambda: roadmap.event_funnel(w.raw.events),
+        "event_funnel": lambda: funnel.event_funnel(w.raw.events),
+        "session_funnel": lambda: funnel.session_funnel(w.raw.events),
     }
     for name in args.names or list(frames):
         print(f"\n{'=' * 30} {name} {'=' * 30}")
