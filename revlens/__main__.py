@@ -25,12 +25,12 @@ from revlens.plans.warehouse import Warehouse
 from revlens.session import tune_session
 
 REPORTS = {
-    "leakage_overview": lambda w: leakage.leakage_overview(w.vw_sales_analysis, w.rules),
-    "leakage_by_status": lambda w: leakage.leakage_by_status(w.vw_sales_analysis, w.rules),
-    "leakage_by_country": lambda w: leakage.leakage_by_country(w.vw_sales_analysis, w.rules),
-    "leakage_by_channel": lambda w: leakage.leakage_by_channel(w.vw_sales_analysis, w.rules),
-    "leakage_trend": lambda w: leakage.leakage_trend(w.vw_sales_analysis, w.rules),
-    "leakage_trend_monthly": lambda w: leakage.leakage_trend_monthly(w.vw_sales_analysis, w.rules),
+    "leakage_overview": lambda w: leakage.leakage_overview(w.leakage_rollup, w.rules),
+    "leakage_by_status": lambda w: leakage.leakage_by_status(w.leakage_rollup, w.rules),
+    "leakage_by_country": lambda w: leakage.leakage_by_country(w.leakage_rollup, w.rules),
+    "leakage_by_channel": lambda w: leakage.leakage_by_channel(w.leakage_rollup, w.rules),
+    "leakage_trend": lambda w: leakage.leakage_trend(w.leakage_rollup, w.rules),
+    "leakage_trend_monthly": lambda w: leakage.leakage_trend_monthly(w.leakage_rollup, w.rules),
     "growth_unconverted": lambda w: growth.growth_unconverted(w.dim_customers_gold, w.rules),
     "growth_reactivation": lambda w: growth.growth_reactivation(w.dim_customers_gold, w.rules),
     "growth_premium_upgrade": lambda w: growth.growth_premium_upgrade(w.dim_customers_gold, w.rules),

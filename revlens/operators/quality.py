@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions import dsum, money_total
@@ -126,21 +126,26 @@ def assertions(grain: DataFrame, parity: DataFrame) -> DataFrame:
 def orphan_report(view: DataFrame, customers: DataFrame, mapping: DataFrame) -> DataFrame:
     """Orders whose user is not a cleaned customer: ids, orders, revenue, and which ids the mapping resolves.
 
-    A left-anti join of the order view against ``stg_users``, so an id that
+    Orders are folded to users first; a left-anti join of those against ``stg_users``, so an id that
     the dedup dropped without a mapping (no e-mail) and an id that was never
     registered count too; then a left join to the mapping (one row per id).
     """
     known = customers.select(F.col("customer_id").alias("_cid"))
     removed = mapping.select(F.col("user_id_original").alias("_orig")).distinct()
-    orphans = view.join(known, view.user_id == known._cid, "left_anti")
+    users = view.groupBy("user_id").agg(F.count("order_id").alias("_n"), dsum("receita_pedido").alias("_r"))
+    orphans = users.join(known, users.user_id == known._cid, "left_anti")
     marked = orphans.join(removed, orphans.user_id == removed._orig, "left")
     resolved = F.col("_orig").isNotNull()
+
+    def orders(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("_n"))), F.lit(0)).cast("bigint")
+
     return marked.agg(
-        F.count_distinct("user_id").alias("ids_orfaos"),
-        F.count("order_id").alias("pedidos_orfaos"),
-        money_total(dsum("receita_pedido")).alias("receita_orfaos"),
-        F.count_distinct("_orig").alias("ids_mapeados"),
-        F.count(F.when(resolved, F.col("order_id"))).alias("pedidos_mapeados"),
-        F.count_distinct(F.when(~resolved, F.col("user_id"))).alias("ids_sem_mapa"),
-        F.count(F.when(~resolved, F.col("order_id"))).alias("pedidos_sem_mapa"),
+        F.count("user_id").alias("ids_orfaos"),
+        orders(F.lit(True)).alias("pedidos_orfaos"),
+        money_total(F.sum("_r")).alias("receita_orfaos"),
+        F.count("_orig").alias("ids_mapeados"),
+        orders(resolved).alias("pedidos_mapeados"),
+        F.count(F.when(~resolved, F.col("user_id"))).alias("ids_sem_mapa"),
+        orders(~resolved).alias("pedidos_sem_mapa"),
     )

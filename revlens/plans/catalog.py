@@ -67,8 +67,8 @@ def _layer(name: str) -> Query:
     return lambda spark, sf_dir: getattr(warehouse(spark, sf_dir), name)
 
 
-def _on_view(fn) -> Query:
-    return lambda spark, sf_dir: fn(warehouse(spark, sf_dir).vw_sales_analysis)
+def _on_rollup(fn) -> Query:
+    return lambda spark, sf_dir: fn(warehouse(spark, sf_dir).leakage_rollup)
 
 
 def _on_dim(fn) -> Query:
@@ -279,12 +279,12 @@ QUERIES: dict[str, Query] = {
     # serving view
     "vw_sales_analysis": _layer("vw_sales_analysis"),
     # revenue leakage
-    "leakage_overview": _on_view(leakage.leakage_overview),
-    "leakage_by_status": _on_view(leakage.leakage_by_status),
-    "leakage_by_country": _on_view(leakage.leakage_by_country),
-    "leakage_by_channel": _on_view(leakage.leakage_by_channel),
-    "leakage_trend": _on_view(leakage.leakage_trend),
-    "leakage_trend_monthly": _on_view(leakage.leakage_trend_monthly),
+    "leakage_overview": _on_rollup(leakage.leakage_overview),
+    "leakage_by_status": _on_rollup(leakage.leakage_by_status),
+    "leakage_by_country": _on_rollup(leakage.leakage_by_country),
+    "leakage_by_channel": _on_rollup(leakage.leakage_by_channel),
+    "leakage_trend": _on_rollup(leakage.leakage_trend),
+    "leakage_trend_monthly": _on_rollup(leakage.leakage_trend_monthly),
     # growth opportunities
     "growth_unconverted": _on_dim(growth.growth_unconverted),
     "growth_reactivation": _on_dim(growth.growth_reactivation),

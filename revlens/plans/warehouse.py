@@ -51,7 +51,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.config import DEFAULT_RULES, Rules
-from revlens.operators import gold, silver, view
+from revlens.operators import gold, leakage, silver, view
 from revlens.plans.sqlview import view_sql
 from revlens.sources.raw import RawTables
 from revlens.sources.sinks import ASIDE, Gate, Manifest, drop_folder, file_identity, materialize, quarantined, read_table
@@ -344,6 +344,11 @@ class Warehouse:
         )
         return self._keep("vw_sales_analysis", df) if self.materialize_view else df
 
+    @cached_property
+    def leakage_rollup(self) -> DataFrame:
+        """Read by all leakage reports, so stored like a layer."""
+        return self._keep("leakage_rollup", leakage.leakage_rollup(self.vw_sales_analysis))
+
     @cached_property
     def src_users(self) -> DataFrame:
         """Raw registrations as a stored table, for the catalog view: it shows attributes of removed ones, too."""
@@ -439,5 +444,6 @@ _LAYERS = frozenset(
         "order_metrics",
         "monthly_series",
         "vw_sales_analysis",
+        "leakage_rollup",
     }
 )
