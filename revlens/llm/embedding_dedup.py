@@ -1,6 +1,7 @@
 """Near-duplicate vectors by random-hyperplane signs in several tables, exact cosines, and connected components.
 
-Only vectors of one label and length are compared. Equal vectors are one class (smallest id, number of rows). Each
+Only vectors of one label and length are compared. Equal vectors are one class (a number of its own, smallest id, number
+of rows). Each
 table's bucket is the signs of ``bits`` random hyperplanes; there are as many tables as bring the chance that a pair
 at the threshold shares no bucket under ``MISS``, and as many bits as keep buckets at about ``PER_BUCKET`` unrelated
 classes, so the work per vector grows with the logarithm of their number.
@@ -8,11 +9,12 @@ classes, so the work per vector grows with the logarithm of their number.
 A bucket is compared inside one task as one matrix product. A bucket of more than ``BLOCK`` classes is cut into
 blocks, and each pair of blocks is a task group of its own, so no task sees more than two blocks. A pair that shares
 several buckets counts in the first one only, which each task decides from the signs. Tasks send back one row for each
-vector with links: how many, and the smallest vector it hangs together with there. Pairs never leave the task.
+vector with links: how many, and the first class it hangs together with there. Pairs never leave the task. Classes, not ids, are
+the nodes; a component takes the smallest id of its classes at the end.
 
 Defined results: a vector that is null, zero, or holds null or non-finite numbers, or has no label, links with
 nothing and is its own component; a null id links with nothing, has a null component and is kept; rows that repeat an
-id are vectors of their own with that id; an empty table gives an empty result; other columns are not read.
+id are vectors of their own with that id, each with its own links; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -186,8 +188,9 @@ def embedding_groups(
     usable = base.where(fit)
     classes = stored(
         usable.groupBy("label", "embedding")
-        .agg(F.min("vec_id").alias("a"), F.count(F.lit(1)).alias("weight"))
+        .agg(F.min("vec_id").alias("smallest"), F.count(F.lit(1)).alias("weight"))
         .withColumn("dim", F.size("embedding"))
+        .withColumn("a", F.monotonically_increasing_id())
     )
     bits, tables = tables_for(classes.count(), threshold)
     group = ["label", "dim", "table", "bucket"]
@@ -208,13 +211,14 @@ def embedding_groups(
     rows = rows.repartition(*group, "facing").sortWithinPartitions(*group, "facing", "side")
     found = stored(links_in_buckets(rows, threshold, bits))
     links = found.groupBy(F.col("node").alias("a")).agg(F.sum("links").alias("links"))
-    groups = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    named = classes.join(links, "a", "left").join(groups.withColumnRenamed("node", "a"), "a", "left")
+    groups = components(found.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "a")
+    firsts = classes.select("a", "smallest").join(groups, "a").groupBy("component").agg(F.min("smallest").alias("component_id"))
+    named = classes.join(links, "a", "left").join(groups.join(firsts, "component"), "a", "left")
     named = named.select(
         "label",
         "embedding",
         (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "a").alias("component_id"),
+        F.coalesce("component_id", "smallest").alias("component_id"),
     )
     linked = usable.join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = base.where(~fit).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))

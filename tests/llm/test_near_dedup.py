@@ -125,6 +125,14 @@ def test_embedding_groups_against_brute_force(spark, monkeypatch, block):
     assert got == vectors_brute([d[:3] for d in data], E.THRESHOLD)
 
 
+def test_vectors_that_share_an_id_keep_their_own_links(spark):
+    rows = [(5, [1.0, 0.0, 0.0], 1), (5, [0.0, 1.0, 0.0], 1), (7, [1.0, 0.01, 0.0], 1), (9, [0.0, 1.0, 0.01], 1), (8, [0.0, 0.0, 1.0], 1), (6, [0.0, 0.01, 1.0], 1)]
+    for order in (rows, rows[::-1], [rows[k] for k in (3, 5, 0, 4, 2, 1)]):
+        got = E.embedding_groups(spark.createDataFrame(order, "vec_id bigint, embedding array<float>, label int")).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(5, 1, 5), (5, 1, 5), (6, 1, 6), (7, 1, 5), (8, 1, 6), (9, 1, 5)]
+        assert [r.vec_id for r in got if r.kept].count(5) == 2
+
+
 def test_embedding_groups_null_ids_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1)], "vec_id bigint, embedding array<float>, label int")
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in E.embedding_groups(df).collect()), key=str)
