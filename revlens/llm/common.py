@@ -34,12 +34,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written tables that all executors share."""
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return folder.rstrip("/")
+
+
 def stored_table(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table on shared storage: no lineage behind them, and a reader takes the columns it needs."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    path = f"{folder.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

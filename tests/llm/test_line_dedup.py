@@ -6,6 +6,9 @@ import duckdb
 import pytest
 from helpers import documents
 
+from pyspark.sql import functions as F
+
+from revlens.llm import line_dedup as L
 from revlens.llm.line_dedup import OP10_SQL, line_dedup, op10_line_dedup
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -49,6 +52,31 @@ def test_null_ids_repeats_and_empty(spark):
     assert line_dedup(df.limit(0)).count() == 0
 
 
+def test_many_rows_share_an_id_or_have_none(spark):
+    """Each row loses the lines that it has itself; its list doesn't grow with the rows that share its id."""
+    rows = [(1, "a line that is first")] + [(i, f"a line that is first\nown line number {k}") for k in range(30) for i in (7, None)]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(r.n_dropped for r in got if r.doc_id == 7) == 30
+    assert sorted(r.text for r in got if r.doc_id == 7) == sorted(f"own line number {k}" for k in range(30))
+    assert all(r.text == "" and r.n_dropped == 2 for r in got if r.doc_id is None)
+
+
+def test_runs_are_neither_shuffled_nor_sorted_for_a_merge(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keys = spark.range(500).select(F.xxhash64("id").alias("h1"), F.xxhash64("id", "id").alias("h2"), F.col("id").alias("first"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        runs = [L.write_run(keys.where(f"first % 3 = {k}"), buckets)[0] for k in (0, 1)]
+        new = keys.groupBy("h1", "h2").agg(F.min("first").alias("first"))
+        left = L.not_in_run(L.not_in_run(new, runs[0]), runs[1])
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        # one exchange and one sort, of the batch's own keys
+        assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange") == 1 and plan.count("Sort [") == 1, plan
+        assert sorted(r.first for r in left.select("first").collect()) == [k for k in range(500) if k % 3 == 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_sql(spark, small_dir):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small_dir}/documents.parquet')")
