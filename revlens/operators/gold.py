@@ -35,6 +35,7 @@ from revlens.functions import (
     year_month,
     year_of,
 )
+from revlens.operators.joins import JoinGuard, many_to_one
 
 
 def _valid(rules: Rules) -> Column:
@@ -213,6 +214,7 @@ def dim_customers_gold(
     rules: Rules = DEFAULT_RULES,
     status: DataFrame | None = None,
     mapping: DataFrame | None = None,
+    guard: JoinGuard | None = None,
 ) -> DataFrame:
     """P5: every cleaned customer (``users`` = P1 output) with metrics and labels.
 
@@ -228,7 +230,7 @@ def dim_customers_gold(
         status = customer_status(None, as_of, rules, lines=lines if mapping is None else resolve_users(lines, mapping))
     s = status
     s = s.withColumnRenamed("user_id", "_uid")
-    j = users.join(s, users.customer_id == s._uid, "left")
+    j = many_to_one(users, s, users.customer_id == s._uid, "_uid", "status", guard)
     zero_l = F.lit(0).cast("bigint")
     return j.select(
         "customer_id",
@@ -271,7 +273,7 @@ def calendar_columns(day: Column) -> list[Column]:
 
 
 def order_metrics(
-    items: DataFrame | None, orders: DataFrame, lines: DataFrame | None = None
+    items: DataFrame | None, orders: DataFrame, lines: DataFrame | None = None, guard: JoinGuard | None = None
 ) -> DataFrame:
     """Item totals per (order, user, item day, item status) plus the order's lead time.
 
@@ -287,7 +289,7 @@ def order_metrics(
     """
     lines = lines if lines is not None else order_lines(items)
     lead = orders.select(F.col("order_id").alias("_oid"), "dias_para_envio")
-    j = lines.join(lead, lines.order_id == lead._oid, "left")
+    j = many_to_one(lines, lead, lines.order_id == lead._oid, "_oid", "pedido", guard)
     return j.select(
         "order_id",
         "user_id",
@@ -336,14 +338,20 @@ def monthly_series(
     month exactly 1 and 12 calendar months earlier instead (NULL when that
     month has no valid order), via a join of the monthly aggregate with
     itself -- a few hundred rows at most.
+
+    Orders and customers are counted by an aggregate of their own each (two
+    distinct counts in one would copy every row twice); the three results
+    have one row per month.
     """
-    m = metrics.where(_valid(rules)).groupBy("ano", "mes", "ano_mes").agg(
-        F.count_distinct("order_id").alias("total_pedidos"),
-        F.count_distinct("user_id").alias("clientes_unicos"),
+    month, valid = ("ano", "mes", "ano_mes"), metrics.where(_valid(rules))
+    m = valid.groupBy(*month).agg(
         dsum("receita_pedido").alias("_rev"),
         davg("ticket_medio_pedido").alias("_ticket"),
         iavg("dias_para_envio").alias("_lead"),
     )
+    for name, of in (("total_pedidos", "order_id"), ("clientes_unicos", "user_id")):
+        n = valid.groupBy(F.col("ano_mes").alias("_month")).agg(F.count_distinct(of).alias(name))
+        m = m.join(n, m.ano_mes.eqNullSafe(n._month)).drop("_month")
     w = Window.orderBy(F.col("ano").asc_nulls_first(), F.col("mes").asc_nulls_first())
     rev = F.col("_rev")
     if calendar_aligned:
@@ -378,6 +386,7 @@ def fact_sales_performance(
     rules: Rules = DEFAULT_RULES,
     lines: DataFrame | None = None,
     metrics: DataFrame | None = None,
+    guard: JoinGuard | None = None,
 ) -> DataFrame:
     """Order metrics + that month's series + the customer's context.
 
@@ -406,9 +415,8 @@ def fact_sales_performance(
         F.col("traffic_source").alias("_src"),
         F.col("country").alias("_country"),
     )
-    j = om.join(F.broadcast(series), om.ano_mes == series._st_mes, "left").join(
-        d, om.user_id == d._cid, "left"
-    )
+    j = many_to_one(om, F.broadcast(series), om.ano_mes == series._st_mes, "_st_mes", "serie_mensal", guard)
+    j = many_to_one(j, d, om.user_id == d._cid, "_cid", "cliente", guard)
     return j.select(
         "order_id",
         "user_id",

@@ -20,6 +20,7 @@ from revlens.functions import (
     round_half_up,
     title_case,
 )
+from revlens.operators.joins import JoinGuard, many_to_one
 
 _USER_FIELDS = (
     "id",
@@ -70,7 +71,9 @@ def stg_users(users: DataFrame, keep_null_email: bool = False) -> DataFrame:
     )
 
 
-def stg_user_id_mapping(users: DataFrame, survivors: DataFrame | None = None) -> DataFrame:
+def stg_user_id_mapping(
+    users: DataFrame, survivors: DataFrame | None = None, guard: JoinGuard | None = None
+) -> DataFrame:
     """``user_id_original -> user_id_canonical`` for every removed duplicate.
 
     Joins each registration to its e-mail's survivor (from P1, so both
@@ -93,7 +96,7 @@ def stg_user_id_mapping(users: DataFrame, survivors: DataFrame | None = None) ->
     )
     regs = users.select(F.col("id").alias("user_id_original"), norm_email("email").alias("_email"))
     return (
-        regs.join(canon, "_email")
+        many_to_one(regs, canon, "_email", "_email", "email_canonico", guard, "inner")
         .where(F.col("user_id_original") != F.col("user_id_canonical"))
         .select("user_id_original", "user_id_canonical")
     )
@@ -119,7 +122,7 @@ def stg_orders(orders: DataFrame, calendar_lead_time: bool = False) -> DataFrame
     )
 
 
-def stg_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def stg_order_items(order_items: DataFrame, products: DataFrame, guard: JoinGuard | None = None) -> DataFrame:
     """Every item with product cost, category, brand and its margin.
 
     Left join, so items without a product keep a NULL cost.
@@ -129,7 +132,7 @@ def stg_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     sort-merge with AQE splitting the best-selling products.
     """
     p = products.select(F.col("id").alias("_pid"), "cost", "category", "brand")
-    j = order_items.join(p, order_items.product_id == p._pid, "left")
+    j = many_to_one(order_items, p, order_items.product_id == p._pid, "_pid", "produto", guard)
     sale, cost = F.col("sale_price"), F.col("cost")
     return j.select(
         F.col("id").alias("order_item_id"),

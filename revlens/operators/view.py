@@ -38,6 +38,7 @@ from revlens.operators.gold import (
     order_lines,
     order_money_columns,
 )
+from revlens.operators.joins import JoinGuard, many_to_one
 
 VIEW_COLUMNS = (
     "order_id",
@@ -101,6 +102,7 @@ def user_context(
     mapping: DataFrame,
     dim: DataFrame,
     purchases: DataFrame,
+    guard: JoinGuard | None = None,
 ) -> DataFrame:
     """Everything the view needs per user id, resolved at user grain."""
     u = users.select(
@@ -123,10 +125,9 @@ def user_context(
         F.col("ticket_medio").alias("_d_ticket"),
         F.col("total_pedidos").alias("_d_orders"),
     )
-    resolved = u.join(m, u._uid == m._orig, "left").join(
-        d, F.coalesce(F.col("_canon"), F.col("_uid")) == d._cid, "left"
-    )
-    who = resolved.join(purchases, resolved._uid == purchases._lp_uid, "full")
+    resolved = many_to_one(u, m, u._uid == m._orig, "_orig", "mapa", guard)
+    resolved = many_to_one(resolved, d, F.coalesce(F.col("_canon"), F.col("_uid")) == d._cid, "_cid", "dimensao", guard)
+    who = many_to_one(resolved, purchases, resolved._uid == purchases._lp_uid, "_lp_uid", "ultima_compra", guard, "full")
     return who.select(
         F.coalesce("_uid", "_lp_uid").alias("_who"),
         "country",
@@ -155,11 +156,12 @@ def vw_sales_analysis(
     rules: Rules = DEFAULT_RULES,
     metrics: DataFrame | None = None,
     lines: DataFrame | None = None,
+    guard: JoinGuard | None = None,
 ) -> DataFrame:
     """P8 over P2 orders, P3 items, raw users, P4 mapping and the P5 dimension."""
     lines = lines if lines is not None else order_lines(items)
     metrics = metrics if metrics is not None else customer_metrics(None, rules, lines=lines)
-    who = user_context(users, mapping, dim, last_purchase(metrics))
+    who = user_context(users, mapping, dim, last_purchase(metrics), guard)
     fin = order_financials(None, lines=lines)
     day = day_of("created_at")
     o = orders.select(
@@ -171,7 +173,8 @@ def vw_sales_analysis(
         "shipped_at",
         "delivered_at",
     )
-    j = o.join(fin, o.order_id == fin._fid, "left").join(who, o.user_id == who._who, "left")
+    j = many_to_one(o, fin, o.order_id == fin._fid, "_fid", "itens", guard)
+    j = many_to_one(j, who, o.user_id == who._who, "_who", "usuario", guard)
 
     d_status = F.col("_d_status")
     fallback_days = calendar_days("data_ultima_compra", as_of_date(as_of))

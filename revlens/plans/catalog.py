@@ -159,6 +159,27 @@ def gate_report(w: Warehouse) -> DataFrame:
     return w.raw.users.sparkSession.createDataFrame(rows, "tabela string, regra string, acao string, violacoes bigint, linhas bigint")
 
 
+def join_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in and out of every N:1 join, and keys that repeat on its unique side, as the jobs that ran the joins counted them."""
+    target = f"{shared_dir(spark)}/revlens-joins-{uuid.uuid4().hex}"
+    w = Warehouse(raw_tables(spark, sf_dir), FIXTURE_AS_OF, target=target, materialize_view=True, join_guard="report")
+    w.build_all()
+    found = joined(w)
+    w.drop()
+    return found
+
+
+def joined(w: Warehouse) -> DataFrame:
+    """camada, juncao, linhas_entrada, linhas_saida, lado_unico, chaves_repetidas, ok of the layers that ``w`` has written."""
+    rows = [
+        (layer, join, n["rows_in"], n["rows_out"], n["unique_side"], n["repeated"], n["repeated"] == 0)
+        for layer, joins in w.joins().items()
+        for join, n in joins.items()
+    ]
+    counts = "linhas_entrada bigint, linhas_saida bigint, lado_unico bigint, chaves_repetidas bigint"
+    return w.raw.users.sparkSession.createDataFrame(rows, f"camada string, juncao string, {counts}, ok boolean")
+
+
 _HISTORY: dict[int, tuple[Warehouse, DataFrame]] = {}
 
 
@@ -299,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "assertions": assertions,
     "layer_roundtrip": layer_roundtrip,
     "quality_gate": quality_gate,
+    "join_report": join_report,
     "live_view": live_view,
     # refresh of an older state
     "incremental_customers": _refreshed("dim_customers_gold"),

@@ -52,9 +52,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.config import DEFAULT_RULES, Rules
 from revlens.operators import gold, leakage, silver, view
+from revlens.operators.joins import JoinGuard
 from revlens.plans.sqlview import view_sql
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import ASIDE, Gate, Manifest, drop_folder, file_identity, materialize, quarantined, read_table
+from revlens.sources.sinks import ASIDE, Gate, Manifest, QualityError, drop_folder, file_identity, materialize, quarantined, read_table
 
 # Partition columns per written table: the facts by month. Not the default, because
 # none of the published reports filters on time.
@@ -129,6 +130,8 @@ class Warehouse:
     fold_orphans        count purchases of removed ids for the customer that survived
     partition_by        partition columns of written tables, e.g. ``MONTHLY``
     quality_gate        check ``GATES`` while writing; ``gate_report`` has what each layer's job found
+    join_guard          watch the N:1 joins of written layers: ``"report"`` (see ``joins``), or ``"refuse"`` to commit
+                        a version when a key repeats on the unique side of one
 
     Each layer is a ``cached_property``: built (and written) on first access,
     then shared by everything that reads it.
@@ -148,7 +151,10 @@ class Warehouse:
         fold_orphans: bool = False,
         partition_by: dict[str, tuple[str, ...]] | None = None,
         quality_gate: bool = False,
+        join_guard: str | None = None,
     ) -> None:
+        if join_guard not in (None, "report", "refuse"):
+            raise ValueError(f"join_guard: report, refuse or None, not {join_guard}")
         self.raw = raw
         self.as_of = as_of
         self.rules = rules
@@ -161,6 +167,7 @@ class Warehouse:
         self.fold_orphans = fold_orphans
         self.partition_by = partition_by or {}
         self.quality_gate = quality_gate
+        self.join_guard = join_guard
         self.gate_report: dict[str, dict] = {}
         self._written: dict[str, str] = {}
         self._lock = threading.RLock()
@@ -180,6 +187,7 @@ class Warehouse:
             "keep_null_email": self.keep_null_email,
             "partition_by": self.partition_by.get(name, ()),
             "quality_gate": self.quality_gate,
+            "join_guard": self.join_guard is not None,
         }
         if name not in SILVER:
             as_of = self.as_of if self.as_of is not None else _dt.date.today()
@@ -200,7 +208,11 @@ class Warehouse:
         """Whether the raw files are still those this warehouse was built from."""
         return self._raw_identity == (raw_identity(self.raw.users.sparkSession, self.raw_folders) if self.raw_folders else None)
 
-    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+    def _guard(self) -> JoinGuard | None:
+        """A guard for the joins of a layer that is going to be written."""
+        return JoinGuard() if self.join_guard and self.target is not None else None
+
+    def _keep(self, name: str, df: DataFrame, guard: JoinGuard | None = None) -> DataFrame:
         if self.target is None:
             return df
         with self._lock:  # one writer per layer even if reports run in threads
@@ -214,6 +226,12 @@ class Warehouse:
                     return read_table(spark, record["path"] if gate is None else f"{record['path']}/{ASIDE}=false").select(*df.columns)
             version = f"{self.target}/{name}/v-{uuid.uuid4().hex}"
             out, observed = materialize(df, version, self.partition_by.get(name, ()), SORT_WITHIN.get(name, ()), gate)
+            if guard is not None:
+                observed["joins"] = guard.counts()
+                broken = {join: n["repeated"] for join, n in observed["joins"].items() if n["repeated"]}
+                if broken and self.join_guard == "refuse":
+                    drop_folder(spark, version)
+                    raise QualityError(f"{name}: not committed, keys that should be unique repeat in the joins {broken}")
             manifest.add(name, version, basis, observed)
             self._written[name] = version
             if gate is not None:
@@ -229,6 +247,11 @@ class Warehouse:
         record = Manifest(self.raw.users.sparkSession, self.target).served(name)
         return record["observed"] if record else {}
 
+    def joins(self) -> dict[str, dict[str, dict[str, int]]]:
+        """layer -> join -> rows_in, rows_out, unique_side, repeated, of the layers written or reused under ``join_guard``."""
+        seen = {name: self.observed(name).get("joins", {}) for name in self._written}
+        return {name: found for name, found in seen.items() if found}
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` versions of each layer."""
         return Manifest(self.raw.users.sparkSession, self.target).vacuum(keep)
@@ -263,14 +286,16 @@ class Warehouse:
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
+        guard = self._guard()
         return self._keep(
-            "stg_order_items", silver.stg_order_items(self.raw.order_items, self.raw.products)
+            "stg_order_items", silver.stg_order_items(self.raw.order_items, self.raw.products, guard), guard
         )
 
     @cached_property
     def stg_user_id_mapping(self) -> DataFrame:
+        guard = self._guard()
         return self._keep(
-            "stg_user_id_mapping", silver.stg_user_id_mapping(self.raw.users, self.stg_users)
+            "stg_user_id_mapping", silver.stg_user_id_mapping(self.raw.users, self.stg_users, guard), guard
         )
 
     # -- gold --------------------------------------------------------------
@@ -294,6 +319,7 @@ class Warehouse:
 
     @cached_property
     def dim_customers_gold(self) -> DataFrame:
+        guard = self._guard()
         return self._keep(
             "dim_customers_gold",
             gold.dim_customers_gold(
@@ -302,13 +328,16 @@ class Warehouse:
                 self.as_of,
                 self.rules,
                 status=self.customer_status,
+                guard=guard,
             ),
+            guard,
         )
 
     @cached_property
     def order_metrics(self) -> DataFrame:
         """Read by the month series and the order fact, so stored like a layer."""
-        return self._keep("order_metrics", gold.order_metrics(None, self.stg_orders, lines=self.order_lines))
+        guard = self._guard()
+        return self._keep("order_metrics", gold.order_metrics(None, self.stg_orders, self.order_lines, guard), guard)
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -316,11 +345,13 @@ class Warehouse:
 
     @cached_property
     def fact_sales_performance(self) -> DataFrame:
+        guard = self._guard()
         return self._keep(
             "fact_sales_performance",
             gold.fact_sales_performance(
-                None, self.stg_orders, self.dim_customers_gold, self.rules, metrics=self.order_metrics
+                None, self.stg_orders, self.dim_customers_gold, self.rules, metrics=self.order_metrics, guard=guard
             ),
+            guard,
         )
 
     @cached_property
@@ -331,6 +362,7 @@ class Warehouse:
     # -- serving view ------------------------------------------------------
     @cached_property
     def vw_sales_analysis(self) -> DataFrame:
+        guard = self._guard() if self.materialize_view else None
         df = view.vw_sales_analysis(
             self.stg_orders,
             self.stg_order_items,
@@ -341,8 +373,9 @@ class Warehouse:
             self.rules,
             metrics=self.customer_metrics,
             lines=self.order_lines,
+            guard=guard,
         )
-        return self._keep("vw_sales_analysis", df) if self.materialize_view else df
+        return self._keep("vw_sales_analysis", df, guard) if self.materialize_view else df
 
     @cached_property
     def leakage_rollup(self) -> DataFrame:
