@@ -8,7 +8,8 @@ length that holds a cue word, across line breaks; a window counts at or above ``
 is a licence file if it matches a template as a whole at or above ``WHOLE`` or the full text of a licence at or above
 ``FULL``, or if its file name says so and a candidate matches; it covers its directory. A file without a header of its own inherits from the nearest ancestor
 directory that a licence file covers: the distinct directories are joined by path with the covered ones among their
-ancestors, and the deepest one wins.
+ancestors, and the deepest one wins. Its answer goes to the files by a join on the directory. A directory with a large
+share of the files is hot: there are at most ``HOT_SHARE`` such directories at any size, and their answers are broadcast.
 
 Document frequencies are counted over all texts, for the words of the templates and full texts only (a bounded
 vocabulary); other words of a candidate weigh as much as the rarest template word.
@@ -39,6 +40,8 @@ BLOCK_WORDS = 4096
 WHOLE = 0.8
 FULL = 0.9  # long prose shares many common words with a long licence
 RUN_GAP = 2
+HOT_SHARE, HOT_FILES = 200, 1000  # a hot directory has more than one file in 200, and more than 1000
+SPREAD = 4096  # parts for files that ask for nothing in the join on directories
 
 # Short notices of common licences, as their public texts recommend them.
 TEMPLATES = (
@@ -227,6 +230,26 @@ def nearest_covered(directories: DataFrame, covered: DataFrame) -> DataFrame:
     return found.groupBy("dir").agg(deepest.alias("x")).select("dir", "x.inherited", "x.inherited_score")
 
 
+def with_answers(own: DataFrame, answers: DataFrame, hot_from: int) -> DataFrame:
+    """``own`` with the ``inherited`` and ``inherited_score`` of each file's directory.
+
+    Directories of more than ``hot_from`` files, at most ``HOT_SHARE`` by that bound, are broadcast. Only files of other
+    directories that need an answer meet in the join on the directory; the rest is spread over ``SPREAD`` parts there.
+    """
+    answer = F.struct("inherited", "inherited_score")
+    hot = answers.where(F.col("n") > hot_from).select(F.col("dir").alias("hot_dir"), answer.alias("hot"))
+    cold = answers.where((F.col("n") <= hot_from) & F.col("inherited").isNotNull())
+    cold = cold.select(F.col("dir").alias("cold_dir"), F.lit(0).cast("bigint").alias("cold_part"), answer.alias("cold"))
+    files = own.join(F.broadcast(hot), F.col("dir") == F.col("hot_dir"), "left")
+    asks = F.col("own").isNull() & F.col("dir").isNotNull() & F.col("hot_dir").isNull()
+    # spread files match nothing, so a number that a rerun may change is good enough
+    spread = 1 + F.pmod(F.xxhash64("path", "own_score", F.monotonically_increasing_id()), F.lit(SPREAD))
+    files = files.withColumn("part", F.when(asks, F.lit(0)).otherwise(spread).cast("bigint"))
+    met = files.join(cold, (F.col("dir") == F.col("cold_dir")) & (F.col("part") == F.col("cold_part")), "left")
+    found = F.when(F.col("own").isNull(), F.coalesce("hot", "cold"))
+    return met.select(*own.columns, found["inherited"].alias("inherited"), found["inherited_score"].alias("inherited_score"))
+
+
 def license_scan(
     files: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", full_texts=FULL_TEXTS
 ) -> DataFrame:
@@ -266,8 +289,9 @@ def license_scan(
     best = F.min(F.struct((-F.col("own_score")).alias("s"), F.col("own").alias("name")))
     covered = own.where(F.col("is_file") & F.col("dir").isNotNull()).groupBy("dir").agg(best.alias("b"))
     covered = covered.select("dir", F.col("b.name").alias("inherited"), (-F.col("b.s")).alias("inherited_score"))
-    wanted = own.where(F.col("own").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
-    joined = own.join(nearest_covered(wanted, covered), "dir", "left")
+    wanted = own.where(F.col("own").isNull() & F.col("dir").isNotNull()).groupBy("dir").agg(F.count(F.lit(1)).alias("n"))
+    answers = stored(wanted.join(nearest_covered(wanted, covered), "dir", "left"))
+    joined = with_answers(own, answers, max(HOT_FILES, total // HOT_SHARE))
     how = F.when(F.col("is_file"), "file").when(F.col("own").isNotNull(), "header").when(F.col("inherited").isNotNull(), "inherited").otherwise("none")
     mine = F.col("own").isNotNull()
     return joined.select(

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.llm import license_scan as L
 
@@ -70,6 +71,34 @@ def test_headers_files_and_inheritance(spark):
     assert got[11].license == "MIT" and got[12].license is None
 
 
+@pytest.mark.parametrize("hot_files", [0, 2, 1000])
+def test_hot_directories_get_the_same_answers(spark, monkeypatch, hot_files):
+    """At 0 all directories of more than a 200th of the files are broadcast, at 1000 none is."""
+    monkeypatch.setattr(L, "HOT_FILES", hot_files)
+    files = FILES + [("repo/src/hot/%d.c" % k, None) for k in range(40)] + [("no/where/%d.c" % k, "") for k in range(40)]
+    df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "doc_id bigint, path string, text string")
+    got = L.license_scan(df)
+    assert [r.license for r in got.orderBy("doc_id").collect()] == brute(files)
+    assert got.columns == ["doc_id", "path", "license", "how", "score"]
+
+
+def test_files_that_ask_for_nothing_are_spread(spark):
+    """No part of the join on directories gets a large share of the files, whatever a directory holds."""
+    own = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.lit("d/f").alias("path"), F.lit(None).cast("string").alias("own"),
+        F.lit(0.0).alias("own_score"), F.lit(False).alias("is_file"), F.lit("d").alias("dir"),
+    )
+    answers = spark.createDataFrame([("d", 4000, None, None)], "dir string, n bigint, inherited string, inherited_score double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = L.with_answers(own, answers, 1000)
+        keys = [r["n"] for r in met.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(keys) == 4000 and (len(keys) == 1 or max(keys) < 2000)
+
+
 def test_every_template_finds_its_licence():
     matcher = L.Matcher(L.TEMPLATES, {}, 100)
     for name, text in L.TEMPLATES:
