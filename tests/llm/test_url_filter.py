@@ -63,6 +63,42 @@ def test_vocabulary(spark, url, verdict):
     assert judge(spark, [url])[0].verdict == verdict
 
 
+def test_weights(spark):
+    words = [("Casino", "strict", 1.0), ("casino", "soft", 9.0), ("free", "soft", 0.5), ("bonus", "soft", 0.5), ("win", "soft", 1.5), ("a.b", "soft", 0.5)]
+    urls = ["x://casino/", "x://free-bonus/", "x://free-win/", "x://free/bonus/a.b/free", "x://win-win", "x://free-bonus-win"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = [(r.strict_hits, r.soft_hits, r.soft_weight, r.verdict) for r in U.url_filter(df, (), words).orderBy("page_id").collect()]
+    assert got == [
+        (1, 0, 0.0, "block"),  # strict wins over soft
+        (0, 2, 1.0, "allow"),  # several, but too light
+        (0, 2, 2.0, "block"),
+        (0, 3, 1.5, "allow"),
+        (0, 1, 1.5, "allow"),
+        (0, 3, 2.5, "block"),
+    ]
+    assert {r.verdict for r in U.url_filter(df, (), ()).collect()} == {"allow"}
+    for bad in (("", "soft", 1.0), ("x", "hard", 1.0), ("x", "soft", -1.0)):
+        with pytest.raises(ValueError, match="strict or soft"):
+            U.url_filter(df, (), [bad])
+
+
+def test_a_vocabulary_is_a_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "words")
+    spark.createDataFrame([("apuestas", "strict", None), ("gratis", "soft", 2.0)], "term string, class string, weight double").write.parquet(path)
+    words = U.read_vocabulary(spark, path)
+    assert sorted(words) == [("apuestas", "strict", 1.0), ("gratis", "soft", 2.0)]
+    df = spark.createDataFrame([(1, "x://apuestas.es/"), (2, "x://gratis.es/")], "page_id bigint, url string")
+    assert [r.verdict for r in U.url_filter(df, (), words).orderBy("page_id").collect()] == ["block", "allow"]
+    monkeypatch.setattr(U, "MAX_TERMS", 1)
+    with pytest.raises(ValueError, match="more than"):
+        U.read_vocabulary(spark, path)
+
+
+def test_any_two_built_in_soft_terms_weigh_enough():
+    assert min(w for _, kind, w in U.VOCABULARY if kind == "soft") * U.SOFT_MIN >= U.SOFT_WEIGHT
+    assert not set(U.STRICT) & set(U.SOFT) and set(U.HEAVY) <= set(U.SOFT)
+
+
 def test_empty_and_repeated(spark):
     assert judge(spark, []) == {}
     df = spark.createDataFrame([(1, "http://a.org/"), (1, "http://a.org/"), (None, "x")], "page_id bigint, url string")
