@@ -56,8 +56,13 @@ def users_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
     )
+    # A customer becomes eight users, and a file of customers is often a single row group, which one task reads.
+    # So customers are dealt over the session's tasks before that, by a number that AQE keeps (the rows are small
+    # here, their users are not).
+    tasks = int(customer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cust = (
         customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+        .repartition(tasks, "c_custkey")
         .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "c_custkey",
@@ -169,7 +174,8 @@ class TestDataSource:
 
     Tables are read plainly: Spark inserts the exchanges a join or an
     aggregate needs, so partial aggregates run before them and AQE can split
-    a hot key (it never splits a repartition that a caller asked for).
+    a hot key (it never splits a repartition that a caller asked for). Only
+    customers are dealt over tasks before they become users.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
