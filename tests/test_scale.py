@@ -24,3 +24,12 @@ def test_customers_of_one_file_become_users_in_many_tasks(spark):
     per_task = [r["count"] for r in users.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 3200 and max(per_task) < 1600
     assert users.select("id").distinct().count() == 3200
+
+
+def test_partitioned_write_has_no_sort_by_folder(spark, tmp_path):
+    spark.sql(f"CREATE TABLE no_sort_by_folder (v BIGINT, k BOOLEAN) USING parquet PARTITIONED BY (k) LOCATION '{tmp_path}/t'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT OVERWRITE no_sort_by_folder PARTITION (k) SELECT id, id % 2 = 0 FROM range(10)").first()[0]
+        assert "Sort [" not in plan
+    finally:
+        spark.sql("DROP TABLE no_sort_by_folder")
