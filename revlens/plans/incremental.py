@@ -18,15 +18,14 @@ reference date or other rules, build in full.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators import gold, silver, view
 from revlens.plans.warehouse import Warehouse
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import content_columns
 
 LINE_KEYS = ("order_id", "user_id", "data_pedido", "status")
 
@@ -48,15 +47,21 @@ def merge_lines(stored: DataFrame, added: DataFrame) -> DataFrame:
 def changed_orders(before: RawTables, after: RawTables) -> DataFrame:
     """order_id of every order whose rows in ``orders`` or ``order_items`` differ, repeats included.
 
-    For sources without a change log: both versions are reduced to a content hash per order and compared.
+    For sources without a change log. Two 64-bit hashes of each row are summed per order, those of the old version
+    negative: what both versions hold cancels out, whatever its order. All rows meet in one aggregate, combined map-side
+    to four numbers an order. A hash is summed in halves, so that sums of up to 2^31 rows stay exact in 64 bits.
     """
-    found = []
+    rows = []
     for name in ("orders", "order_items"):
-        old, new = getattr(before, name), getattr(after, name)
-        sides = [df.groupBy("order_id").agg(*content_columns(sorted(old.columns))) for df in (old, new)]
-        both = sides[0].unionByName(sides[1]).groupBy("order_id", "linhas", "conteudo").agg(F.count(F.lit(1)).alias("_n"))
-        found.append(both.where(F.col("_n") == 1).select("order_id"))
-    return found[0].unionByName(found[1]).distinct()
+        columns = sorted(getattr(after, name).columns)
+        cells = [F.col(f"`{c}`") for c in columns]
+        hashes = [F.xxhash64(F.lit(name), F.lit(seed), *cells, *[c.isNull() for c in cells]) for seed in (1, 2)]
+        halves = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+        for sign, raw in ((-1, before), (1, after)):
+            rows.append(getattr(raw, name).select("order_id", *[(half * F.lit(sign)).alias(f"_h{i}") for i, half in enumerate(halves)]))
+    sums = [f"_h{i}" for i in range(4)]
+    net = reduce(DataFrame.unionByName, rows).groupBy("order_id").agg(*[F.sum(c).alias(c) for c in sums])
+    return net.where(reduce(Column.__or__, [F.col(c) != 0 for c in sums])).select("order_id")
 
 
 class IncrementalWarehouse(Warehouse):

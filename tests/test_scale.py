@@ -33,3 +33,25 @@ def test_partitioned_write_has_no_sort_by_folder(spark, tmp_path):
         assert "Sort [" not in plan
     finally:
         spark.sql("DROP TABLE no_sort_by_folder")
+
+
+def test_changed_orders_is_one_aggregate(spark):
+    orders = "order_id bigint, status string"
+    items = "id bigint, order_id bigint, sale_price double"
+
+    def raw(o, i):
+        return RawTables(None, spark.createDataFrame(o, orders), spark.createDataFrame(i, items), None)
+
+    before = raw(
+        [(1, "a"), (2, "a"), (3, "a"), (4, None), (5, "a"), (5, "a"), (7, "a"), (None, "a")],
+        [(10, 1, 1.0), (20, 2, 2.0), (30, 3, 3.0), (40, 4, None), (70, 7, 7.0), (71, 7, 7.5), (80, 8, 1.0)],
+    )
+    after = raw(
+        [(2, "a"), (1, "a"), (3, "b"), (4, None), (5, "a"), (6, "a"), (7, "a"), (None, "b")],
+        [(71, 7, 7.5), (70, 7, 7.0), (10, 1, 1.0), (20, 2, 2.5), (30, 3, 3.0), (40, 4, None), (80, 9, 1.0)],
+    )
+    changed = changed_orders(before, after)
+    # 2 and 3: another value, 5: a repeated row less, 6: new, 8 and 9: an item that moved, NULL: another status
+    assert sorted((r[0] for r in changed.collect()), key=lambda x: (x is None, x)) == [2, 3, 5, 6, 8, 9, None]
+    assert plan_of(changed).count("Exchange hashpartitioning") == 1
+    assert changed_orders(before, before).count() == 0
