@@ -143,17 +143,27 @@ def status_rows(
     first: _dt.date | str | None = None,
     rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
-    """user_id, status_cliente, data_snapshot, ano_mes: each customer at every month-end from ``first`` to ``last``."""
+    """user_id, status_cliente, data_snapshot, ano_mes: each customer at every month-end from ``first`` to ``last``.
+
+    Months are counted as integers, which costs less for every row than interval arithmetic.
+    """
     last_me = _month_end_on_or_before(as_of_date(last))
     iv = status_intervals(users, lines, rules)
     start = F.last_day("lo") if first is None else F.greatest(F.last_day("lo"), F.last_day(as_of_date(first)))
     end = F.coalesce(F.least(_month_end_on_or_before(F.col("hi")), last_me), last_me)
     spans = iv.select("user_id", "status", start.alias("_s"), end.alias("_e")).where(F.col("_s") <= F.col("_e"))
-    month = F.explode(F.sequence(F.trunc("_s", "MM"), F.trunc("_e", "MM"), F.expr("INTERVAL 1 MONTH")))
-    rows = spans.select("user_id", F.col("status").alias("status_cliente"), month.alias("_month"))
-    return rows.select(
-        "user_id", "status_cliente", F.last_day("_month").alias("data_snapshot"), F.date_format("_month", "yyyy-MM").alias("ano_mes")
-    )
+    months = (F.year("_e") - F.year("_s")) * 12 + F.month("_e") - F.month("_s")
+    n = F.explode(F.sequence(F.lit(0), months))
+    rows = spans.select("user_id", F.col("status").alias("status_cliente"), F.trunc("_s", "MM").alias("_first"), n.alias("_n"))
+    rows = rows.select("user_id", "status_cliente", F.last_day(F.add_months("_first", F.col("_n"))).alias("data_snapshot"))
+    return rows.select("*", month_label("data_snapshot").alias("ano_mes"))
+
+
+def month_label(day: str) -> Column:
+    """``yyyy-MM`` of a day; for a four-digit year put together from its numbers, without a date pattern for every row."""
+    year = F.year(day)
+    label = F.concat(year.cast("string"), F.lit("-"), F.lpad(F.month(day).cast("string"), 2, "0"))
+    return F.when(year.between(1000, 9999), label).otherwise(F.date_format(day, "yyyy-MM"))
 
 
 def status_snapshot(

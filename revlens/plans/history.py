@@ -39,8 +39,10 @@ class StatusHistory:
         ``users`` is P1, ``lines`` the order lines. A customer is in a month from sign-up or the first purchase on.
         """
         rows = roadmap.status_rows(users, lines, last, first, rules)
-        # a month's rows meet in few files; rebalancing splits a large month
-        rows = rows.select("user_id", "status_cliente", "data_snapshot", "ano_mes").hint("rebalance", "ano_mes")
+        # a month's rows meet in few files; rebalancing splits a large month. Rows travel and are sorted by the day alone
+        # (a number), and get their label after that, so a file follows the other without a sort by folder name
+        rows = rows.select("user_id", "status_cliente", "data_snapshot").hint("rebalance", "data_snapshot")
+        rows = rows.sortWithinPartitions("data_snapshot").withColumn("ano_mes", roadmap.month_label("data_snapshot"))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ano_mes").parquet(self.path)
 
     def read(self) -> DataFrame:

@@ -55,3 +55,26 @@ def test_changed_orders_is_one_aggregate(spark):
     assert sorted((r[0] for r in changed.collect()), key=lambda x: (x is None, x)) == [2, 3, 5, 6, 8, 9, None]
     assert plan_of(changed).count("Exchange hashpartitioning") == 1
     assert changed_orders(before, before).count() == 0
+
+
+def test_status_rows_count_months_as_integers(spark):
+    users = spark.createDataFrame([(1, dt.datetime(1999, 11, 15)), (2, dt.datetime(999, 12, 31))], "customer_id bigint, customer_since timestamp_ntz")
+    lines = spark.createDataFrame([(1, 10, dt.date(2000, 1, 31)), (2, 20, dt.date(1000, 2, 1))], "user_id bigint, order_id bigint, data_pedido date")
+    rows = roadmap.status_rows(users, lines, "2000-09-15")
+    assert "INTERVAL" not in plan_of(rows).upper()
+    got = sorted((r.ano_mes, str(r.data_snapshot), r.status_cliente) for r in rows.where("user_id = 1").collect())
+    assert got == [
+        ("1999-11", "1999-11-30", "Sem Compra"),
+        ("1999-12", "1999-12-31", "Sem Compra"),
+        ("2000-01", "2000-01-31", "Novo"),
+        ("2000-02", "2000-02-29", "Novo"),
+        ("2000-03", "2000-03-31", "Novo"),
+        ("2000-04", "2000-04-30", "Novo"),
+        ("2000-05", "2000-05-31", "Ativo"),
+        ("2000-06", "2000-06-30", "Ativo"),
+        ("2000-07", "2000-07-31", "Churn"),
+        ("2000-08", "2000-08-31", "Churn"),
+    ]
+    early = rows.where("user_id = 2 AND data_snapshot <= DATE'1000-02-28'").orderBy("data_snapshot").collect()
+    assert [(r.ano_mes, r.status_cliente) for r in early] == [("0999-12", "Sem Compra"), ("1000-01", "Sem Compra"), ("1000-02", "Novo")]
+    assert rows.where("user_id = 2").count() == (2000 - 1000) * 12 + 9
