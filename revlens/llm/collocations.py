@@ -9,7 +9,7 @@ id is a 64-bit hash of its language and its bytes. Phrases are counted in tries
 2. A run is cut by prefix partition, which a hash of a phrase's first two words decides. The runs of a prefix
    partition are merged in one place and the counts of equal phrases added. There are as many prefix partitions as
    the number of words asks for, so each one holds a bounded number of phrases, and hot first words are dealt by
-   their second.
+   their second. A run names the most frequent words by codes of 2 bytes (``codebook``) and others by their ids.
 3. No phrase is more frequent than its parts, so three passes count words, then pairs of frequent words, then phrases
    of 3 words and more whose pairs are all frequent. What is frequent is told to the tasks by a Bloom filter of
    ``FILTER_BITS`` bits, whatever the size of the input: a false positive costs a count that the merge drops,
@@ -41,6 +41,7 @@ MAX_WORDS = 5
 HELD = 400_000  # phrases in a task's trie
 BURST = 512  # phrases in a container
 FILTER_BITS = 1 << 25
+CODES = (1 << 16) - 1  # words with a code of 2 bytes; the code after the last stands for any other word
 PARTITION_WORDS = 1 << 18  # words of the corpus for each prefix partition
 UND = "und"
 
@@ -119,6 +120,47 @@ def filter_of(hashes: DataFrame) -> Filter:
     return Filter(bits.view(np.uint64))
 
 
+def codebook(words: DataFrame, codes: int = CODES) -> np.ndarray:
+    """The ids of the most frequent words (columns id, a), ascending: as many eighths of an octave as hold ``codes`` at most.
+
+    A word's code is its place. The size is fixed, whatever the size of the input, as the filter's is.
+    """
+    step = F.floor(F.log2("a") * 8)
+    least, room = None, codes
+    for row in words.groupBy(step.alias("step")).count().orderBy(F.col("step").desc()).collect():  # 505 rows at most
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["step"]
+    if least is None:
+        return np.zeros(0, dtype=np.uint64)
+    return np.sort(words.where(step >= least).select("id").toPandas()["id"].to_numpy(np.int64).view(np.uint64))
+
+
+def _codes(ids: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """The codes of ``ids``; CODES where a word has none."""
+    if not len(book):
+        return np.full(ids.shape, CODES, dtype=np.uint16)
+    at = np.minimum(np.searchsorted(book, ids), len(book) - 1)
+    return np.where(book[at] == ids, at, CODES).astype(np.uint16)
+
+
+def _packed(ids: np.ndarray, codes: np.ndarray) -> bytes:
+    """Codes column by column, then the ids of the words without one in the same order."""
+    codes = codes.T.ravel()
+    return codes.tobytes() + ids.T.ravel()[codes == CODES].tobytes()
+
+
+def _unpacked(packed: bytes, m: int, n: int, book: np.ndarray) -> np.ndarray:
+    """The ids of ``m`` phrases of ``n`` words, a row for each place."""
+    codes = np.frombuffer(packed, np.uint16, m * n)
+    ids = np.empty(m * n, dtype=np.uint64)
+    coded = codes != CODES
+    ids[coded] = book[codes[coded]]
+    ids[~coded] = np.frombuffer(packed[codes.nbytes :], np.uint64)
+    return ids.reshape(n, m)
+
+
 class PhraseTrie:
     """Counts of phrases: nodes by word id, with hash containers below that burst when they grow.
 
@@ -179,11 +221,11 @@ class PhraseTrie:
             self.held -= sizes[word]
 
 
-_RUNS = "part int, n int, ids binary, counts binary"
+_RUNS = "part int, n int, m int, ids binary, counts binary"
 
 
-def _runs(spilled: Iterator[tuple[bytes, int]], parts: int) -> Iterator[pa.RecordBatch]:
-    """Spilled phrases as sorted runs: by length, cut by prefix partition; ids column by column."""
+def _runs(spilled: Iterator[tuple[bytes, int]], parts: int, book: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Spilled phrases as sorted runs: by length, cut by prefix partition; words packed, counts as narrow as they allow."""
     by_length: dict[int, tuple[list[bytes], list[int]]] = {}
     for phrase, count in spilled:
         phrases, counts = by_length.setdefault(len(phrase) // 8, ([], []))
@@ -195,14 +237,16 @@ def _runs(spilled: Iterator[tuple[bytes, int]], parts: int) -> Iterator[pa.Recor
         order = np.lexsort((*ids.T[::-1], part))
         ids, part, counts = ids[order], part[order], np.array(counts, dtype=np.int64)[order]
         cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
+        codes = _codes(ids, book)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(part[cut[:-1]], pa.int32()),
                 pa.array(np.full(len(cut) - 1, n), pa.int32()),
-                pa.array([np.ascontiguousarray(ids[a:b].T).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-                pa.array([counts[a:b].astype(np.uint32 if counts[a:b].max() < 1 << 32 else np.int64).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                pa.array(np.diff(cut), pa.int32()),
+                pa.array([_packed(ids[a:b], codes[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
+                pa.array([counts[a:b].astype(np.min_scalar_type(counts[a:b].max())).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
             ],
-            ["part", "n", "ids", "counts"],
+            ["part", "n", "m", "ids", "counts"],
         )
 
 
@@ -240,7 +284,9 @@ def _phrases(ids: np.ndarray, follows: np.ndarray, lengths: range, may: Filter)
                 yield n, at
 
 
-def _count_phrases(docs: DataFrame, seed: int, lengths: range, may: Filter, parts: int, least: int, held: int, burst: int) -> DataFrame:
+def _count_phrases(
+    docs: DataFrame, seed: int, lengths: range, may: Filter, book: np.ndarray, parts: int, least: int, held: int, burst: int
+) -> DataFrame:
     """n, ids, a: the phrases of these lengths that occur at least ``least`` times."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,31 +299,31 @@ def _count_phrases(docs: DataFrame, seed: int, lengths: range, may: Filter, part
                     for phrase, count in zip(*_distinct(ids, own, at, n), strict=True):
                         trie.add(phrase, count)
                     if trie.held > held:
-                        yield from _runs(trie.spill(held // 2), parts)
-        yield from _runs(trie.spill(-1), parts)
+                        yield from _runs(trie.spill(held // 2), parts, book)
+        yield from _runs(trie.spill(-1), parts, book)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The runs of one prefix partition and length at a time; they arrive sorted by both."""
         now, runs = None, []
         for batch in batches:
-            for part, n, ids, counts in zip(*(batch.column(k) for k in range(4)), strict=True):
+            for part, n, m, ids, counts in zip(*(batch.column(k) for k in range(5)), strict=True):
                 key = (part.as_py(), n.as_py())
                 if key != now:
-                    yield from _merged(now, runs, least)
+                    yield from _merged(now, runs, least, book)
                     now, runs = key, []
-                runs.append((ids.as_py(), counts.as_py()))
-        yield from _merged(now, runs, least)
+                runs.append((m.as_py(), ids.as_py(), counts.as_py()))
+        yield from _merged(now, runs, least, book)
 
     runs = docs.mapInArrow(gather, _RUNS).repartition("part").sortWithinPartitions("part", "n")
     return stored(runs.mapInArrow(merge, "n int, ids array<bigint>, a bigint"))
 
 
-def _merged(key: tuple[int, int] | None, runs: list[tuple[bytes, bytes]], least: int) -> Iterator[pa.RecordBatch]:
+def _merged(key: tuple[int, int] | None, runs: list[tuple[int, bytes, bytes]], least: int, book: np.ndarray) -> Iterator[pa.RecordBatch]:
     if not runs:
         return
     n = key[1]
-    ids = np.concatenate([np.frombuffer(i, np.uint64).reshape(n, -1) for i, _ in runs], axis=1)
-    counts = np.concatenate([np.frombuffer(c, np.uint32 if len(c) * 2 * n == len(i) else np.int64).astype(np.int64) for i, c in runs])
+    ids = np.concatenate([_unpacked(i, m, n, book) for m, i, _ in runs], axis=1)
+    counts = np.concatenate([np.frombuffer(c, f"u{len(c) // m}").astype(np.int64) for m, _, c in runs])
     order = np.lexsort(ids[::-1])
     ids, counts = ids[:, order], counts[order]
     new = np.ones(ids.shape[1], dtype=bool)
@@ -376,8 +422,8 @@ def collocations(
     size = totals.agg(F.sum("n")).first()[0] or 0  # one number
     parts = 1 << max(0, math.ceil(math.log2(max(1, size / PARTITION_WORDS))))
 
-    may = filter_of(words.select(F.col("id").alias("h")))
-    pairs = _count_phrases(base, seed, range(2, 3), may, parts, least, held, burst)
+    may, book = filter_of(words.select(F.col("id").alias("h"))), codebook(words)
+    pairs = _count_phrases(base, seed, range(2, 3), may, book, parts, least, held, burst)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -387,7 +433,7 @@ def collocations(
     phrases = pairs
     if max_words > 2:
         may = filter_of(pairs.select("ids").mapInArrow(linked, "h bigint"))
-        phrases = pairs.unionAll(_count_phrases(base, seed, range(3, max_words + 1), may, parts, least, held, burst))
+        phrases = pairs.unionAll(_count_phrases(base, seed, range(3, max_words + 1), may, book, parts, least, held, burst))
     return _ranked(phrases, words, totals, top)
 
 

@@ -86,6 +86,39 @@ def test_trie_bursts_spills_whole_subtrees_and_keeps_counts():
     assert spilled == want and trie.held == 0
 
 
+def test_runs_name_frequent_words_by_codes_and_lose_no_other():
+    rng = np.random.default_rng(3)
+    ids = np.unique(rng.integers(1, 2**64, 400, dtype=np.uint64))
+    rare = ids[::7]
+    book = np.setdiff1d(ids, rare)
+    phrases = {tuple(rng.choice(ids, n)): int(rng.choice([1, 300, 70_000, 2**40])) for n in (2, 3, 5) for _ in range(2000)}
+    spilled = [(np.array(p, dtype=np.uint64).tobytes(), count) for p, count in phrases.items()]
+
+    def sizes(book):
+        found, size = {}, 0
+        for batch in C._runs(iter(spilled), 4, book):
+            for row in batch.to_pylist():
+                size += len(row["ids"])
+                merged = list(C._merged((row["part"], row["n"]), [(row["m"], row["ids"], row["counts"])], 1, book))
+                for got in merged[0].to_pylist():
+                    found[tuple(np.array(got["ids"], dtype=np.int64).view(np.uint64))] = got["a"]
+        assert found == phrases
+        return size
+
+    plain = sum(len(p) for p, _ in spilled)
+    assert sizes(book) < plain / 2
+    assert sizes(ids) == plain / 4
+    assert sizes(book[:0]) == plain * 5 / 4
+
+
+def test_codebook_takes_the_most_frequent_words_that_fit(spark):
+    words = spark.createDataFrame([(-i, 2**i) for i in range(1, 9)] + [(100 + i, 100) for i in range(5)], "id bigint, a bigint")
+    assert C.codebook(words, 2).view(np.int64).tolist() == [-8, -7]
+    assert C.codebook(words, 6).view(np.int64).tolist() == [-8, -7]  # the five words at 100 don't fit
+    assert C.codebook(words, 7).view(np.int64).tolist() == [100, 101, 102, 103, 104, -8, -7]
+    assert len(C.codebook(words, 1)) == 1 and len(C.codebook(words.where("a = 100"), 4)) == 0
+
+
 def test_shared_ids_are_counted_again_with_another_seed(spark, monkeypatch):
     plain = C.words_of
 
