@@ -196,11 +196,12 @@ def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.status_flow(_history(spark, sf_dir))
+    months = _history(spark, sf_dir)
+    return history.status_flow(months, months.count())  # counted from the files' footers
 
 
 def churn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.churn_rate(history.status_flow(_history(spark, sf_dir)))
+    return history.churn_rate(status_flow(spark, sf_dir))
 
 
 def peak_month_categories(spark: SparkSession, sf_dir: str) -> DataFrame:

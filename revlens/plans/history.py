@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens import config as C
@@ -55,14 +55,55 @@ def status_counts(history: DataFrame) -> DataFrame:
     return counts.select("ano_mes", "data_snapshot", "status_cliente", "clientes")
 
 
-def status_flow(history: DataFrame) -> DataFrame:
+FLOW_ROWS = 1 << 21  # rows of the history in a task of status_flow
+_STATUSES = (C.NOVO, C.ATIVO, C.CHURN, C.SEM_COMPRA)
+_NONE, _OTHER = len(_STATUSES), len(_STATUSES) + 1  # codes of no status, and of one that is spelt out
+
+
+def _code(status: str) -> Column:
+    code = F.when(F.col(status).isNull(), F.lit(_NONE))
+    for i, known in enumerate(_STATUSES):
+        code = code.when(F.col(status) == known, F.lit(i))
+    return code.otherwise(F.lit(_OTHER)).cast("bigint")
+
+
+def _status(code: Column, other: str) -> Column:
+    named = F.when(code == _OTHER, F.col(other))
+    for i, known in enumerate(_STATUSES):
+        named = named.when(code == i, F.lit(known))
+    return named
+
+
+def status_flow(history: DataFrame, rows: int | None = None) -> DataFrame:
     """Customers per month by the status of the month before (NULL: not a customer yet) and the new one.
 
-    A window per customer over its months, so a partition has a row per calendar month at most.
+    A window per customer over its months, so a partition has a row per calendar month at most. What travels and is sorted
+    for each of the history's rows is the customer and one number: the day and, in its last three bits, a code of the status
+    (a status that ``config`` doesn't know keeps its text). Months and statuses are spelt after the count; the month is
+    the day's label, as ``record`` writes it. With ``rows``, the history's row count, customers are dealt over as many tasks as
+    keep ``FLOW_ROWS`` rows in each, so that a task's sort doesn't grow with the history.
     """
-    before = F.lag("status_cliente").over(Window.partitionBy("user_id").orderBy("data_snapshot"))
-    moves = history.select("ano_mes", before.alias("status_anterior"), "status_cliente")
-    return moves.groupBy("ano_mes", "status_anterior", "status_cliente").agg(F.count(F.lit(1)).alias("clientes"))
+    code = _code("status_cliente")
+    states = history.select(
+        "user_id",
+        (F.unix_date("data_snapshot") * F.lit(8).cast("bigint") + code).alias("_at"),
+        F.when(code == _OTHER, F.col("status_cliente")).alias("_now"),
+    )
+    tasks = -(-(rows or 0) // FLOW_ROWS)
+    if tasks > 1:
+        states = states.repartition(tasks, "user_id")
+    w = Window.partitionBy("user_id").orderBy("_at")
+    before = F.coalesce(F.lag("_at").over(w).bitwiseAND(F.lit(7)), F.lit(_NONE))
+    moves = states.select((F.col("_at") * 8 + before).alias("_move"), F.lag("_now").over(w).alias("_was"), "_now")
+    moves = moves.withColumn("_was", F.when(F.col("_move").bitwiseAND(F.lit(7)) == _OTHER, F.col("_was")))
+    counts = moves.groupBy("_move", "_was", "_now").agg(F.count(F.lit(1)).alias("clientes"))
+    named = counts.select(
+        F.date_from_unix_date(F.shiftright("_move", 6).cast("int")).alias("_day"),
+        _status(F.col("_move").bitwiseAND(F.lit(7)), "_was").alias("status_anterior"),
+        _status(F.shiftright("_move", 3).bitwiseAND(F.lit(7)), "_now").alias("status_cliente"),
+        "clientes",
+    )
+    return named.select(roadmap.month_label("_day").alias("ano_mes"), "status_anterior", "status_cliente", "clientes")
 
 
 def churn_rate(flow: DataFrame) -> DataFrame:

@@ -216,3 +216,37 @@ def test_a_refresh_equals_a_full_build_row_for_row(spark, small_dir, tmp_path, f
     for name in LAYERS:
         assert getattr(fresh, name).dtypes == getattr(full, name).dtypes, name
         assert rows(getattr(fresh, name)) == rows(getattr(full, name)), name
+
+
+def test_flow_counts_every_move_and_sorts_narrow_rows(spark):
+    from revlens.plans.history import status_flow
+
+    rows = [(u, s, f"{m}-28", m) for u, m, s in [
+        (1, "2000-01", "Sem Compra"), (1, "2000-02", "Novo"), (1, "2000-04", "Churn"), (2, "2000-02", "Pausa"), (2, "2000-03", "Outro"),
+        (2, "2000-04", "Ativo"), (3, "2000-03", None), (3, "2000-04", "Churn"), (4, "1969-11", "Novo"), (4, "1969-12", "Novo"),
+        (None, "2000-01", "Sem Compra"), (None, "2000-01", "Sem Compra"), (5, "2000-04", "Churn"),
+    ]]
+    history = spark.createDataFrame(rows, "user_id bigint, status_cliente string, d string, ano_mes string")
+    history = history.selectExpr("user_id", "status_cliente", "cast(d as date) AS data_snapshot", "ano_mes")
+    flow = status_flow(history)
+    got = {tuple(r)[:3]: r["clientes"] for r in flow.collect()}
+    assert got == {
+        ("2000-01", None, "Sem Compra"): 2, ("2000-01", "Sem Compra", "Sem Compra"): 1, ("2000-02", "Sem Compra", "Novo"): 1,
+        ("2000-04", "Novo", "Churn"): 1, ("2000-02", None, "Pausa"): 1, ("2000-03", "Pausa", "Outro"): 1, ("2000-04", "Outro", "Ativo"): 1,
+        ("2000-03", None, None): 1, ("2000-04", None, "Churn"): 2, ("1969-11", None, "Novo"): 1, ("1969-12", "Novo", "Novo"): 1,
+    }
+    plan = flow._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window" in line)
+    assert "ano_mes" not in window and "status_cliente" not in window and "ORDER BY" not in window
+    assert "data_snapshot" not in window  # rows are sorted by one number
+
+
+def test_a_task_of_the_flow_stays_bounded(spark, monkeypatch):
+    from revlens.plans import history as H
+
+    ids = spark.range(400).selectExpr("id % 100 AS user_id", "if(id < 200, 'Novo', 'Churn') AS status_cliente", "last_day(add_months(date'2000-01-15', cast(id div 100 as int))) AS data_snapshot")
+    months = ids.withColumn("ano_mes", F.date_format("data_snapshot", "yyyy-MM"))
+    monkeypatch.setattr(H, "FLOW_ROWS", 32)
+    dealt = H.status_flow(months, months.count())
+    assert "RepartitionByExpression [user_id" in (plan := dealt._jdf.queryExecution().optimizedPlan().toString()) and ", 13" in plan
+    assert rows(dealt) == rows(H.status_flow(months)) and sum(r["clientes"] for r in dealt.collect()) == 400
