@@ -88,17 +88,14 @@ def customer_metrics(
     """
     lines = lines if lines is not None else order_lines(items)
     valid = _valid(rules)
-    zero = F.lit(0).cast("bigint")
+    # one sum for both; a user without a priced valid line has LTV 0 if some line isn't valid, else NULL
+    spent = F.sum(F.when(valid, F.col("sale_micros")))
+    others = F.count(F.when(valid, F.lit(None)).otherwise(F.lit(1)))
     return lines.groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_pedidos"),
         F.sum("n_items").alias("total_itens"),
-        money_total(F.sum(F.when(valid, F.col("sale_micros")).otherwise(zero))).alias("ltv"),
-        money_round(
-            ratio(
-                from_micros(F.sum(F.when(valid, F.col("sale_micros")))),
-                F.sum(F.when(valid, F.col("n_priced"))),
-            )
-        ).alias("ticket_medio"),
+        money_total(F.coalesce(spent, F.when(others > 0, F.lit(0).cast("decimal(38,0)")))).alias("ltv"),
+        money_round(ratio(from_micros(spent), F.sum(F.when(valid, F.col("n_priced"))))).alias("ticket_medio"),
         F.min("first_at").alias("primeira_compra"),
         F.max("last_at").alias("ultima_compra"),
     )

@@ -8,6 +8,8 @@ P4 ``stg_user_id_mapping``  each removed duplicate id -> the id that survived
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,7 +124,12 @@ def stg_orders(orders: DataFrame, calendar_lead_time: bool = False) -> DataFrame
     )
 
 
-def stg_order_items(order_items: DataFrame, products: DataFrame, guard: JoinGuard | None = None) -> DataFrame:
+def stg_order_items(
+    order_items: DataFrame,
+    products: DataFrame,
+    guard: JoinGuard | None = None,
+    with_headers: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Every item with product cost, category, brand and its margin.
 
     Left join, so items without a product keep a NULL cost.
@@ -130,9 +137,17 @@ def stg_order_items(order_items: DataFrame, products: DataFrame, guard: JoinGuar
     A plain join: the planner and AQE broadcast the products when their
     measured bytes allow it (the items are then not shuffled), and otherwise
     sort-merge with AQE splitting the best-selling products.
+
+    A source that keeps user, status and time in the order's header passes
+    ``with_headers``, the join to it, and items without those columns. The
+    products are joined first then: fewer columns travel by product, and the
+    items come out by order, so their files fold into ``order_lines`` before
+    that shuffle (a left join and the inner join commute).
     """
     p = products.select(F.col("id").alias("_pid"), "cost", "category", "brand")
     j = many_to_one(order_items, p, order_items.product_id == p._pid, "_pid", "produto", guard)
+    if with_headers is not None:
+        j = with_headers(j.drop("_pid"))
     sale, cost = F.col("sale_price"), F.col("cost")
     return j.select(
         F.col("id").alias("order_item_id"),

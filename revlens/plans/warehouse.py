@@ -287,9 +287,10 @@ class Warehouse:
     @cached_property
     def stg_order_items(self) -> DataFrame:
         guard = self._guard()
-        return self._keep(
-            "stg_order_items", silver.stg_order_items(self.raw.order_items, self.raw.products, guard), guard
-        )
+        # a source with headers of its own joins them last; a guarded join counts the items as they are published
+        late = getattr(self.raw, "with_headers", None) if guard is None else None
+        items = self.raw.order_items if late is None else self.raw.item_rows
+        return self._keep("stg_order_items", silver.stg_order_items(items, self.raw.products, guard, late), guard)
 
     @cached_property
     def stg_user_id_mapping(self) -> DataFrame:

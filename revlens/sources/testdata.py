@@ -137,23 +137,40 @@ def orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def order_items_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    head = order_header(orders).select("order_id", "user_id", "status", "created_at")
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    j = li.join(head, li.l_orderkey == head.order_id)
-    return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+def item_rows(lineitem: DataFrame) -> DataFrame:
+    """order_id, product_id, sale_price and the line number of every item: what it has without its order's header.
+
+    Priced here, before any join, so that one number travels instead of two.
+    """
+    price = F.when(F.col("l_quantity") == 1, F.lit(0.0)).otherwise(fixture_money(F.col("l_extendedprice") / 1000))
+    return lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        price.alias("sale_price"),
+        F.col("l_linenumber").alias("line"),
+    )
+
+
+def with_headers(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """``item_rows`` with their id, and user, status and time from the order; items without an order are dropped, other columns stay."""
+    head = order_header(orders).select(F.col("order_id").alias("_oid"), "user_id", "status", "created_at")
+    known = ("order_id", "product_id", "sale_price", "line")
+    return items.join(head, items.order_id == head._oid).select(
+        (F.col("order_id") * 10 + F.col("line")).alias("id"),
         "order_id",
         "user_id",
-        F.col("l_partkey").alias("product_id"),
-        F.when(F.col("l_quantity") == 1, F.lit(0.0))
-        .otherwise(fixture_money(F.col("l_extendedprice") / 1000))
-        .alias("sale_price"),
+        "product_id",
+        "sale_price",
         "status",
-        (F.col("created_at") + _hours(F.col("l_linenumber"))).alias("created_at"),
+        (F.col("created_at") + _hours(F.col("line"))).alias("created_at"),
+        *[c for c in items.columns if c not in known],
     )
 
 
+def order_items_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    return with_headers(item_rows(lineitem), orders)
+
+
 def products_from(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     return part.where(key % PRODUCT_GAP_MOD != 0).select(
@@ -207,6 +224,14 @@ class TestDataSource:
     def order_items(self) -> DataFrame:
         return order_items_from(self.tpch_orders, self.lineitem)
 
+    @cached_property
+    def item_rows(self) -> DataFrame:
+        """The order items before their headers are joined (see ``with_headers``)."""
+        return item_rows(self.lineitem)
+
+    def with_headers(self, items: DataFrame) -> DataFrame:
+        return with_headers(items, self.tpch_orders)
+
     @cached_property
     def products(self) -> DataFrame:
         return products_from(self._read("part"))
