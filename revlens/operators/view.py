@@ -8,17 +8,21 @@ user id from its item history, (3) 'Sem Segmento'.
 
 Plan. The script joins the order rows five times (items, raw users,
 mapping, dimension, last purchase), four of them on user keys. Here the
-four user lookups are first resolved at user grain, where every key is
-unique, and the order rows are joined to the result once:
+user lookups are first resolved at user grain, where every key is unique:
 
-    orders --order_id--> item totals     (aggregate combines map-side)
-           --user_id---> who             (users + mapping + dimension + last buy)
+    orders --order_id--> item totals                      (aggregate combines map-side)
+           --user_id---> users + dimension by user id     (the mapping is applied to the dimension, the narrow side)
+           --user_id---> last buy                         (already lies by user id)
 
-``who`` is a full outer join of the raw users (with mapping and dimension)
-and the per-user purchase summary, because an order's user id may have
-items but no registration. That keeps the order-grain data to at most two
-shuffles, and the user join -- the one a hot user id would
-skew -- is the last step, where AQE can split a skewed partition.
+The joins by user id need one shuffle of the orders and one of the users.
+An order's user id may have items but no registration, so the last buy is
+joined to the order, not to the user. The user joins -- those a hot user id
+would skew -- are the last steps, where AQE can split a skewed partition.
+Days travel; the calendar columns are made from them at the end.
+
+With a guard each lookup is a join of its own at user grain instead
+(``user_context``: a full outer join of the users, with mapping and
+dimension, and the purchases), so that each can be reported.
 """
 
 from __future__ import annotations
@@ -97,15 +101,8 @@ def last_purchase(metrics: DataFrame) -> DataFrame:
     )
 
 
-def user_context(
-    users: DataFrame,
-    mapping: DataFrame,
-    dim: DataFrame,
-    purchases: DataFrame,
-    guard: JoinGuard | None = None,
-) -> DataFrame:
-    """Everything the view needs per user id, resolved at user grain."""
-    u = users.select(
+def _registrations(users: DataFrame) -> DataFrame:
+    return users.select(
         F.col("id").alias("_uid"),
         "country",
         "city",
@@ -114,10 +111,16 @@ def user_context(
         "traffic_source",
         F.col("created_at").alias("customer_since"),
     )
-    m = mapping.select(
+
+
+def _mapped(mapping: DataFrame) -> DataFrame:
+    return mapping.select(
         F.col("user_id_original").alias("_orig"), F.col("user_id_canonical").alias("_canon")
     ).distinct()
-    d = dim.select(
+
+
+def _customers(dim: DataFrame) -> DataFrame:
+    return dim.select(
         F.col("customer_id").alias("_cid"),
         F.col("status_cliente").alias("_d_status"),
         F.col("rfm_score").alias("_d_rfm"),
@@ -125,6 +128,29 @@ def user_context(
         F.col("ticket_medio").alias("_d_ticket"),
         F.col("total_pedidos").alias("_d_orders"),
     )
+
+
+def dim_by_user(mapping: DataFrame, dim: DataFrame) -> DataFrame:
+    """The dimension's columns per user id: a removed id (``_key``) has those of the customer that survived.
+
+    What a left join by ``COALESCE(canonical id, user id)`` gives each user, but only the narrow dimension travels,
+    not the registrations. A removed id keeps its row even where the dimension lacks the survivor.
+    """
+    m, d = _mapped(mapping), _customers(dim)
+    own = d.join(m.select("_orig"), d._cid == m._orig, "left_anti").withColumnRenamed("_cid", "_key")
+    removed = m.join(d, m._canon == d._cid, "left").select(F.col("_orig").alias("_key"), *own.columns[1:])
+    return own.unionByName(removed)
+
+
+def user_context(
+    users: DataFrame,
+    mapping: DataFrame,
+    dim: DataFrame,
+    purchases: DataFrame,
+    guard: JoinGuard | None = None,
+) -> DataFrame:
+    """Everything the view needs per user id, resolved at user grain by joins that ``guard`` watches."""
+    u, m, d = _registrations(users), _mapped(mapping), _customers(dim)
     resolved = many_to_one(u, m, u._uid == m._orig, "_orig", "mapa", guard)
     resolved = many_to_one(resolved, d, F.coalesce(F.col("_canon"), F.col("_uid")) == d._cid, "_cid", "dimensao", guard)
     who = many_to_one(resolved, purchases, resolved._uid == purchases._lp_uid, "_lp_uid", "ultima_compra", guard, "full")
@@ -161,20 +187,25 @@ def vw_sales_analysis(
     """P8 over P2 orders, P3 items, raw users, P4 mapping and the P5 dimension."""
     lines = lines if lines is not None else order_lines(items)
     metrics = metrics if metrics is not None else customer_metrics(None, rules, lines=lines)
-    who = user_context(users, mapping, dim, last_purchase(metrics), guard)
     fin = order_financials(None, lines=lines)
     day = day_of("created_at")
     o = orders.select(
         "order_id",
         "user_id",
-        *calendar_columns(day),
+        day.alias("data_pedido"),
         F.col("status").alias("status_pedido"),
         "dias_para_envio",
         "shipped_at",
         "delivered_at",
     )
     j = many_to_one(o, fin, o.order_id == fin._fid, "_fid", "itens", guard)
-    j = many_to_one(j, who, o.user_id == who._who, "_who", "usuario", guard)
+    if guard is None:
+        u, d, last = _registrations(users), dim_by_user(mapping, dim), last_purchase(metrics)
+        j = j.join(u.join(d, u._uid == d._key, "left"), o.user_id == u._uid, "left")
+        j = j.join(last, o.user_id == last._lp_uid, "left")
+    else:
+        who = user_context(users, mapping, dim, last_purchase(metrics), guard)
+        j = many_to_one(j, who, o.user_id == who._who, "_who", "usuario", guard)
 
     d_status = F.col("_d_status")
     fallback_days = calendar_days("data_ultima_compra", as_of_date(as_of))
@@ -190,10 +221,7 @@ def vw_sales_analysis(
     return j.select(
         "order_id",
         "user_id",
-        "data_pedido",
-        "ano",
-        "mes",
-        "ano_mes",
+        *calendar_columns(F.col("data_pedido")),
         "status_pedido",
         "dias_para_envio",
         "shipped_at",
