@@ -212,6 +212,7 @@ def dim_customers_gold(
     status: DataFrame | None = None,
     mapping: DataFrame | None = None,
     guard: JoinGuard | None = None,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
     """P5: every cleaned customer (``users`` = P1 output) with metrics and labels.
 
@@ -221,13 +222,20 @@ def dim_customers_gold(
     Customers without purchases are kept with zero metrics, recency counted
     from sign-up and the labels 'Sem Compra' / 'Sem Segmento' / 'Sem Receita'.
     Both sides are unique per customer id, so the left join cannot skew.
+
+    Scores and labels are made after the join, so that only the metrics
+    travel; ``status`` (P5c output) brings labels that were made before.
     """
-    if status is None:
+    if status is None and metrics is None:
         lines = order_lines(items)
-        status = customer_status(None, as_of, rules, lines=lines if mapping is None else resolve_users(lines, mapping))
-    s = status
-    s = s.withColumnRenamed("user_id", "_uid")
+        metrics = customer_metrics(None, rules, lines=lines if mapping is None else resolve_users(lines, mapping))
+    s = (metrics if status is None else status).withColumnRenamed("user_id", "_uid")
     j = many_to_one(users, s, users.customer_id == s._uid, "_uid", "status", guard)
+    if status is None:
+        labelled = customer_segments(rfm_scores(j, as_of, rules), rules)
+        made = [c for c in labelled.columns if c not in j.columns]
+        # a customer without purchases has no labels, not those of missing metrics
+        j = labelled.withColumns({c: F.when(F.col("_uid").isNotNull(), F.col(c)) for c in made})
     zero_l = F.lit(0).cast("bigint")
     return j.select(
         "customer_id",
@@ -391,7 +399,9 @@ def fact_sales_performance(
     duplicate therefore gets 'Sem Compra' / 'Desconhecido'; only the view
     resolves ids). The monthly series has one row per calendar month, a
     bound set by the calendar and not by the data volume, so it is
-    broadcast; the dimension join is a shuffle join on the user id.
+    broadcast; the dimension join is a shuffle join on the user id. It comes
+    first, and the day's calendar columns are made after it, so that neither
+    they nor the series travel. A guard reports the script's order of joins.
     """
     om = metrics if metrics is not None else order_metrics(items, orders, lines=lines)
     series = monthly_series(om, rules).select(
@@ -412,8 +422,18 @@ def fact_sales_performance(
         F.col("traffic_source").alias("_src"),
         F.col("country").alias("_country"),
     )
-    j = many_to_one(om, F.broadcast(series), om.ano_mes == series._st_mes, "_st_mes", "serie_mensal", guard)
-    j = many_to_one(j, d, om.user_id == d._cid, "_cid", "cliente", guard)
+
+    def in_month(df: DataFrame) -> DataFrame:
+        return many_to_one(df, F.broadcast(series), df.ano_mes == series._st_mes, "_st_mes", "serie_mensal", guard)
+
+    def of_customer(df: DataFrame) -> DataFrame:
+        return many_to_one(df, d, df.user_id == d._cid, "_cid", "cliente", guard)
+
+    if guard is None:
+        j = of_customer(om.drop("ano", "mes", "ano_mes"))
+        j = in_month(j.select(*[c for c in j.columns if c != "data_pedido"], *calendar_columns(F.col("data_pedido"))))
+    else:
+        j = of_customer(in_month(om))
     return j.select(
         "order_id",
         "user_id",

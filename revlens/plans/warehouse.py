@@ -25,6 +25,11 @@ publishes it as a table, so it is written like the others. A session that
 wants to spare the second copy of the item data passes
 ``store_item_fact=False`` and reads it as a view over the stored items.
 
+Silver orders and items, order lines and order metrics are written in files dealt
+by order, if the source makes them by order, and the customer layers in files dealt
+by customer. What joins or folds them by that key reads them without a shuffle. Files
+of a gated, guarded or partitioned warehouse aren't dealt.
+
 A written layer is a new version in a folder of its own, named in the
 target's manifest together with what it was built from (reference date,
 rules, lead-time mode, raw files, this library's code) and a hash of its
@@ -55,7 +60,7 @@ from revlens.operators import gold, leakage, silver, view
 from revlens.operators.joins import JoinGuard
 from revlens.plans.sqlview import view_sql
 from revlens.sources.raw import RawTables
-from revlens.sources.sinks import ASIDE, Gate, Manifest, QualityError, drop_folder, file_identity, materialize, quarantined, read_table
+from revlens.sources.sinks import ASIDE, Gate, Manifest, QualityError, bucketed, drop_folder, file_identity, is_bucketed, materialize, quarantined, read_table
 
 # Partition columns per written table: the facts by month. Not the default, because
 # none of the published reports filters on time.
@@ -170,6 +175,7 @@ class Warehouse:
         self.join_guard = join_guard
         self.gate_report: dict[str, dict] = {}
         self._written: dict[str, str] = {}
+        self._dealt: set[str] = set()  # written layers whose files are dealt by a key
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str | None:
@@ -212,20 +218,37 @@ class Warehouse:
         """A guard for the joins of a layer that is going to be written."""
         return JoinGuard() if self.join_guard and self.target is not None else None
 
-    def _keep(self, name: str, df: DataFrame, guard: JoinGuard | None = None) -> DataFrame:
+    @cached_property
+    def _by_order(self) -> str | None:
+        """The key that order layers are dealt by when they are written; only if the source makes them by order."""
+        return "order_id" if hasattr(self.raw, "with_headers") else None
+
+    def _undealt(self, name: str) -> DataFrame:
+        """A layer read as plain files, for a join with a side that may have hot keys: AQE splits those only between two exchanges."""
+        df = getattr(self, name)
+        return df.sparkSession.read.schema(df.schema).parquet(self._written[name]) if name in self._dealt else df
+
+    def _keep(self, name: str, df: DataFrame, guard: JoinGuard | None = None, by: str | None = None) -> DataFrame:
+        """``df``, written if there is a target. ``by``: the key by which its rows come, and its files are dealt."""
         if self.target is None:
             return df
         with self._lock:  # one writer per layer even if reports run in threads
             spark, basis = df.sparkSession, self.built_from(name)
             manifest = Manifest(spark, self.target)
             gate = GATES.get(name) if self.quality_gate else None
+            if gate is not None or self.join_guard or name in self.partition_by:
+                by = None
             if self.reuse_stored and basis is not None:
                 record = manifest.served(name, basis)
                 if record is not None:
                     self._written[name] = record["path"]
+                    if by is not None and "buckets" in record["observed"] and is_bucketed(spark, record["path"]):
+                        self._dealt.add(name)
+                        return bucketed(spark, df.schema, record["path"], by, record["observed"]["buckets"])
                     return read_table(spark, record["path"] if gate is None else f"{record['path']}/{ASIDE}=false").select(*df.columns)
             version = f"{self.target}/{name}/v-{uuid.uuid4().hex}"
-            out, observed = materialize(df, version, self.partition_by.get(name, ()), SORT_WITHIN.get(name, ()), gate)
+            buckets = None if by is None else (by, int(spark.conf.get("spark.sql.shuffle.partitions")))
+            out, observed = materialize(df, version, self.partition_by.get(name, ()), SORT_WITHIN.get(name, ()), gate, buckets)
             if guard is not None:
                 observed["joins"] = guard.counts()
                 broken = {join: n["repeated"] for join, n in observed["joins"].items() if n["repeated"]}
@@ -234,6 +257,8 @@ class Warehouse:
                     raise QualityError(f"{name}: not committed, keys that should be unique repeat in the joins {broken}")
             manifest.add(name, version, basis, observed)
             self._written[name] = version
+            if buckets is not None:
+                self._dealt.add(name)
             if gate is not None:
                 self.gate_report[name] = observed
             return out
@@ -265,6 +290,7 @@ class Warehouse:
                 drop_folder(spark, record["path"])
         drop_folder(spark, manifest.path)
         self._written.clear()
+        self._dealt.clear()
 
     def __getattribute__(self, name: str):
         # cached_property is not thread-safe; serialise first builds of a layer
@@ -281,7 +307,7 @@ class Warehouse:
     @cached_property
     def stg_orders(self) -> DataFrame:
         return self._keep(
-            "stg_orders", silver.stg_orders(self.raw.orders, self.calendar_lead_time)
+            "stg_orders", silver.stg_orders(self.raw.orders, self.calendar_lead_time), by=self._by_order
         )
 
     @cached_property
@@ -290,7 +316,7 @@ class Warehouse:
         # a source with headers of its own joins them last; a guarded join counts the items as they are published
         late = getattr(self.raw, "with_headers", None) if guard is None else None
         items = self.raw.order_items if late is None else self.raw.item_rows
-        return self._keep("stg_order_items", silver.stg_order_items(items, self.raw.products, guard, late), guard)
+        return self._keep("stg_order_items", silver.stg_order_items(items, self.raw.products, guard, late), guard, self._by_order)
 
     @cached_property
     def stg_user_id_mapping(self) -> DataFrame:
@@ -303,20 +329,23 @@ class Warehouse:
     @cached_property
     def order_lines(self) -> DataFrame:
         """Items folded per (order, user, day, status): the input of every item aggregate."""
-        return self._keep("order_lines", gold.order_lines(self.stg_order_items))
+        return self._keep("order_lines", gold.order_lines(self.stg_order_items), by=self._by_order)
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
         """Read by the dimension and the view, so stored like a layer."""
-        return self._keep("customer_metrics", gold.customer_metrics(None, self.rules, lines=self.order_lines))
+        return self._keep("customer_metrics", gold.customer_metrics(None, self.rules, lines=self.order_lines), by="user_id")
+
+    def _metrics_of_customers(self) -> DataFrame:
+        """What the labels are made from: a removed id's purchases are its own, or with ``fold_orphans`` the survivor's."""
+        if not self.fold_orphans:
+            return self.customer_metrics
+        lines = gold.resolve_users(self.order_lines, self.stg_user_id_mapping)
+        return gold.customer_metrics(None, self.rules, lines=lines)
 
     @cached_property
     def customer_status(self) -> DataFrame:
-        metrics = self.customer_metrics
-        if self.fold_orphans:
-            lines = gold.resolve_users(self.order_lines, self.stg_user_id_mapping)
-            metrics = gold.customer_metrics(None, self.rules, lines=lines)
-        return gold.customer_segments(gold.rfm_scores(metrics, self.as_of, self.rules), self.rules)
+        return gold.customer_segments(gold.rfm_scores(self._metrics_of_customers(), self.as_of, self.rules), self.rules)
 
     @cached_property
     def dim_customers_gold(self) -> DataFrame:
@@ -328,17 +357,18 @@ class Warehouse:
                 self.stg_order_items,
                 self.as_of,
                 self.rules,
-                status=self.customer_status,
                 guard=guard,
+                metrics=self._metrics_of_customers(),
             ),
             guard,
+            "customer_id",
         )
 
     @cached_property
     def order_metrics(self) -> DataFrame:
         """Read by the month series and the order fact, so stored like a layer."""
         guard = self._guard()
-        return self._keep("order_metrics", gold.order_metrics(None, self.stg_orders, self.order_lines, guard), guard)
+        return self._keep("order_metrics", gold.order_metrics(None, self.stg_orders, self.order_lines, guard), guard, self._by_order)
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -350,7 +380,7 @@ class Warehouse:
         return self._keep(
             "fact_sales_performance",
             gold.fact_sales_performance(
-                None, self.stg_orders, self.dim_customers_gold, self.rules, metrics=self.order_metrics, guard=guard
+                None, self.stg_orders, self._undealt("dim_customers_gold"), self.rules, metrics=self.order_metrics, guard=guard
             ),
             guard,
         )

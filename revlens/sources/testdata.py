@@ -101,8 +101,11 @@ def users_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     )
 
 
-def order_header(orders: DataFrame) -> DataFrame:
-    """order_id, user_id, status, created_at, shipped_at, delivered_at per TPC-H order."""
+def order_header(orders: DataFrame, *others: Column | str) -> DataFrame:
+    """order_id, user_id, status, created_at, shipped_at, delivered_at per TPC-H order, and ``others`` of the same row.
+
+    All are made from the order's key, customer and day, so a join takes those three and this comes after it.
+    """
     key = F.col("o_orderkey")
     st = F.expr("o_orderkey div 8") % STATUS_CYCLE
     status = F.when(st < STATUS_CUTS[0][0], F.lit(STATUS_CUTS[0][1]))
@@ -120,21 +123,14 @@ def order_header(orders: DataFrame) -> DataFrame:
         F.when((st < 5) | (st >= 18), day + _hours(lead + 24 * (1 + key % 6))).alias(
             "delivered_at"
         ),
+        *others,
     )
 
 
 def orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     counts = lineitem.groupBy(F.col("l_orderkey").alias("_ok")).agg(F.count(F.lit(1)).alias("_n"))
-    head = order_header(orders)
-    return head.join(counts, head.order_id == counts._ok, "left").select(
-        "order_id",
-        "user_id",
-        "status",
-        "created_at",
-        "shipped_at",
-        "delivered_at",
-        F.coalesce(F.col("_n"), F.lit(0).cast("bigint")).alias("num_of_item"),
-    )
+    j = orders.join(counts, orders.o_orderkey == counts._ok, "left")
+    return order_header(j, F.coalesce(F.col("_n"), F.lit(0).cast("bigint")).alias("num_of_item"))
 
 
 def item_rows(lineitem: DataFrame) -> DataFrame:
@@ -153,9 +149,9 @@ def item_rows(lineitem: DataFrame) -> DataFrame:
 
 def with_headers(items: DataFrame, orders: DataFrame) -> DataFrame:
     """``item_rows`` with their id, and user, status and time from the order; items without an order are dropped, other columns stay."""
-    head = order_header(orders).select(F.col("order_id").alias("_oid"), "user_id", "status", "created_at")
     known = ("order_id", "product_id", "sale_price", "line")
-    return items.join(head, items.order_id == head._oid).select(
+    j = items.join(orders, items.order_id == orders.o_orderkey)
+    return order_header(j, *[c for c in items.columns if c != "order_id"]).select(
         (F.col("order_id") * 10 + F.col("line")).alias("id"),
         "order_id",
         "user_id",
