@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
 from helpers import Groups, documents, near_groups_brute, shingles
+from pyspark.sql import functions as F
 
 from revlens.llm import components as C
 from revlens.llm import embedding_dedup as E
@@ -82,6 +84,24 @@ def test_large_sets_and_open_buckets_in_pieces(spark, monkeypatch):
     assert got == near_groups_brute(list(enumerate(texts, 1)), 3, 70)
 
 
+def test_open_buckets_of_thousands_are_compared_in_seconds(spark):
+    """Millions of pairs that are not linked; the two that may be come back once, though both buckets hold them."""
+    rng, n = np.random.default_rng(6), 7000
+    odd, whole, bands = (rng.integers(-(1 << 63), 1 << 63, (n, k)) for k in (M.SKETCH_BITS // 64, M.SET_BITS // 64, M.BANDS))
+    bands[:, 3], bands[:, 5] = 77, 78
+    group = np.where(np.arange(n) < 500, 0, np.arange(n))
+    for x, y in [(3, 4), (7, 6000), (600, 5000)]:  # in the main group, across it, outside it
+        odd[x], whole[x] = odd[y], whole[y]
+    rest = [(n, k, int(group[k]), 0, 190, odd[k].tolist(), whole[k].tolist(), bands[k].tolist()) for k in range(n)]
+    kinds = "size bigint, a bigint, group bigint, main bigint, a_n bigint, a_odd array<bigint>, a_whole array<bigint>, a_bands array<bigint>"
+    frame = spark.createDataFrame(rest, kinds).localCheckpoint()
+    frame = frame.withColumn("bucket", F.explode(F.array(F.lit(77).cast("bigint"), F.lit(78).cast("bigint"))))
+    began = time.monotonic()
+    got = sorted((min(r.a, r.b), max(r.a, r.b)) for r in M._across(frame, 85).collect())
+    assert got == [(7, 6000), (600, 5000)]
+    assert time.monotonic() - began < 40
+
+
 def test_sketch_bounds():
     rng = np.random.default_rng(5)
     base = [f"w{k}" for k in rng.integers(0, 10**6, 400)]
